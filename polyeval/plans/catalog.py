@@ -153,3 +153,84 @@ def q_merge_scores(spark, sf_dir):
     from .benchmark_scores import score_table
     docs = _docs(spark, sf_dir)
     return score_table(docs, registry.aliases_df(spark), run_col="run_id")
+
+
+# ---------------------------------------------------------------- E2 family
+from ..functions import text as TX  # noqa: E402
+from ..operators.bleu import corpus_bleu  # noqa: E402
+from ..operators.chrf import corpus_chrf  # noqa: E402
+from ..schemas import UNIT_KEYS  # noqa: E402
+from .translation_metrics import prepare_segments  # noqa: E402
+
+
+def _prepared(spark, sf_dir):
+    return prepare_segments(fixtures.segments(spark, sf_dir))
+
+
+@query("clean_translation", f"""
+with {O.e2()}
+select {O.UNIT}, seg_id, {O.clean_sql("translation")} as translation_clean from seg
+""")
+def q_clean_translation(spark, sf_dir):
+    s = fixtures.segments(spark, sf_dir)
+    return s.select(*UNIT_KEYS, "seg_id", TX.clean_translation("translation").alias("translation_clean"))
+
+
+@query("corpus_bleu", O.bleu_sql())
+def q_corpus_bleu(spark, sf_dir):
+    return corpus_bleu(_prepared(spark, sf_dir), UNIT_KEYS, "hyp", "ref", tokenizer="13a")
+
+
+@query("corpus_chrf", O.chrf_sql())
+def q_corpus_chrf(spark, sf_dir):
+    return corpus_chrf(_prepared(spark, sf_dir), UNIT_KEYS, "hyp", "ref")
+
+
+@query("corpus_chrf_pp")
+def q_corpus_chrf_pp(spark, sf_dir):
+    """chrF++ (word order 2); checked against a plain-Python chrF++ in tests."""
+    return corpus_chrf(_prepared(spark, sf_dir), UNIT_KEYS, "hyp", "ref", word_order=2, out_col="chrf_pp")
+
+
+@query("stringify_missing", f"""
+with {O.e2()}
+select a.doc_id as seg_id, coalesce(b.text, 'nan') as translation
+from documents a left join documents b on b.doc_id = a.doc_id + 20
+""")
+def q_stringify_missing(spark, sf_dir):
+    fixtures.register(spark, sf_dir, ["documents"])
+    a = spark.table("documents").select("doc_id")
+    b = spark.table("documents").select(F.col("doc_id").alias("b_id"), "text")
+    j = a.join(b, F.col("b_id") == F.col("doc_id") + 20, "left")
+    return j.select(F.col("doc_id").alias("seg_id"), TX.stringify_missing("text").alias("translation"))
+
+
+@query("split_pair", f"""
+with {O.e2()},
+u as (select distinct model, dataset, src_lang || '-' || tgt_lang as pair from seg
+      union all select distinct model, dataset, src_lang || '-' || tgt_lang || '-x' from seg)
+select model, dataset, pair,
+  case when len(string_split(pair, '-')) = 2 then string_split(pair, '-')[1] end as src_lang,
+  case when len(string_split(pair, '-')) = 2 then string_split(pair, '-')[2] end as tgt_lang,
+  len(string_split(pair, '-')) = 2 as valid
+from u
+""")
+def q_split_pair(spark, sf_dir):
+    s = fixtures.segments(spark, sf_dir)
+    pair = TX.make_pair("src_lang", "tgt_lang")
+    u = s.select("model", "dataset", pair.alias("pair")).distinct()
+    # malformed names (two hyphens) as they appear in a folder of pair files
+    bad = s.select("model", "dataset", F.concat(pair, F.lit("-x")).alias("pair")).distinct()
+    both = u.unionByName(bad)
+    src, tgt, valid = TX.split_pair("pair")
+    return both.select("model", "dataset", "pair", src.alias("src_lang"), tgt.alias("tgt_lang"), valid.alias("valid"))
+
+
+@query("to_scorer_triple", f"""
+with {O.e2()}, {O.PREP}
+select {O.UNIT}, seg_id, src as source, ref as reference, hyp as hypothesis from p
+""")
+def q_to_scorer_triple(spark, sf_dir):
+    p = _prepared(spark, sf_dir)
+    return p.select(*UNIT_KEYS, "seg_id",
+                    *TX.to_scorer_triple("src", "hyp", "ref", names=("source", "hypothesis", "reference")))

@@ -100,3 +100,111 @@ LATEST = """
 latest as (select model, run_id from (
   select model, run_id, row_number() over (partition by model order by mtime desc, run_id desc) as rn from docs) where rn = 1)
 """
+
+
+# ----------------------------------------------------------------- E2 family
+UNIT = "model, dataset, src_lang, tgt_lang"
+
+
+def clean_sql(x: str) -> str:
+    """P4 in SQL: drop through the last </think> (greedy), strip whitespace."""
+    return rf"regexp_replace(regexp_replace({x}, '(?s)^.*</think>', ''), '^\s+|\s+$', '', 'g')"
+
+
+PREP = rf"""
+p as (
+ select {UNIT}, seg_id, coalesce(source, 'nan') as src,
+   {clean_sql("coalesce(translation, 'nan')")} as hyp,
+   coalesce(target, 'nan') as ref
+ from seg),
+units as (select distinct {UNIT} from p)
+"""
+
+
+def tok13a_sql(x: str) -> str:
+    s = rf"regexp_replace({x}, '\s+$', '')"
+    s = f"replace(replace(replace({s}, '<skipped>', ''), '-' || chr(10), ''), chr(10), ' ')"
+    s = f"""replace(replace(replace(replace({s}, '&quot;', '"'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>')"""
+    s = f"(' ' || {s} || ' ')"
+    s = rf"regexp_replace({s}, '([\{{-\~\[-\` -\&\(-\+\:-\@\/])', ' \1 ', 'g')"
+    s = rf"regexp_replace({s}, '([^0-9])([\.,])', '\1 \2 ', 'g')"
+    s = rf"regexp_replace({s}, '([\.,])([^0-9])', ' \1 \2', 'g')"
+    s = rf"regexp_replace({s}, '([0-9])(-)', '\1 \2 ', 'g')"
+    s = rf"regexp_replace(regexp_replace({s}, '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g')"
+    return s
+
+
+def _gram_rows(src: str, hcol: str, rcol: str, orders: list[int], gram_of) -> str:
+    lst = "[" + ",".join(str(n) for n in orders) + "]"
+    parts = []
+    for side, c in ((0, hcol), (1, rcol)):
+        parts.append(f"""
+ select {UNIT}, seg_id, n, {side} as side, {gram_of(c)} as gram from (
+  select {UNIT}, seg_id, n, {c}, unnest(generate_series(1, {_len_of(c, gram_of)} - n + 1)) as i
+  from (select *, unnest({lst}) as n from {src}) x) y""")
+    return " union all ".join(parts)
+
+
+def _len_of(c, gram_of):
+    return f"len({c})"
+
+
+def ngram_stats_sql(src: str, hcol: str, rcol: str, orders: list[int], gram_of, clip: bool) -> str:
+    """CTEs g, cnt, seg_n, per_n over (UNIT, seg_id, hcol, rcol)."""
+    h_eff = "case when r > 0 then h else 0 end" if clip else "h"
+    return f"""
+g as ({_gram_rows(src, hcol, rcol, orders, gram_of)}),
+cnt as (select {UNIT}, seg_id, n, gram, sum(1 - side) as h, sum(side) as r from g group by {UNIT}, seg_id, n, gram),
+seg_n as (select {UNIT}, seg_id, n, sum(h) as h, sum(r) as r, sum(least(h, r)) as m from cnt group by {UNIT}, seg_id, n),
+per_n as (select {UNIT}, n, sum({h_eff}) as hyp, sum(r) as ref, sum(m) as match from seg_n group by {UNIT}, n)
+"""
+
+
+def bleu_sql() -> str:
+    orders = [1, 2, 3, 4]
+    tok = f"""
+tk as (select {UNIT}, seg_id,
+  case when ht = '' then []::varchar[] else string_split(ht, ' ') end as htl,
+  case when rt = '' then []::varchar[] else string_split(rt, ' ') end as rtl
+ from (select {UNIT}, seg_id, {tok13a_sql('hyp')} as ht, {tok13a_sql('ref')} as rt from p) t0),"""
+    stats = ngram_stats_sql("tk", "htl", "rtl", orders,
+                            lambda c: f"array_to_string(list_slice({c}, i, i + n - 1), ' ')", clip=False)
+    wide = ", ".join(f"coalesce(sum(hyp) filter (where n = {n}), 0) as t{n}, "
+                     f"coalesce(sum(match) filter (where n = {n}), 0) as c{n}, "
+                     f"coalesce(sum(ref) filter (where n = {n}), 0) as r{n}" for n in orders)
+    ks, logs = [], []
+    for n in orders:
+        ks.append(" + ".join(f"(case when c{m} = 0 and t{m} > 0 then 1 else 0 end)" for m in orders[:n]))
+        p = (f"(case when t{n} = 0 then 0.0 when c{n} = 0 then 100.0 / (pow(2, {ks[-1]}) * t{n}) "
+             f"else 100.0 * c{n} / t{n} end)")
+        logs.append(f"(case when {p} = 0 then -9999999999 else ln({p}) end)")
+    bp = "(case when t1 < r1 then (case when t1 > 0 then exp(1 - r1 / t1) else 0.0 end) else 1.0 end)"
+    score = f"case when c1 + c2 + c3 + c4 = 0 then 0.0 else {bp} * exp(({' + '.join(logs)}) / 4.0) end"
+    return f"""
+with {e2()}, {PREP}, {tok}
+{stats},
+w as (select {UNIT}, {wide} from per_n group by {UNIT}),
+wu as (select u.model, u.dataset, u.src_lang, u.tgt_lang, coalesce(t1,0) t1, coalesce(t2,0) t2, coalesce(t3,0) t3,
+              coalesce(t4,0) t4, coalesce(c1,0) c1, coalesce(c2,0) c2, coalesce(c3,0) c3, coalesce(c4,0) c4,
+              coalesce(r1,0) r1
+       from units u left join w using ({UNIT}))
+select {UNIT}, round_even({score}, 2) as bleu, cast(t1 as bigint) as sys_len, cast(r1 as bigint) as ref_len from wu
+"""
+
+
+def chrf_sql() -> str:
+    orders = [1, 2, 3, 4, 5, 6]
+    cc = rf"""
+cc as (select {UNIT}, seg_id, regexp_replace(hyp, '\s+', '', 'g') as hc, regexp_replace(ref, '\s+', '', 'g') as rc from p),"""
+    stats = ngram_stats_sql("cc", "hc", "rc", orders, lambda c: f"substring({c}, i, n)", clip=True)
+    return f"""
+with {e2()}, {PREP}, {cc}
+{stats},
+pr as (select {UNIT},
+   avg(match / hyp) filter (where hyp > 0 and ref > 0) as P,
+   avg(match / ref) filter (where hyp > 0 and ref > 0) as R
+ from per_n group by {UNIT})
+select u.model, u.dataset, u.src_lang, u.tgt_lang,
+  round_even(case when coalesce(P, 0) + coalesce(R, 0) > 0 then 100.0 * 5 * P * R / (4 * P + R) else 0.0 end, 2) as chrf
+from units u left join pr using ({UNIT})
+"""
