@@ -234,3 +234,341 @@ def q_to_scorer_triple(spark, sf_dir):
     p = _prepared(spark, sf_dir)
     return p.select(*UNIT_KEYS, "seg_id",
                     *TX.to_scorer_triple("src", "hyp", "ref", names=("source", "hypothesis", "reference")))
+
+
+# ------------------------------------------- plug-ins, back-fill, status
+from ..operators import correlate as C  # noqa: E402
+from ..operators import joins as J  # noqa: E402
+from ..operators import neural as U  # noqa: E402
+from ..operators import status as K  # noqa: E402
+from ..operators.meteor import meteor  # noqa: E402
+from ..operators.rouge import rouge_l  # noqa: E402
+from . import standins  # noqa: E402
+from .translation_metrics import metric_row  # noqa: E402
+
+_RATIO = "cast(least(length({a}), length({b})) as double) / greatest(length({a}), length({b}), 1)"
+
+
+@query("neural_system_score", f"""
+with {O.e2()}, {O.PREP}
+select {O.UNIT}, round_even(avg({_RATIO.format(a='hyp', b='ref')}), 4) as xcomet from p group by {O.UNIT}
+""")
+def q_neural_system_score(spark, sf_dir):
+    return U.system_score(_prepared(spark, sf_dir), UNIT_KEYS, standins.length_ratio_scorer, "xcomet",
+                          batch_size=128)
+
+
+@query("rouge_l")
+def q_rouge_l(spark, sf_dir):
+    """Checked against a plain-Python ROUGE-L (DP LCS) in tests."""
+    return rouge_l(_prepared(spark, sf_dir), UNIT_KEYS, "hyp", "ref")
+
+
+@query("meteor")
+def q_meteor(spark, sf_dir):
+    return meteor(_prepared(spark, sf_dir), UNIT_KEYS, "hyp", "ref")
+
+
+@query("metric_row")
+def q_metric_row(spark, sf_dir):
+    return metric_row(_prepared(spark, sf_dir), tokenizer="13a",
+                      scorers={"xcomet": (standins.length_ratio_scorer, 128),
+                               "ssa_comet": (standins.source_ratio_scorer, 128)})
+
+
+@query("metric_row_native", f"""
+with {O.e2()}, {O.PREP},
+nb as ({O.bleu_sql()}),
+nc as ({O.chrf_sql()}),
+nx as (select {O.UNIT}, round_even(avg({_RATIO.format(a='hyp', b='ref')}), 4) as xcomet,
+              round_even(avg({_RATIO.format(a='hyp', b='src')}), 4) as ssa_comet from p group by {O.UNIT})
+select {O.UNIT}, nb.bleu, nc.chrf, cast(null as double) as rouge_l, cast(null as double) as meteor,
+       nx.xcomet, nx.ssa_comet, cast(null as double) as metricx
+from nb join nc using ({O.UNIT}) join nx using ({O.UNIT})
+""")
+def q_metric_row_native(spark, sf_dir):
+    """G8 without the two UDF metrics, so every column has a SQL oracle."""
+    return metric_row(_prepared(spark, sf_dir), tokenizer="13a", with_rouge_meteor=False,
+                      scorers={"xcomet": (standins.length_ratio_scorer, 128),
+                               "ssa_comet": (standins.source_ratio_scorer, 128)})
+
+
+_ERR = "25.0 * (1.0 - " + _RATIO.format(a="hyp", b="ref") + ")"
+
+
+@query("error_mean", f"""
+with {O.e2()}, {O.PREP}
+select {O.UNIT}, round(avg({_ERR}), 6) as error_mean from p group by {O.UNIT}
+""")
+def q_error_mean(spark, sf_dir):
+    s = U.score_segments(_prepared(spark, sf_dir), standins.length_error_scorer, "err", batch_size=1)
+    return U.error_mean(s, UNIT_KEYS, "err").select(*UNIT_KEYS, F.round("error_mean", 6).alias("error_mean"))
+
+
+@query("invert_error", f"""
+with {O.e2()}, {O.PREP}
+select {O.UNIT}, round_even(25 - avg({_ERR}), 4) as metricx from p group by {O.UNIT}
+""")
+def q_invert_error(spark, sf_dir):
+    s = U.score_segments(_prepared(spark, sf_dir), standins.length_error_scorer, "err", batch_size=1)
+    return U.error_mean(s, UNIT_KEYS, "err").select(*UNIT_KEYS, U.invert_error("error_mean").alias("metricx"))
+
+
+def _metrics0(prep: DataFrame) -> DataFrame:
+    """An existing metric table: metricx present for ntrex only."""
+    return (prep.groupBy(*UNIT_KEYS).agg(F.count(F.lit(1)).alias("n_segments"))
+                .withColumn("metricx", F.when(F.col("dataset") == "ntrex", F.col("n_segments").cast("double"))))
+
+
+_METRICS0 = f"""m0 as (select {O.UNIT}, count(*) as n_segments,
+  case when dataset = 'ntrex' then cast(count(*) as double) end as metricx from p group by {O.UNIT})"""
+
+
+@query("backfill_metric", f"""
+with {O.e2()}, {O.PREP}, {_METRICS0},
+new as (select {O.UNIT}, round_even(25 - avg({_ERR}), 4) as metricx from p
+        where dataset <> 'ntrex' group by {O.UNIT})
+select m0.model, m0.dataset, m0.src_lang, m0.tgt_lang, m0.n_segments, coalesce(m0.metricx, new.metricx) as metricx
+from m0 left join new using ({O.UNIT})
+""")
+def q_backfill_metric(spark, sf_dir):
+    prep = _prepared(spark, sf_dir)
+    return J.backfill_error_metric(_metrics0(prep), prep, UNIT_KEYS, standins.length_error_scorer,
+                                   "metricx", batch_size=1)
+
+
+def _e2_models(spark, sf_dir):
+    return fixtures.segments(spark, sf_dir).select("model").distinct()
+
+
+_GRID = f"""grid as (select m.model, lc.dataset, 'eng' as src_lang, lc.lang_code as tgt_lang, lc.corpus_code
+  from (select distinct model from seg) m, {O.lang_corpus_sql()} lc where lc.lang_code <> 'eng')"""
+
+
+@query("translation_grid", f"""
+with {O.e2()}, {_GRID}
+select * from grid
+""")
+def q_translation_grid(spark, sf_dir):
+    return J.translation_grid(_e2_models(spark, sf_dir))
+
+
+@query("pending_units", f"""
+with {O.e2()}, {_GRID}
+select g.model, g.dataset, g.src_lang, g.tgt_lang from grid g
+where not exists (select 1 from seg s where s.model = g.model and s.dataset = g.dataset
+                  and s.src_lang = g.src_lang and s.tgt_lang = g.tgt_lang)
+""")
+def q_pending_units(spark, sf_dir):
+    grid = J.translation_grid(_e2_models(spark, sf_dir)).select(*UNIT_KEYS)
+    done = fixtures.segments(spark, sf_dir).select(*UNIT_KEYS)
+    return J.pending_units(grid, done, UNIT_KEYS)
+
+
+@query("coverage_counts", f"""
+with {O.e2()}, {O.PREP}, {_METRICS0}, {_GRID},
+j as (select g.model, g.dataset, m0.n_segments, m0.metricx from grid g left join m0 using ({O.UNIT}))
+select model, dataset, count(*) as n_expected, count(n_segments) as n_present,
+       count(*) filter (where n_segments is null) as n_absent,
+       count(*) filter (where n_segments is not null and (metricx is null or isnan(metricx))) as n_missing_metric
+from j group by model, dataset
+""")
+def q_coverage_counts(spark, sf_dir):
+    from ..functions.text import is_missing_numeric
+    prep = _prepared(spark, sf_dir)
+    grid = J.translation_grid(_e2_models(spark, sf_dir))
+    produced = _metrics0(prep).withColumn("miss", is_missing_numeric("metricx"))
+    return K.coverage_counts(grid, produced, ["model", "dataset"], UNIT_KEYS, missing_flag="miss")
+
+
+@query("run_status", f"""
+with {O.e2()}, {_GRID},
+st as (
+ select 'evaluate' as stage, g.model || '/' || g.dataset || '/' || g.src_lang || '/' || g.tgt_lang as unit,
+   case when exists (select 1 from seg s where s.model = g.model and s.dataset = g.dataset and s.tgt_lang = g.tgt_lang)
+        then 'ok' else 'missing' end as status,
+   case when exists (select 1 from seg s where s.model = g.model and s.dataset = g.dataset and s.tgt_lang = g.tgt_lang)
+        then NULL else 'no output for unit' end as detail
+ from grid g
+ union all
+ select distinct 'evaluate', model || '/' || dataset || '/' || src_lang || '/' || tgt_lang || '-x', 'error',
+   'pair name ' || src_lang || '-' || tgt_lang || '-x' || ' is not src-tgt'
+ from seg)
+select * from st
+""")
+def q_run_status(spark, sf_dir):
+    seg = fixtures.segments(spark, sf_dir)
+    grid = J.translation_grid(_e2_models(spark, sf_dir))
+    pair = F.concat(TX.make_pair("src_lang", "tgt_lang"), F.lit("-x"))
+    files = seg.select("model", "dataset", pair.alias("pair")).distinct()
+    src, tgt, valid = TX.split_pair("pair")
+    parsed = files.select("model", "dataset", "pair", src.alias("src_lang"), tgt.alias("tgt_lang"), valid.alias("ok"))
+    errors = (parsed.filter(~F.col("ok"))
+              .select("model", "dataset", F.lit("eng").alias("src_lang"),
+                      F.regexp_extract("pair", "^[^-]*-(.*)$", 1).alias("tgt_lang"),
+                      F.concat(F.lit("pair name "), F.col("pair"), F.lit(" is not src-tgt")).alias("detail")))
+    return K.unit_status(grid, seg, UNIT_KEYS, "evaluate", errors=errors)
+
+
+# --------------------------------------------------------- E3: correlation
+def _aligned(spark, sf_dir):
+    sm = fixtures.score_metric(spark, sf_dir)
+    scores = sm.unpivot(["model", "lang_id"], ["score_a", "score_b"], "benchmark", "score")
+    metrics = sm.unpivot(["model", "lang_id"], ["metric_x", "metric_y"], "metric", "value")
+    return C.align_scores_metrics(scores, metrics, ["model", "lang_id"])
+
+
+_ALIGNED = f"""{O.e3()},
+sl as (select model, lang_id, 'score_a' as benchmark, score_a as score from sm
+       union all select model, lang_id, 'score_b', score_b from sm),
+ml as (select model, lang_id, 'metric_x' as metric, metric_x as value from sm
+       union all select model, lang_id, 'metric_y', metric_y from sm),
+al as (select sl.model, sl.lang_id, benchmark, score, metric, value from sl join ml using (model, lang_id))"""
+
+
+@query("align_scores_metrics", f"""
+with {_ALIGNED}
+select model, lang_id, benchmark, round(score, 6) as score, metric, round(value, 6) as value from al
+""")
+def q_align_scores_metrics(spark, sf_dir):
+    a = _aligned(spark, sf_dir)
+    return a.select("model", "lang_id", "benchmark", F.round("score", 6).alias("score"), "metric",
+                    F.round("value", 6).alias("value"))
+
+
+@query("pearson_by_benchmark", f"""
+with {_ALIGNED}
+select model, benchmark, metric, round(corr(value, score), 6) as r, count(*) as n_langs
+from al group by model, benchmark, metric
+""")
+def q_pearson_by_benchmark(spark, sf_dir):
+    r = C.pearson_by_benchmark(_aligned(spark, sf_dir), ["model", "benchmark", "metric"])
+    return r.select("model", "benchmark", "metric", F.round("r", 6).alias("r"), "n_langs")
+
+
+@query("median_correlation", f"""
+with {_ALIGNED},
+r as (select model, benchmark, metric, corr(value, score) as r from al group by model, benchmark, metric)
+select model, metric, round(median(r), 6) as median_r, count(r) as n_r from r group by model, metric
+""")
+def q_median_correlation(spark, sf_dir):
+    r = C.pearson_by_benchmark(_aligned(spark, sf_dir), ["model", "benchmark", "metric"])
+    m = C.median_correlation(r, ["model", "metric"])
+    return m.select("model", "metric", F.round("median_r", 6).alias("median_r"), "n_r")
+
+
+# ----------------------------------------------------- corpora and prompts
+from ..sources import corpus as S  # noqa: E402
+
+
+@query("scan_corpus", f"""
+with c as ({fixtures.E4_SQL})
+select dataset, split, seg_id, eng_Latn from c
+where split = case dataset when 'flores-200' then 'devtest' when 'wmt24' then 'train' else 'test' end
+""")
+def q_scan_corpus(spark, sf_dir):
+    return S.scan_corpus(fixtures.corpus_wide(spark, sf_dir)).select("dataset", "split", "seg_id", "eng_Latn")
+
+
+_PAIRS = f"""c as ({fixtures.E4_SQL}),
+cs as (select * from c where split = case dataset when 'flores-200' then 'devtest' when 'wmt24' then 'train' else 'test' end),
+lc as {O.lang_corpus_sql()},
+long as (
+  select dataset, seg_id, eng_Latn, 'fra_Latn' as corpus_code, fra_Latn as target from cs
+  union all select dataset, seg_id, eng_Latn, 'deu_Latn', deu_Latn from cs
+  union all select dataset, seg_id, eng_Latn, 'spa_Latn', spa_Latn from cs
+  union all select dataset, seg_id, eng_Latn, 'fr_FR', fr_FR from cs
+  union all select dataset, seg_id, eng_Latn, 'de_DE', de_DE from cs
+  union all select dataset, seg_id, eng_Latn, 'es_MX', es_MX from cs),
+pairs as (select l.dataset, l.seg_id, 'eng' as src_lang, lc.lang_code as tgt_lang, l.eng_Latn as source, l.target
+  from long l join lc on lc.dataset = l.dataset and lc.corpus_code = l.corpus_code
+  where l.target is not null and l.eng_Latn is not null)"""
+
+
+def _pairs(spark, sf_dir):
+    wide = S.scan_corpus(fixtures.corpus_wide(spark, sf_dir))
+    return S.select_pair_columns(wide, J.lang_corpus_df(spark))
+
+
+@query("select_pair_columns", f"""
+with {_PAIRS}
+select * from pairs
+""")
+def q_select_pair_columns(spark, sf_dir):
+    return _pairs(spark, sf_dir)
+
+
+@query("drop_leading_row", f"""
+with {_PAIRS}
+select dataset, tgt_lang, count(*) as n_segments, min(seg_id) as first_seg from pairs
+where not (dataset = 'wmt24' and seg_id = 0) group by dataset, tgt_lang
+""")
+def q_drop_leading_row(spark, sf_dir):
+    d = S.drop_leading_row(_pairs(spark, sf_dir))
+    return d.groupBy("dataset", "tgt_lang").agg(F.count(F.lit(1)).alias("n_segments"),
+                                                F.min("seg_id").alias("first_seg"))
+
+
+@query("build_prompt", f"""
+with {_PAIRS},
+pr as (select p.dataset, p.seg_id, p.tgt_lang, {O.prompt_sql('l.name', 'p.source')} as prompt
+  from pairs p join {O.languages_values()} l on l.lang_code = p.tgt_lang
+  where not (p.dataset = 'wmt24' and p.seg_id = 0))
+select dataset, seg_id, tgt_lang, prompt from pr
+""")
+def q_build_prompt(spark, sf_dir):
+    from .. import registry as R
+    pairs = S.drop_leading_row(_pairs(spark, sf_dir))
+    names = R.languages_df(spark).select(F.col("lang_code").alias("tgt_lang"), "name")
+    j = pairs.join(F.broadcast(names), "tgt_lang")  # fixed 120-row table
+    return j.select("dataset", "seg_id", "tgt_lang", S.build_prompt(j, "name", "source").alias("prompt"))
+
+
+def _requests(spark, sf_dir):
+    """Prompts from the user turns of ``conversations``: each conversation
+    is assigned a registry model and a target language by id."""
+    from .. import registry as R
+    fixtures.register(spark, sf_dir, ["conversations"])
+    conv = spark.table("conversations").filter(F.col("role") == "user")
+    n_models = len(R._rows(R.MODELS_CSV))
+    n_langs = len(R._rows(R.LANGUAGES_CSV))
+    midx = spark.createDataFrame([(i, r[0], r[2]) for i, r in enumerate(R._rows(R.MODELS_CSV))],
+                                 "midx long, model string, family string")
+    lidx = spark.createDataFrame([(i, r[0], r[1]) for i, r in enumerate(R._rows(R.LANGUAGES_CSV))],
+                                 "lidx long, tgt_lang string, name string")
+    c = conv.select("conv_id", F.col("turn").alias("seg_id"), F.col("text").alias("source"),
+                    (F.col("conv_id") % n_models).alias("midx"), (F.col("conv_id") % n_langs).alias("lidx"))
+    c = c.join(F.broadcast(midx), "midx").join(F.broadcast(lidx), "lidx")  # fixed registry tables
+    c = S.with_sampling(c, R.sampling_df(spark))
+    return c.withColumn("prompt", S.build_prompt(c, "name", "source"))
+
+
+_REQ = f"""req as (
+ select c.conv_id, c.turn as seg_id, m.model, m.family, l.lang_code as tgt_lang,
+   {O.prompt_sql('l.name', 'c.text')} as prompt,
+   coalesce(s.temperature, 0.7) as temperature, s.top_p, s.top_k, coalesce(s.max_tokens, 1024) as max_tokens
+ from conversations c
+ join {O.models_values()} m on m.idx = c.conv_id % 15
+ join {O.languages_indexed()} l on l.idx = c.conv_id % 120
+ left join {O.sampling_values()} s on s.family = m.family
+ where c.role = 'user')"""
+
+
+@query("sampling_for_family", f"""
+with {_REQ}
+select conv_id, seg_id, model, temperature, top_p, top_k, max_tokens from req
+""")
+def q_sampling_for_family(spark, sf_dir):
+    return _requests(spark, sf_dir).select("conv_id", "seg_id", "model", "temperature", "top_p", "top_k",
+                                           "max_tokens")
+
+
+@query("generate_translations", f"""
+with {_REQ}
+select conv_id, seg_id, model, tgt_lang, cast(length(prompt) as varchar) || ' ' || cast(temperature as varchar) as translation
+from req
+""")
+def q_generate_translations(spark, sf_dir):
+    r = _requests(spark, sf_dir)
+    g = U.generate(r, standins.echo_generator, "prompt", "translation")
+    return g.select("conv_id", "seg_id", "model", "tgt_lang", "translation")

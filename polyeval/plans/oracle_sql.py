@@ -208,3 +208,40 @@ select u.model, u.dataset, u.src_lang, u.tgt_lang,
   round_even(case when coalesce(P, 0) + coalesce(R, 0) > 0 then 100.0 * 5 * P * R / (4 * P + R) else 0.0 end, 2) as chrf
 from units u left join pr using ({UNIT})
 """
+
+
+def lang_corpus_sql() -> str:
+    L = languages_values()
+    return f"""(select lang_code, name, 'flores-200' as dataset, flores_code as corpus_code from {L} x where flores_code is not null
+ union all select lang_code, name, 'wmt24', wmt_code from {L} x where wmt_code is not null
+ union all select lang_code, name, 'ntrex', ntrex_code from {L} x where ntrex_code is not null)"""
+
+
+def models_values() -> str:
+    rows = ",".join(f"({i},{_q(r[0])},{_q(r[2])})" for i, r in enumerate(registry._rows(registry.MODELS_CSV)))
+    return f"(select * from (values {rows}) v(idx, model, family))"
+
+
+def sampling_values() -> str:
+    def v(x):
+        return "NULL" if x is None else repr(x)
+    rows = ",".join(f"({_q(f)},{v(t)},{v(p)},{v(k)},{v(m)})" for f, t, p, k, m in registry.SAMPLING)
+    return (f"(select family, cast(temperature as double) temperature, cast(top_p as double) top_p, "
+            f"cast(top_k as integer) top_k, cast(max_tokens as integer) max_tokens "
+            f"from (values {rows}) v(family, temperature, top_p, top_k, max_tokens))")
+
+
+def languages_indexed() -> str:
+    rows = ",".join(f"({i},{_q(r[0])},{_q(r[1])})" for i, r in enumerate(registry._rows(registry.LANGUAGES_CSV)))
+    return f"(select * from (values {rows}) v(idx, lang_code, name))"
+
+
+def prompt_sql(name: str, text: str) -> str:
+    t = registry.PROMPT_TEMPLATES["thinking_off"]
+    a, rest = t.split("{name}", 1)
+    b, rest = rest.split("{text}", 1)
+    c, d = rest.split("{name}", 1)
+    return f"({_q(a)} || {name} || {_q(b)} || {text} || {_q(c)} || {name} || {_q(d)})".replace(
+        "\n", "' || chr(10) || '")
+
+

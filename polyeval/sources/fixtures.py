@@ -69,6 +69,32 @@ from lineitem group by concat('m', cast(l_suppkey % 14 as string)), l_partkey %
 """
 
 
+# E4 corpus: a wide parallel corpus (one text column per corpus code) built
+# from documents: 12 consecutive ids share a row position, each document
+# fills its language's column; rows at every fifth position belong to another
+# split.
+E4_SQL = """
+select dataset, split, seg_id,
+  min_by(text, doc_id) filter (where corpus_code = 'eng_Latn') as eng_Latn,
+  min_by(text, doc_id) filter (where corpus_code = 'fra_Latn') as fra_Latn,
+  min_by(text, doc_id) filter (where corpus_code = 'deu_Latn') as deu_Latn,
+  min_by(text, doc_id) filter (where corpus_code = 'spa_Latn') as spa_Latn,
+  min_by(text, doc_id) filter (where corpus_code = 'fr_FR') as fr_FR,
+  min_by(text, doc_id) filter (where corpus_code = 'de_DE') as de_DE,
+  min_by(text, doc_id) filter (where corpus_code = 'es_MX') as es_MX
+from (
+ select case doc_id % 3 when 0 then 'flores-200' when 1 then 'ntrex' else 'wmt24' end as dataset,
+   cast(floor(doc_id / 12.0) as bigint) as seg_id, doc_id, text,
+   case when cast(floor(doc_id / 12.0) as bigint) % 5 = 4 then 'dev'
+        else case doc_id % 3 when 0 then 'devtest' when 1 then 'test' else 'train' end end as split,
+   case when lang = 'en' then 'eng_Latn'
+        when doc_id % 3 = 2 then case lang when 'fr' then 'fr_FR' when 'de' then 'de_DE' else 'es_MX' end
+        else case lang when 'fr' then 'fra_Latn' when 'de' then 'deu_Latn' else 'spa_Latn' end end as corpus_code
+ from documents) d
+group by dataset, split, seg_id
+"""
+
+
 def raw_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     register(spark, sf_dir, ["events"])
     return spark.sql(E1_SQL)
@@ -84,6 +110,11 @@ def score_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(E3_SQL)
 
 
+def corpus_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register(spark, sf_dir, ["documents"])
+    return spark.sql(E4_SQL)
+
+
 def _metrics_map(task: Column, score: Column, score2: Column) -> Column:
     return (F.when(task.startswith("hellaswag_"),
                    F.create_map(F.lit("acc_norm,none"), score, F.lit("acc,none"), score2))
