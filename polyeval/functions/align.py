@@ -98,7 +98,8 @@ def _chunks(matches: list[tuple[int, int]]) -> int:
 def meteor_segment(hyp: str, ref: str, alpha: float = 0.9, beta: float = 3.0, gamma: float = 0.5,
                    synonyms: dict[str, frozenset] | None = None) -> float:
     """METEOR of one segment: exact, then Porter-stem, then (optional)
-    synonym matching, each one-to-one on the words left over; F-mean with
+    synonym matching, each one-to-one on the words left over (the synonym
+    stage sees them stemmed, as the reference scorer does); F-mean with
     recall weight ``alpha``; fragmentation penalty gamma*(chunks/matches)^beta."""
     h = [(i, w.lower()) for i, w in enumerate(word_tokenize(hyp))]
     r = [(i, w.lower()) for i, w in enumerate(word_tokenize(ref))]

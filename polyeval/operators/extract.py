@@ -28,7 +28,10 @@ def falsy_or(a: Column, b: Column) -> Column:
 
 
 def _metric(metrics: Column, key: str) -> Column:
-    return metrics[key].try_cast("double")
+    """Metric value as double. The JSON reader hands non-finite numbers over
+    as quoted text ("NaN", "Infinity"), so quotes are trimmed before the cast;
+    any other non-numeric text becomes NULL."""
+    return F.btrim(metrics[key], F.lit('"')).try_cast("double")
 
 
 def _case(rs: list[dict], value) -> Column:

@@ -57,7 +57,7 @@ select * from kv
 def q_scan_results(spark, sf_dir):
     t = _tasks(spark, sf_dir)
     return (t.select("model", "run_id", "pos", "task", F.explode("metrics").alias("metric", "v"))
-             .select("model", "run_id", "pos", "task", "metric", F.col("v").try_cast("double").alias("value")))
+             .select("model", "run_id", "pos", "task", "metric", F.btrim(F.col("v"), F.lit('"')).try_cast("double").alias("value")))
 
 
 @query("result_path_match", f"""
@@ -129,8 +129,8 @@ from ent where task like 'hellaswag\\_%' escape '\\'
 """)
 def q_falsy_or(spark, sf_dir):
     t = _tasks(spark, sf_dir).filter(F.col("task").startswith("hellaswag_"))
-    a = F.col("metrics")["acc_norm,none"].try_cast("double")
-    b = F.col("metrics")["acc,none"].try_cast("double")
+    a = results.metric_value(F.col("metrics"), "acc_norm,none")
+    b = results.metric_value(F.col("metrics"), "acc,none")
     return t.select("model", "run_id", "pos", a.alias("acc_norm"), b.alias("acc"), X.falsy_or(a, b).alias("picked"))
 
 

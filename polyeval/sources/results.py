@@ -42,11 +42,14 @@ def parse_documents(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
 
 def documents_status(df: DataFrame, text_col: str, unit_col: str) -> DataFrame:
     """K6 for S1: one status row per document (ok / no results / corrupt)."""
-    doc = F.from_json(F.col(text_col), schemas.RESULT_DOC)
-    status = (F.when(doc.isNull(), F.lit("error"))
+    from pyspark.sql import types as T
+    schema = T.StructType(schemas.RESULT_DOC.fields + [T.StructField("_corrupt", T.StringType())])
+    doc = F.from_json(F.col(text_col), schema, {"columnNameOfCorruptRecord": "_corrupt"})
+    bad = doc.isNull() | doc["_corrupt"].isNotNull()
+    status = (F.when(bad, F.lit("error"))
                .when(doc["results"].isNull(), F.lit("skipped"))
                .otherwise(F.lit("ok")))
-    detail = (F.when(doc.isNull(), F.lit("corrupt JSON"))
+    detail = (F.when(bad, F.lit("corrupt JSON"))
                .when(doc["results"].isNull(), F.lit("no results key"))
                .otherwise(F.concat(F.size(doc["results"]).cast("string"), F.lit(" tasks"))))
     return df.select(F.lit("scan_results").alias("stage"), F.col(unit_col).cast("string").alias("unit"),
@@ -98,4 +101,4 @@ def keep_latest(df: DataFrame, model_col: str, run_col: str, time_col: str) -> D
 
 def metric_value(metrics: Column, key: str) -> Column:
     """Metric lookup with numeric coercion: non-numeric text -> NULL."""
-    return metrics[key].try_cast("double")
+    return F.btrim(metrics[key], F.lit('"')).try_cast("double")
