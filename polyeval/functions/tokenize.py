@@ -8,6 +8,7 @@ once per Python worker.
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import pandas as pd
@@ -59,6 +60,70 @@ def tok_none(c: Column) -> Column:
     return split_ws(c)
 
 
+# ---- the same tokenizers as plain Python, for use inside Arrow tasks ----
+_13A_PY = [(re.compile(p), r.replace("$1", r"\1").replace("$2", r"\2"))
+           for p, r in _13A_RULES]
+
+
+def py_13a(line: str) -> list[str]:
+    line = line.rstrip()
+    for a, b in _13A_PRE:
+        line = line.replace(a, b)
+    line = f" {line} "
+    for pat, rep in _13A_PY:
+        line = pat.sub(rep, line)
+    return line.split()
+
+
+def py_char(line: str) -> list[str]:
+    return list("".join(line.rstrip().split()))
+
+
+def py_none(line: str) -> list[str]:
+    return line.rstrip().split()
+
+
+def py_chrf_chars(line: str) -> str:
+    return "".join(line.split())
+
+
+def py_chrf_words(line: str) -> list[str]:
+    out = []
+    for w in line.split():
+        if len(w) == 1:
+            out.append(w)
+        elif w[-1] in PUNCTUATION:
+            out += [w[:-1], w[-1]]
+        elif w[0] in PUNCTUATION:
+            out += [w[0], w[1:]]
+        else:
+            out.append(w)
+    return out
+
+
+class _SpmTokens:
+    def __init__(self, model_path: str):
+        self.model_path = model_path
+
+    def __call__(self, line: str) -> list[str]:
+        return " ".join(_spm(self.model_path).encode(line.rstrip(), out_type=str)).split()
+
+
+def py_bleu_tokenizer(tokenizer: str = "13a", spm_model: str | None = None):
+    """The BLEU tokenizer as a picklable per-text function."""
+    if tokenizer == "13a":
+        return py_13a
+    if tokenizer == "char":
+        return py_char
+    if tokenizer in ("none", "whitespace"):
+        return py_none
+    if tokenizer in ("spm", "flores200", "flores101"):
+        if not spm_model:
+            raise ValueError(f"tokenizer={tokenizer!r} needs spm_model=<path to a SentencePiece model>")
+        return _SpmTokens(spm_model)
+    raise ValueError(f"unknown tokenizer {tokenizer!r}")
+
+
 @lru_cache(maxsize=4)
 def _spm(model_path: str):
     import sentencepiece as spm

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import round_half_even
-from ..functions.tokenize import bleu_token_string
+from ..functions.tokenize import py_bleu_tokenizer
 from . import ngram
 
 _LOG_ZERO = -9999999999.0
@@ -39,14 +39,12 @@ def bleu_from_stats(match: list[Column], total: list[Column], sys_len: Column, r
 def corpus_bleu(seg: DataFrame, keys: list[str], hyp: str = "hyp", ref: str = "ref",
                 tokenizer: str = "13a", spm_model: str | None = None, max_order: int = 4,
                 digits: int | None = 2) -> DataFrame:
-    """(keys, seg_id, hyp, ref) -> (keys, bleu, sys_len, ref_len)."""
-    s = seg.select(*keys, "seg_id",
-                   bleu_token_string(hyp, tokenizer, spm_model).alias("_ht"),
-                   bleu_token_string(ref, tokenizer, spm_model).alias("_rt"))
+    """(keys, seg_id, hyp, ref) -> (keys, bleu, sys_len, ref_len).
+    Texts are right-stripped and tokenized inside the statistics task."""
     orders = list(range(1, max_order + 1))
     specs = [(n, "tok", n) for n in orders]
-    w = ngram.unit_stats(s, keys, specs, {"tok": "_ht"}, {"tok": "_rt"},
-                            clip_hyp_when_no_ref=False)
+    w = ngram.unit_stats(seg, keys, specs, hyp, ref, {"tok": py_bleu_tokenizer(tokenizer, spm_model)},
+                         clip_hyp_when_no_ref=False)
     score = bleu_from_stats([F.col(f"match_{n}") for n in orders], [F.col(f"hyp_{n}") for n in orders],
                             F.col("hyp_1"), F.col("ref_1"))
     score = round_half_even(score, digits) if digits is not None else score

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import round_half_even
-from ..functions.tokenize import chrf_chars, chrf_words
+from ..functions.tokenize import py_chrf_chars, py_chrf_words
 from . import ngram
 
 
@@ -31,16 +31,14 @@ def chrf_from_stats(hyp: list[Column], ref: list[Column], match: list[Column], b
 def corpus_chrf(seg: DataFrame, keys: list[str], hyp: str = "hyp", ref: str = "ref",
                 char_order: int = 6, word_order: int = 0, beta: float = 2.0,
                 digits: int | None = 2, out_col: str = "chrf") -> DataFrame:
-    cols = [chrf_chars(hyp).alias("_hc"), chrf_chars(ref).alias("_rc")]
-    hyp_map, ref_map = {"char": "_hc"}, {"char": "_rc"}
-    if word_order:
-        cols += [F.array_join(chrf_words(hyp), " ").alias("_hw"), F.array_join(chrf_words(ref), " ").alias("_rw")]
-        hyp_map["word"], ref_map["word"] = "_hw", "_rw"
-    s = seg.select(*keys, "seg_id", *cols)
+    """(keys, seg_id, hyp, ref) -> (keys, chrf). Characters: the text without
+    whitespace; words (chrF++): whitespace split, one punctuation mark split
+    off a word's end (else its start)."""
     specs = [(n, "char", n) for n in range(1, char_order + 1)] + \
             [(char_order + n, "word", n) for n in range(1, word_order + 1)]
     labels = [o for (o, _, _) in specs]
-    w = ngram.unit_stats(s, keys, specs, hyp_map, ref_map, clip_hyp_when_no_ref=True)
+    w = ngram.unit_stats(seg, keys, specs, hyp, ref, {"char": py_chrf_chars, "word": py_chrf_words},
+                         clip_hyp_when_no_ref=True)
     score = chrf_from_stats([F.col(f"hyp_{o}") for o in labels], [F.col(f"ref_{o}") for o in labels],
                             [F.col(f"match_{o}") for o in labels], beta)
     score = round_half_even(score, digits) if digits is not None else score
