@@ -8,7 +8,9 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings that matter for the plans in this package. Everything else is left
-# to the cluster's defaults.
+# to the cluster's defaults -- in particular the broadcast threshold: only the
+# fixed registry tables are broadcast explicitly; any other broadcast is the
+# planner's decision from measured sizes (AQE) under Spark's default limit.
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -18,8 +20,6 @@ SCALE_CONF = {
     # Arrow batches for the scorer / LCS / METEOR UDFs: bounded memory per
     # Python worker whatever the partition size.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
-    # Broadcast only what the planner has measured as small.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
 

@@ -120,8 +120,10 @@ def write_segment_files(seg: DataFrame, base: str) -> None:
 
 
 def append_metrics(rows: DataFrame, path: str) -> None:
-    """K3: append metric rows (partitioned by model/dataset)."""
+    """K3: append metric rows (partitioned by model/dataset), pairs in
+    sorted order inside each file."""
     (rows.select(*[f.name for f in schemas.METRICS.fields])
+         .sortWithinPartitions("model", "dataset", "src_lang", "tgt_lang")
          .write.mode("append").partitionBy("model", "dataset").parquet(path))
 
 

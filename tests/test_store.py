@@ -57,7 +57,8 @@ def test_scorer_jsonl_roundtrip(spark, tmp_path):
     df = spark.createDataFrame([("eng", "ü ß 猫", "hyp ü")], "src string, ref string, hyp string")
     out = str(tmp_path / "in.jsonl")
     store.export_scorer_jsonl(df, out)
-    line = open([os.path.join(out, f) for f in os.listdir(out) if f.endswith(".json")][0], encoding="utf-8").read()
+    line = "".join(open(os.path.join(out, f), encoding="utf-8").read()
+                   for f in sorted(os.listdir(out)) if f.endswith(".json"))
     assert "猫" in line and "\\u" not in line
     assert json.loads(line) == {"source": "eng", "reference": "ü ß 猫", "hypothesis": "hyp ü"}
     pred = tmp_path / "pred.jsonl"
@@ -80,6 +81,23 @@ def test_write_scores_dynamic_overwrite(spark, tmp_path):
     assert got == [("m1", "ita"), ("m2", "spa")]
     files = [f for f in os.listdir(os.path.join(path, "model=m2")) if f.endswith(".csv")]
     assert len(files) == 1
+    # rows ascending by lang_code inside the model's file
+    store.write_scores(a.unionByName(b), path)
+    f = [x for x in os.listdir(os.path.join(path, "model=m1")) if x.endswith(".csv")][0]
+    lines = open(os.path.join(path, "model=m1", f)).read().splitlines()
+    assert lines[0] == "lang_code,belebele" and [x.split(",")[0] for x in lines[1:]] == ["deu", "fra", "ita"]
+
+
+def test_write_segments_partitioned(spark, tmp_path):
+    path = str(tmp_path / "segs")
+    rows = [("m", ds, "eng", t, i, f"s{i}", f"t{i}", f"h{i}") for ds in ("ntrex", "wmt24")
+            for t in ("fra", "deu") for i in range(3)]
+    df = spark.createDataFrame(rows, schemas.SEGMENTS)
+    store.write_segments(df, path)
+    assert sorted(os.listdir(path + "/dataset=ntrex/model=m")) == ["tgt_lang=deu", "tgt_lang=fra"]
+    back = store.read_segments(spark, path)
+    assert back.count() == 12
+    assert back.filter("dataset = 'wmt24' and tgt_lang = 'fra'").count() == 3
 
 
 def test_append_and_upsert_metrics(spark, tmp_path):
