@@ -41,3 +41,24 @@ def test_split_pair(spark, pair, ok):
     if ok:
         assert TX.make_pair(F.lit(r["s"]), F.lit(r["t"])) is not None
         assert f'{r["s"]}-{r["t"]}' == pair
+
+
+def test_native_tokenizers_match_python(spark):
+    import random
+
+    from polyeval.functions import tokenize as TK
+    rnd = random.Random(5)
+    alphabet = list("ab Z9.,-&;()[]{}<>'\"$/\\\n\tü猫") + ["&amp;", "&quot;", "<skipped>", "-\n", "  "]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40))) for _ in range(300)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = df.select("i", TK.bleu_tokens("t", "13a").alias("a"), TK.bleu_tokens("t", "char").alias("c"),
+                    TK.bleu_tokens("t", "none").alias("n"), TK.chrf_chars("t").alias("cc"),
+                    TK.chrf_words("t").alias("w"), TK.bleu_token_string("t").alias("s")).collect()
+    for r in got:
+        t = texts[r["i"]]
+        assert list(r["a"]) == TK.py_13a(t), t
+        assert r["s"] == " ".join(TK.py_13a(t)), t
+        assert list(r["c"]) == TK.py_char(t), t
+        assert list(r["n"]) == TK.py_none(t), t
+        assert r["cc"] == TK.py_chrf_chars(t), t
+        assert list(r["w"]) == TK.py_chrf_words(t), t
