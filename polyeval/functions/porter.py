@@ -56,14 +56,6 @@ def _cvc(w: str) -> bool:
     return False
 
 
-def _replace(w, rules, cond):
-    for suf, rep in rules:
-        if w.endswith(suf):
-            stem = w[: len(w) - len(suf)]
-            return (stem + rep) if cond(stem) else w
-    return w
-
-
 def _step1a(w):
     if w.endswith("ies") and len(w) == 4:
         return w[:-3] + "ie"
@@ -113,29 +105,56 @@ _STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "men
           "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize"]
 
 
+def _by_length(pairs):
+    """Suffix tables keyed by length, longest first: the longest matching
+    suffix is found with one dict lookup per length."""
+    out: dict[int, dict[str, str]] = {}
+    for suf, rep in pairs:
+        out.setdefault(len(suf), {})[suf] = rep
+    return sorted(out.items(), reverse=True)
+
+
+_STEP2_T = _by_length(_STEP2)
+_STEP3_T = _by_length(_STEP3)
+_STEP4_T = _by_length([(x, "") for x in _STEP4])
+
+
+def _longest(w, table):
+    n = len(w)
+    for length, d in table:
+        if n >= length:
+            rep = d.get(w[n - length:])
+            if rep is not None:
+                return w[: n - length], w[n - length:], rep
+    return None
+
+
 def _step2(w):
-    # longest matching suffix wins
-    for suf, rep in sorted(_STEP2, key=lambda r: -len(r[0])):
-        if w.endswith(suf):
-            stem = w[: len(w) - len(suf)]
-            if suf == "alli" and _m(stem) > 0:
-                return _step2(stem + "al")
-            return stem + rep if _m(stem) > 0 else w
-    return w
+    hit = _longest(w, _STEP2_T)
+    if hit is None:
+        return w
+    stem, suf, rep = hit
+    if suf == "alli" and _m(stem) > 0:
+        return _step2(stem + "al")
+    return stem + rep if _m(stem) > 0 else w
 
 
 def _step3(w):
-    return _replace(w, sorted(_STEP3, key=lambda r: -len(r[0])), lambda s: _m(s) > 0)
+    hit = _longest(w, _STEP3_T)
+    if hit is None:
+        return w
+    stem, _suf, rep = hit
+    return stem + rep if _m(stem) > 0 else w
 
 
 def _step4(w):
-    for suf in sorted(_STEP4, key=len, reverse=True):
-        if w.endswith(suf):
-            stem = w[: len(w) - len(suf)]
-            if suf == "ion":
-                return stem if _m(stem) > 1 and stem.endswith(("s", "t")) else w
-            return stem if _m(stem) > 1 else w
-    return w
+    hit = _longest(w, _STEP4_T)
+    if hit is None:
+        return w
+    stem, suf, _rep = hit
+    if suf == "ion":
+        return stem if _m(stem) > 1 and stem.endswith(("s", "t")) else w
+    return stem if _m(stem) > 1 else w
 
 
 def _step5(w):
@@ -149,7 +168,7 @@ def _step5(w):
     return w
 
 
-@lru_cache(maxsize=65536)
+@lru_cache(maxsize=1 << 18)
 def stem(word: str) -> str:
     w = word.lower()
     if w in _IRREGULAR:

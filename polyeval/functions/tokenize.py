@@ -65,13 +65,23 @@ _13A_PY = [(re.compile(p), r.replace("$1", r"\1").replace("$2", r"\2"))
            for p, r in _13A_RULES]
 
 
+# The first 13a rule pads every character of its class with spaces. Padding
+# a space with spaces changes no token, so the in-task version leaves spaces
+# out of the class (most matches in running text are spaces).
+_13A_RULE0_NO_SPACE = re.compile(r"[\{-\~\[-\`!-\&\(-\+\:-\@\/]")
+
+
 def py_13a(line: str) -> list[str]:
     line = line.rstrip()
     for a, b in _13A_PRE:
-        line = line.replace(a, b)
-    line = f" {line} "
-    for pat, rep in _13A_PY:
-        line = pat.sub(rep, line)
+        if a in line:
+            line = line.replace(a, b)
+    line = _13A_RULE0_NO_SPACE.sub(r" \g<0> ", f" {line} ")
+    if "." in line or "," in line:
+        line = _13A_PY[1][0].sub(_13A_PY[1][1], line)
+        line = _13A_PY[2][0].sub(_13A_PY[2][1], line)
+    if "-" in line:
+        line = _13A_PY[3][0].sub(_13A_PY[3][1], line)
     return line.split()
 
 

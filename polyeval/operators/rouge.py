@@ -1,13 +1,15 @@
 """ROUGE-L F-measure per segment, averaged per unit.
 
-Tokenization is native (lowercase, every run outside [a-z0-9] separates);
-the LCS runs in an Arrow UDF (bit-parallel, per segment); the mean is a
-native aggregate. The reference's scorer reports the middle of a bootstrap
+Tokenization (lowercase, every run outside [a-z0-9] separates) and the LCS
+(bit-parallel) run per segment in an Arrow UDF; the mean is a native
+aggregate. The reference's scorer reports the middle of a bootstrap
 over segments; the plain mean is the value that estimate targets and is
 deterministic."""
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,19 +19,30 @@ from ..functions.align import rouge_l_f
 from ..functions.text import round_half_even
 
 
+_ALNUM_RUN = re.compile(r"[a-z0-9]+")
+
+
+def py_rouge_tokens(text: str) -> list[str]:
+    """Lowercase; every run outside [a-z0-9] separates tokens (i.e. the tokens
+    are the maximal [a-z0-9] runs)."""
+    return _ALNUM_RUN.findall(text.lower())
+
+
 def rouge_tokens(c) -> "F.Column":
+    """The same tokenization as a column expression (array of tokens)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.trim(F.regexp_replace(F.lower(col), "[^a-z0-9]+", " "))
+    s = F.trim(F.regexp_replace(F.lower(col), "[^a-z0-9]+", " "))
+    return F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, " "))
 
 
 @F.pandas_udf(T.DoubleType())
 def rouge_l_udf(hyp: pd.Series, ref: pd.Series) -> pd.Series:
-    return pd.Series([rouge_l_f(h.split() if h else [], r.split() if r else [])
+    return pd.Series([rouge_l_f(py_rouge_tokens(h or ""), py_rouge_tokens(r or ""))
                       for h, r in zip(hyp, ref)], dtype="float64")
 
 
 def segment_rouge_l(seg: DataFrame, keys: list[str], hyp: str = "hyp", ref: str = "ref") -> DataFrame:
-    return seg.select(*keys, "seg_id", rouge_l_udf(rouge_tokens(hyp), rouge_tokens(ref)).alias("rouge_l"))
+    return seg.select(*keys, "seg_id", rouge_l_udf(F.col(hyp), F.col(ref)).alias("rouge_l"))
 
 
 def rouge_l(seg: DataFrame, keys: list[str], hyp: str = "hyp", ref: str = "ref",

@@ -20,7 +20,8 @@ def documents_to_scores_long(docs: DataFrame, aliases: DataFrame, model_col: str
     """Newest document per model -> long score rows (model, run, pos, task,
     benchmark, lang_code, score). The newest run is picked on the document
     table (one row per file), before any parsing."""
-    latest = results.keep_latest(docs, model_col, run_col, time_col)
+    latest = results.newest_document(docs.select(model_col, run_col, time_col, text_col),
+                                     model_col, run_col, time_col)
     tasks = results.parse_documents(latest, text_col, [model_col, run_col])
     return extract_scores(tasks, aliases, keep=[model_col, run_col])
 

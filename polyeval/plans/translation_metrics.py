@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_translation, round_half_even, stringify_missing
 from ..schemas import UNIT_KEYS
-from ..operators.bleu import corpus_bleu
-from ..operators.chrf import corpus_chrf
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -45,32 +43,83 @@ def prepare_segments(seg: DataFrame, na_compat: bool = True, spread_rows: bool =
 
 
 def metric_row(prepared: DataFrame, tokenizer: str = "13a", spm_model: str | None = None,
-               with_rouge_meteor: bool = True,
-               scorers: dict | None = None, chrf_word_order: int = 0) -> DataFrame:
-    """All metrics of a unit in one row. Each metric family aggregates to
-    one row per unit; the families are joined on the unit key (small, per
-    unit). ``scorers``: out column -> (factory, batch_size) for U1 plug-ins
-    (xcomet, ssa_comet); missing ones stay NULL, as does metricx until the
-    back-fill."""
-    from ..operators.neural import system_score
+               with_rouge_meteor: bool = True, scorers: dict | None = None,
+               chrf_word_order: int = 0, meteor_kw: dict | None = None) -> DataFrame:
+    """All metrics of a unit in one row, in one pass over the segments.
+
+    One Arrow task per partition computes, for each segment, the BLEU and chrF
+    statistics, ROUGE-L F, METEOR and the plug-in scorers' segment scores; one
+    hash aggregate per unit sums/averages them (partial aggregation before the
+    only small shuffle); the corpus formulas run on one row per unit. No join
+    between metric families and no cached copy of the segment table.
+    ``scorers``: out column -> (factory, batch_size) for U1 plug-ins (xcomet,
+    ssa_comet); absent ones stay NULL, as does metricx until the back-fill."""
+    from ..functions.align import meteor_segment, rouge_l_f
+    from ..functions.tokenize import py_bleu_tokenizer, py_chrf_chars, py_chrf_words
+    from ..operators import ngram
+    from ..operators.bleu import bleu_from_stats
+    from ..operators.chrf import chrf_from_stats
+    from ..operators.neural import _cached
+    from ..operators.rouge import py_rouge_tokens
+    import pandas as pd
+    from pyspark.sql import types as T
+
     keys = UNIT_KEYS
-    p = prepared.persist()
-    parts = [corpus_bleu(p, keys, "hyp", "ref", tokenizer, spm_model).select(*keys, "bleu"),
-             corpus_chrf(p, keys, "hyp", "ref", word_order=chrf_word_order)]
-    if with_rouge_meteor:
-        from ..operators.meteor import meteor
-        from ..operators.rouge import rouge_l
-        parts.append(rouge_l(p, keys, "hyp", "ref"))
-        parts.append(meteor(p, keys, "hyp", "ref"))
-    for col, (factory, batch) in (scorers or {}).items():
-        parts.append(system_score(p, keys, factory, col, batch_size=batch))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.join(part, keys, "left")
+    scorers = scorers or {}
+    meteor_kw = meteor_kw or {}
+    tok = py_bleu_tokenizer(tokenizer, spm_model)
+    b_specs = [(n, "tok", n) for n in range(1, 5)]
+    c_specs = [(n, "char", n) for n in range(1, 7)] + [(6 + n, "word", n) for n in range(1, chrf_word_order + 1)]
+    b_cols = [f"b_{x}_{o}" for (o, _, _) in b_specs for x in ("hyp", "ref", "match")]
+    c_cols = [f"c_{x}_{o}" for (o, _, _) in c_specs for x in ("hyp", "ref", "match")]
+    f_cols = (["rouge_l", "meteor"] if with_rouge_meteor else []) + list(scorers)
+    schema = T.StructType([prepared.schema[k] for k in keys]
+                          + [T.StructField(c, T.LongType()) for c in b_cols + c_cols]
+                          + [T.StructField(c, T.DoubleType()) for c in f_cols])
+    scorer_items = list(scorers.items())
+
+    def fn(batches):
+        for pdf in batches:
+            srcs, hyps, refs = pdf["src"].tolist(), pdf["hyp"].tolist(), pdf["ref"].tolist()
+            stats, extra = [], []
+            for h, r in zip(hyps, refs):
+                h, r = h or "", r or ""
+                row = ngram._seg_stats({"tok": tok(h)}, {"tok": tok(r)}, b_specs, False)
+                row += ngram._seg_stats({"char": py_chrf_chars(h), "word": py_chrf_words(h) if chrf_word_order else []},
+                                        {"char": py_chrf_chars(r), "word": py_chrf_words(r) if chrf_word_order else []},
+                                        c_specs, True)
+                stats.append(row)
+                if with_rouge_meteor:
+                    extra.append((rouge_l_f(py_rouge_tokens(h), py_rouge_tokens(r)), meteor_segment(h, r, **meteor_kw)))
+            out = pd.concat([pdf[keys].reset_index(drop=True),
+                             pd.DataFrame(stats, columns=b_cols + c_cols, dtype="int64")], axis=1) if stats else \
+                pd.DataFrame({c: pd.Series([], dtype="int64") for c in b_cols + c_cols}).assign(
+                    **{k: pd.Series([], dtype=object) for k in keys})[keys + b_cols + c_cols]
+            if with_rouge_meteor:
+                out["rouge_l"] = pd.Series([e[0] for e in extra], dtype="float64")
+                out["meteor"] = pd.Series([e[1] for e in extra], dtype="float64")
+            for col, (factory, batch_size) in scorer_items:
+                scorer = _cached(factory)
+                triples = [{"src": a, "mt": b, "ref": c} for a, b, c in zip(srcs, hyps, refs)]
+                vals = []
+                for i in range(0, len(triples), batch_size):
+                    vals.extend(scorer(triples[i:i + batch_size]))
+                out[col] = pd.Series(vals, dtype="float64")
+            yield out
+
+    per_seg = prepared.select(*keys, "src", "hyp", "ref").mapInPandas(fn, schema)
+    agg = per_seg.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in b_cols + c_cols],
+                                     *[F.avg(c).alias(c) for c in f_cols])
+    bo = [o for (o, _, _) in b_specs]
+    co = [o for (o, _, _) in c_specs]
+    bleu = bleu_from_stats([F.col(f"b_match_{n}") for n in bo], [F.col(f"b_hyp_{n}") for n in bo],
+                           F.col("b_hyp_1"), F.col("b_ref_1"))
+    chrf = chrf_from_stats([F.col(f"c_hyp_{o}") for o in co], [F.col(f"c_ref_{o}") for o in co],
+                           [F.col(f"c_match_{o}") for o in co])
+    cols = {"bleu": round_half_even(bleu, 2), "chrf": round_half_even(chrf, 2)}
     for c in ["rouge_l", "meteor", "xcomet", "ssa_comet", "metricx"]:
-        if c not in out.columns:
-            out = out.withColumn(c, F.lit(None).cast("double"))
-    return out.select(*keys, "bleu", "chrf", "rouge_l", "meteor", "xcomet", "ssa_comet", "metricx")
+        cols[c] = round_half_even(F.col(c), 4) if c in f_cols else F.lit(None).cast("double")
+    return agg.select(*keys, *[v.alias(k) for k, v in cols.items()])
 
 
 def round_metrics(df: DataFrame) -> DataFrame:

@@ -89,6 +89,17 @@ def latest_run(df: DataFrame, model_col: str, run_col: str, time_col: str) -> Da
               .select(model_col, F.col("_b.r").alias(run_col), F.col("_b.t").alias(time_col)))
 
 
+def newest_document(docs: DataFrame, model_col: str, run_col: str, time_col: str) -> DataFrame:
+    """S3 on a document table (one row per result file): the newest document
+    per model, whole, in one aggregate. ``max_by`` keeps one candidate per
+    model per task before the shuffle (partial aggregation), so only
+    tasks x models documents move, whatever the skew; no second pass over
+    the documents and no join back."""
+    others = [c for c in docs.columns if c != model_col]
+    best = F.max_by(F.struct(*[F.col(c) for c in others]), F.struct(F.col(time_col), F.col(run_col)))
+    return docs.groupBy(model_col).agg(best.alias("_d")).select(model_col, *[F.col(f"_d.{c}").alias(c) for c in others])
+
+
 def keep_latest(df: DataFrame, model_col: str, run_col: str, time_col: str) -> DataFrame:
     """Rows of the newest run per model (semi join against ``latest_run``).
 
