@@ -22,8 +22,18 @@ from ..sources.results import result_path_match
 _SEG_PATH = r"/([^/]+)/([^/]+)/([^/]+)\.csv$"
 
 
-def incremental_metrics(spark: SparkSession, segments_base: str, metrics_path: str, checkpoint: str,
-                        available_now: bool = True, **metric_kw):
+def default_checkpoint(spark: SparkSession, kind: str, *paths: str) -> str:
+    """A stable stream checkpoint under the shared ``spark.checkpoint.dir``:
+    the same inputs/outputs give the same folder, so a re-run resumes."""
+    import hashlib
+
+    from ..session import checkpoint_dir
+    key = hashlib.sha1("\x00".join(paths).encode()).hexdigest()[:16]
+    return f"{checkpoint_dir(spark).rstrip('/')}/streams/{kind}-{key}"
+
+
+def incremental_metrics(spark: SparkSession, segments_base: str, metrics_path: str,
+                        checkpoint: str | None = None, available_now: bool = True, **metric_kw):
     """Score each newly arrived translation file (one file = one unit)
     once and append its metric row."""
     from ..functions.text import split_pair
@@ -46,13 +56,15 @@ def incremental_metrics(spark: SparkSession, segments_base: str, metrics_path: s
         rows = metric_row(prepare_segments(todo), **metric_kw)
         store.append_metrics(rows, metrics_path)
 
+    checkpoint = checkpoint or default_checkpoint(spark, "metrics", segments_base, metrics_path)
     w = seg.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
 
 
 def incremental_scores(spark: SparkSession, results_base: str, scores_path: str, runs_path: str,
-                       checkpoint: str, models: DataFrame | None = None, available_now: bool = True):
+                       checkpoint: str | None = None, models: DataFrame | None = None,
+                       available_now: bool = True):
     """Newly arrived result documents replace a model's scores when they
     are newer than the run the scores came from. ``runs_path`` holds one row
     per model: (model, path, mtime) of the run in use."""
@@ -72,8 +84,9 @@ def incremental_scores(spark: SparkSession, results_base: str, scores_path: str,
             held.select("model", "path", "mtime", F.lit(None).cast("string").alias("value")))
         best = cand.groupBy("model").agg(F.max_by(F.struct("path", "mtime", "value"),
                                                   F.struct("mtime", "path")).alias("b")).select("model", "b.*")
+        # materialized before the runs table it was read from is overwritten
         changed = best.filter(F.col("value").isNotNull()).persist()
-        if changed.isEmpty():
+        if changed.count() == 0:
             changed.unpersist()
             return
         scores = score_table(changed, registry.aliases_df(s), run_col="path")
@@ -83,6 +96,7 @@ def incremental_scores(spark: SparkSession, results_base: str, scores_path: str,
              .partitionBy("model").parquet(runs_path))
         changed.unpersist()
 
+    checkpoint = checkpoint or default_checkpoint(spark, "scores", results_base, scores_path, runs_path)
     w = docs.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()

@@ -36,6 +36,15 @@ def test_two_arrivals_equal_one_batch(spark, tmp_path):
     assert inc == exp and len(inc) == 3
 
 
+def test_default_checkpoint_resumes(spark, tmp_path):
+    base, metrics = tmp_path / "tr", str(tmp_path / "metrics")
+    _unit(base, "ntrex", "m", "eng-fra", 3, 1)
+    _run(incremental_metrics(spark, str(base), metrics, with_rouge_meteor=False))
+    _unit(base, "ntrex", "m", "eng-deu", 3, 2)
+    _run(incremental_metrics(spark, str(base), metrics, with_rouge_meteor=False))
+    assert store.scan_metrics(spark, metrics).count() == 2
+
+
 def test_replay_with_fresh_checkpoint_is_idempotent(spark, tmp_path):
     base, metrics = tmp_path / "tr", str(tmp_path / "metrics")
     _unit(base, "ntrex", "m", "eng-fra", 3, 1)
