@@ -134,26 +134,21 @@ def tok13a_sql(x: str) -> str:
     return s
 
 
-def _gram_rows(src: str, hcol: str, rcol: str, orders: list[int], gram_of) -> str:
-    lst = "[" + ",".join(str(n) for n in orders) + "]"
-    parts = []
-    for side, c in ((0, hcol), (1, rcol)):
-        parts.append(f"""
- select {UNIT}, seg_id, n, {side} as side, {gram_of(c)} as gram from (
-  select {UNIT}, seg_id, n, {c}, unnest(generate_series(1, {_len_of(c, gram_of)} - n + 1)) as i
-  from (select *, unnest({lst}) as n from {src}) x) y""")
-    return " union all ".join(parts)
-
-
-def _len_of(c, gram_of):
-    return f"len({c})"
-
-
-def ngram_stats_sql(src: str, hcol: str, rcol: str, orders: list[int], gram_of, clip: bool) -> str:
-    """CTEs g, cnt, seg_n, per_n over (UNIT, seg_id, hcol, rcol)."""
+def ngram_stats_sql(lists: str, orders: list[int], sep: str, clip: bool) -> str:
+    """CTEs from ``lists`` (UNIT, seg_id, side, tl = list of characters or
+    tokens) to per_n (UNIT, n, hyp, ref, match). n-grams are built with
+    lead() over the unnested list (linear in the text length)."""
+    top = max(orders)
+    leads = ", ".join(f"lead(x, {k}) over w as l{k}" for k in range(1, top))
+    j = f" || '{sep}' || " if sep else " || "
+    grams = " union all ".join(
+        f"select {UNIT}, seg_id, side, {n} as n, " + j.join(["x"] + [f"l{k}" for k in range(1, n)])
+        + f" as gram from xs where pos <= len - {n} + 1" for n in orders)
     h_eff = "case when r > 0 then h else 0 end" if clip else "h"
     return f"""
-g as ({_gram_rows(src, hcol, rcol, orders, gram_of)}),
+x1 as (select {UNIT}, seg_id, side, len(tl) as len, unnest(tl) as x, generate_subscripts(tl, 1) as pos from {lists}),
+xs as (select *{', ' + leads if leads else ''} from x1 window w as (partition by {UNIT}, seg_id, side order by pos)),
+g as ({grams}),
 cnt as (select {UNIT}, seg_id, n, gram, sum(1 - side) as h, sum(side) as r from g group by {UNIT}, seg_id, n, gram),
 seg_n as (select {UNIT}, seg_id, n, sum(h) as h, sum(r) as r, sum(least(h, r)) as m from cnt group by {UNIT}, seg_id, n),
 per_n as (select {UNIT}, n, sum({h_eff}) as hyp, sum(r) as ref, sum(m) as match from seg_n group by {UNIT}, n)
@@ -163,12 +158,10 @@ per_n as (select {UNIT}, n, sum({h_eff}) as hyp, sum(r) as ref, sum(m) as match
 def bleu_sql() -> str:
     orders = [1, 2, 3, 4]
     tok = f"""
-tk as (select {UNIT}, seg_id,
-  case when ht = '' then []::varchar[] else string_split(ht, ' ') end as htl,
-  case when rt = '' then []::varchar[] else string_split(rt, ' ') end as rtl
- from (select {UNIT}, seg_id, {tok13a_sql('hyp')} as ht, {tok13a_sql('ref')} as rt from p) t0),"""
-    stats = ngram_stats_sql("tk", "htl", "rtl", orders,
-                            lambda c: f"array_to_string(list_slice({c}, i, i + n - 1), ' ')", clip=False)
+tk as (select {UNIT}, seg_id, 0 as side, {tok13a_sql('hyp')} as t from p
+       union all select {UNIT}, seg_id, 1, {tok13a_sql('ref')} from p),
+tl as (select {UNIT}, seg_id, side, case when t = '' then []::varchar[] else string_split(t, ' ') end as tl from tk),"""
+    stats = ngram_stats_sql("tl", orders, " ", clip=False)
     wide = ", ".join(f"coalesce(sum(hyp) filter (where n = {n}), 0) as t{n}, "
                      f"coalesce(sum(match) filter (where n = {n}), 0) as c{n}, "
                      f"coalesce(sum(ref) filter (where n = {n}), 0) as r{n}" for n in orders)
@@ -195,8 +188,9 @@ select {UNIT}, round_even({score}, 2) as bleu, cast(t1 as bigint) as sys_len, ca
 def chrf_sql() -> str:
     orders = [1, 2, 3, 4, 5, 6]
     cc = rf"""
-cc as (select {UNIT}, seg_id, regexp_replace(hyp, '\s+', '', 'g') as hc, regexp_replace(ref, '\s+', '', 'g') as rc from p),"""
-    stats = ngram_stats_sql("cc", "hc", "rc", orders, lambda c: f"substring({c}, i, n)", clip=True)
+cc as (select {UNIT}, seg_id, 0 as side, string_split(regexp_replace(hyp, '\s+', '', 'g'), '') as tl from p
+       union all select {UNIT}, seg_id, 1, string_split(regexp_replace(ref, '\s+', '', 'g'), '') from p),"""
+    stats = ngram_stats_sql("cc", orders, "", clip=True)
     return f"""
 with {e2()}, {PREP}, {cc}
 {stats},
