@@ -21,6 +21,15 @@ from ..functions.text import is_missing_numeric, numeric_or_null, split_pair
 
 _SEG_PATH = r"/([^/]+)/([^/]+)/([^/]+)\.csv$"
 
+# FIXED VALUES: the strings pandas' CSV reader treats as missing by default.
+PANDAS_NA = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+             "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+
+def pandas_na(c: str):
+    """A CSV text cell as pandas reads it: the default NA strings -> NULL."""
+    return F.when(~F.col(c).isin(PANDAS_NA), F.col(c)).alias(c)
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -30,13 +39,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 # ----------------------------------------------------------------- scans
-def scan_segments(spark: SparkSession, base: str, with_status: bool = False):
+def scan_segments(spark: SparkSession, base: str, with_status: bool = False, na_compat: bool = True):
     """Every translation CSV under ``base`` in one scan. pandas' dialect:
     header row, quoted fields may hold newlines, doubled quotes escape.
     dataset/model come from the folders, the pair from the file stem. Rows of
     a malformed pair name (not exactly one '-') are left out and reported.
     ``seg_id`` is a content key (hash of file and row text): the CSV reader
-    has no row position, and the key is only used to spread work."""
+    has no row position, and the key is only used to spread work.
+    ``na_compat``: cells pandas would read as missing ('NA', 'None', '' ...)
+    become NULL, so P5 turns them into 'nan' as the reference does."""
     glob = f"{base.rstrip('/')}/*/*/*.csv"
     if not _exists(spark, glob):
         empty = spark.createDataFrame([], schemas.SEGMENTS)
@@ -49,7 +60,8 @@ def scan_segments(spark: SparkSession, base: str, with_status: bool = False):
                     F.regexp_extract("_path", _SEG_PATH, 2).alias("model"),
                     src.alias("src_lang"), tgt.alias("tgt_lang"), valid.alias("_valid"),
                     F.xxhash64("_path", "source", "target", "translation").alias("seg_id"),
-                    "source", "target", "translation", "_path")
+                    *([pandas_na(c) for c in ("source", "target", "translation")] if na_compat
+                      else ["source", "target", "translation"]), "_path")
     good = df.filter("_valid").select(*[f.name for f in schemas.SEGMENTS.fields])
     if not with_status:
         return good

@@ -45,7 +45,8 @@ def incremental_metrics(spark: SparkSession, segments_base: str, metrics_path: s
                         F.regexp_extract("_path", _SEG_PATH, 2).alias("model"),
                         src.alias("src_lang"), tgt.alias("tgt_lang"), valid.alias("_valid"),
                         F.xxhash64("_path", "source", "target", "translation").alias("seg_id"),
-                        "source", "target", "translation").filter("_valid").drop("_valid")
+                        *[store.pandas_na(c) for c in ("source", "target", "translation")]
+                        ).filter("_valid").drop("_valid")
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         keys = schemas.UNIT_KEYS

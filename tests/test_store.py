@@ -19,16 +19,19 @@ def test_scan_segments_pandas_dialect(spark, tmp_path):
     _write_unit(base, "ntrex", "Phi-4", "eng-fra", [
         ("Hello, \"world\"", "Bonjour\nle monde", "<think>hm</think> Bonjour le monde"),
         ("Empty", "Vide", None),
+        ("Literal", "NA", "None"),
     ])
     _write_unit(base, "wmt24", "Phi-4", "eng-fra-x", [("a", "b", "c")])
     segs, bad = store.scan_segments(spark, str(base), with_status=True)
     rows = sorted(segs.collect(), key=lambda r: r["source"])
-    assert len(rows) == 2
+    assert len(rows) == 3
+    rows = [r for r in rows if r["source"] != "Literal"]
     assert rows[1]["source"] == 'Hello, "world"' and rows[1]["target"] == "Bonjour\nle monde"
     assert (rows[0]["dataset"], rows[0]["model"], rows[0]["src_lang"], rows[0]["tgt_lang"]) == \
         ("ntrex", "Phi-4", "eng", "fra")
     prep = {r["src"]: r["hyp"] for r in prepare_segments(segs).collect()}
     assert prep["Empty"] == "nan"          # missing cell -> 'nan', as pandas astype(str)
+    assert prep["Literal"] == "nan"        # pandas reads 'None' / 'NA' as missing too
     assert prep['Hello, "world"'] == "Bonjour le monde"
     assert [r["status"] for r in bad.collect()] == ["error"]
     assert store.scan_segments(spark, str(tmp_path / "nothing")).count() == 0
