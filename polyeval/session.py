@@ -41,9 +41,31 @@ def build_session(master: str | None = None, app: str = "polyeval",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``polyeval`` importable in the Python workers (Arrow UDFs import
+    it), whatever their working directory: a zip of the package is added
+    with ``addPyFile`` once per SparkContext."""
+    sc = spark.sparkContext
+    if getattr(sc, "_polyeval_shipped", False):
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    z = os.path.join(tempfile.mkdtemp(prefix="polyeval-py-"), "polyeval.zip")
+    with zipfile.ZipFile(z, "w", zipfile.ZIP_DEFLATED) as f:
+        for d, _dirs, files in os.walk(pkg):
+            for fn in files:
+                if fn.endswith(".py"):
+                    full = os.path.join(d, fn)
+                    f.write(full, os.path.relpath(full, root))
+    sc.addPyFile(z)
+    sc._polyeval_shipped = True
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
