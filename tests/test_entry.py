@@ -21,3 +21,20 @@ def test_queries_run_small(spark):
         if name in skip:
             continue
         fn(spark, SF).limit(1).collect()
+
+
+def test_entry_imports_from_another_directory(tmp_path):
+    """The driver may load the entry file by path from any working directory."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import importlib.util; s = importlib.util.spec_from_file_location('e', %r); "
+            "m = importlib.util.module_from_spec(s); s.loader.exec_module(m); "
+            "print(len(m.queries()), len(m.oracle_sql()))" % os.path.join(root, "__spark_entry__.py"))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True,
+                         text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
+    q, o = map(int, out.stdout.split()[-2:])
+    assert q >= 40 and o >= 40
