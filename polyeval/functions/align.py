@@ -58,10 +58,17 @@ _TB_RULES = [
 ]
 
 
+# Characters without which a rule cannot match: a rule is skipped when the
+# text has none of them (the same result, fewer passes over long texts).
+_TB_TRIGGERS = ['"', "`", '"', ":,", ":,", ".", ";@#$%&", ".", "?!", "'", "[](){}<>", "-", '"', "'",
+                "'", "'"]
+
+
 def word_tokenize(text: str) -> list[str]:
     t = " " + text + " "
-    for pat, rep in _TB_RULES:
-        t = pat.sub(rep, t)
+    for (pat, rep), trig in zip(_TB_RULES, _TB_TRIGGERS):
+        if any(ch in t for ch in trig):
+            t = pat.sub(rep, t)
     return t.split()
 
 
