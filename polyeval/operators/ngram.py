@@ -115,19 +115,11 @@ def _match_counter(kind, hv, rv, n):
 
 
 def _seg_stats_counter(h_inputs, r_inputs, specs, clip_hyp_when_no_ref):
+    """``_seg_stats`` with Counters only: the plain definition the packed
+    path is tested against."""
     out = []
-    for (o, kind, n) in specs:
-        hv, rv = h_inputs[kind], r_inputs[kind]
-        hc = _grams_char(hv, n) if kind == "char" else _grams_tok(hv, n)
-        rc = _grams_char(rv, n) if kind == "char" else _grams_tok(rv, n)
-        match = 0
-        hyp_total = 0
-        for g, c in hc.items():
-            hyp_total += c
-            rcount = rc.get(g)
-            if rcount:
-                match += c if c < rcount else rcount
-        ref_total = sum(rc.values())
+    for (_o, kind, n) in specs:
+        hyp_total, ref_total, match = _match_counter(kind, h_inputs[kind], r_inputs[kind], n)
         if clip_hyp_when_no_ref and ref_total == 0:
             hyp_total = 0
         out.extend((hyp_total, ref_total, match))

@@ -48,7 +48,10 @@ def build_session(master: str | None = None, app: str = "polyeval",
 def ship_package(spark: SparkSession) -> None:
     """Make ``polyeval`` importable in the Python workers (Arrow UDFs import
     it), whatever their working directory: a zip of the package is added
-    with ``addPyFile`` once per SparkContext."""
+    with ``addPyFile`` once per SparkContext. The zip is only staged on the
+    driver; Spark's file server hands it to every executor (no executor reads
+    a driver folder). Deployments that pass the package with ``--py-files``
+    get it twice, which is harmless."""
     sc = spark.sparkContext
     if getattr(sc, "_polyeval_shipped", False):
         return

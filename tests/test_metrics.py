@@ -107,3 +107,23 @@ def test_meteor_synonym_table():
     syn = {"big": frozenset({"huge"}), "huge": frozenset({"big"})}
     assert meteor_segment("a big house", "a huge house") < meteor_segment("a big house", "a huge house",
                                                                          synonyms=syn)
+
+
+def test_packed_ngram_counts_equal_counters():
+    """The numpy path (dense ids packed into 64-bit keys, one sort per order)
+    against plain Counters, including alphabets too large to pack."""
+    from polyeval.operators.ngram import _seg_stats, _seg_stats_counter
+    rnd = random.Random(13)
+    small = "ab c漢é"
+    large = "".join(chr(0x4E00 + i) for i in range(3000))
+    for alphabet, n_cases in ((small, 1500), (large, 60)):
+        for _ in range(n_cases):
+            a = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 400 if alphabet is large else 30)))
+            b = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 400 if alphabet is large else 30)))
+            spec = [(n, "char", n) for n in range(1, 7)]
+            assert _seg_stats({"char": a}, {"char": b}, spec, True) == \
+                _seg_stats_counter({"char": a}, {"char": b}, spec, True)
+            ta, tb = a.split() or list(a[:20]), b.split() or list(b[:20])
+            spec = [(n, "tok", n) for n in range(1, 5)]
+            assert _seg_stats({"tok": ta}, {"tok": tb}, spec, False) == \
+                _seg_stats_counter({"tok": ta}, {"tok": tb}, spec, False)
