@@ -100,3 +100,13 @@ def test_nan_only_language_keeps_row(spark):
     out = score_table(_doc_df(spark, [("m", "r", 1, d)]), registry.aliases_df(spark)).collect()
     assert len(out) == 1 and out[0]["lang_code"] == "ita" and out[0]["hellaswag"] is None
     assert not math.isnan(0.0)
+
+
+def test_model_folder_matched_without_case(spark):
+    from polyeval.sources.results import result_path_match
+    reg = registry.models_df(spark)
+    df = spark.createDataFrame([("/raw/phi-4/microsoft__phi-4/results_1.json",),
+                                ("/raw/Phi-4/microsoft__phi-3/results_1.json",),
+                                ("/raw/Unknown/x__y/results_1.json",)], "path string")
+    out = result_path_match(df, reg).select("reg_model", "path").collect()
+    assert [(r["reg_model"], r["path"]) for r in out] == [("Phi-4", "/raw/phi-4/microsoft__phi-4/results_1.json")]
