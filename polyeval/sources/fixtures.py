@@ -44,9 +44,12 @@ select model, run_id, task, event_id as pos, ts, score, score2 from (
 
 # E2 segments: translation segments over whole documents. Reference = a
 # document, hypothesis = the document 20 ids later (with reasoning traces on
-# some rows), source = a benchmark item chosen by id.
+# some rows), source = a benchmark item chosen by id. The hint (a comment to
+# DuckDB) keeps the self-join of the growing document text a sort-merge
+# join: the planner sizes a Parquet side by its compressed bytes and would
+# broadcast tens of MB of text at sf0.1.
 E2_SQL = """
-select a.source as model,
+select /*+ MERGE(b) */ a.source as model,
  case a.doc_id % 3 when 0 then 'flores-200' when 1 then 'ntrex' else 'wmt24' end as dataset,
  'eng' as src_lang,
  case a.lang when 'fr' then 'fra' when 'de' then 'deu' when 'es' then 'spa' else 'swh' end as tgt_lang,
