@@ -68,14 +68,30 @@ def backfill_metric(metrics: DataFrame, new_values: DataFrame, keys: list[str],
     return out.withColumn(col, F.coalesce(numeric_or_null(col), F.col("_new"))).drop("_new")
 
 
+# Upper bound for broadcasting a unit-key list (one row per (model, dataset,
+# pair); ~50 bytes a row -> about 100 MB at the bound).
+MAX_BROADCAST_UNITS = 2_000_000
+
+
+def semi_join_units(big: DataFrame, units: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``big`` whose unit is in ``units``. The unit list is counted
+    first: within ``MAX_BROADCAST_UNITS`` it is broadcast, so the big side is
+    filtered where it lies (no second shuffle of the segment text, no hot
+    unit in one task); beyond it, a shuffle semi join (AQE splits skew)."""
+    units = units.select(*keys)
+    n = units.count()
+    side = F.broadcast(units) if n <= MAX_BROADCAST_UNITS else units
+    return big.join(side, keys, "left_semi")
+
+
 def backfill_error_metric(metrics: DataFrame, prepared: DataFrame, keys: list[str],
                           factory: Callable, col: str = "metricx", batch_size: int = 1,
                           offset: float = registry.METRICX_OFFSET) -> DataFrame:
     """J4 + U1 + G7 + P11: score only the segments of units whose ``col`` is
-    missing (semi join on the small missing-unit list), mean error per unit,
-    invert to ``offset - mean``, fill in."""
+    missing (semi join on the missing-unit list, broadcast behind a size
+    check), mean error per unit, invert to ``offset - mean``, fill in."""
     missing = missing_metric(metrics, col).select(*keys)
-    seg = prepared.join(missing, keys, "left_semi")
+    seg = semi_join_units(prepared, missing, keys)
     scored = score_segments(seg.select(*keys, "seg_id", "src", "hyp", "ref"), factory, "_err", batch_size)
     new = error_mean(scored, keys, "_err").select(*keys, invert_error("error_mean", offset).alias(col))
     return backfill_metric(metrics, new, keys, col)
