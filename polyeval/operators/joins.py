@@ -73,15 +73,16 @@ def backfill_metric(metrics: DataFrame, new_values: DataFrame, keys: list[str],
 MAX_BROADCAST_UNITS = 2_000_000
 
 
-def semi_join_units(big: DataFrame, units: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``big`` whose unit is in ``units``. The unit list is counted
-    first: within ``MAX_BROADCAST_UNITS`` it is broadcast, so the big side is
-    filtered where it lies (no second shuffle of the segment text, no hot
-    unit in one task); beyond it, a shuffle semi join (AQE splits skew)."""
+def semi_join_units(big: DataFrame, units: DataFrame, keys: list[str], how: str = "left_semi") -> DataFrame:
+    """Rows of ``big`` whose unit is (``left_semi``) / is not (``left_anti``)
+    in ``units``. The unit list is counted first: within
+    ``MAX_BROADCAST_UNITS`` it is broadcast, so the big side is filtered where
+    it lies (no shuffle of the segment text, no hot unit in one task); beyond
+    it, a shuffle join (AQE splits skew)."""
     units = units.select(*keys)
     n = units.count()
     side = F.broadcast(units) if n <= MAX_BROADCAST_UNITS else units
-    return big.join(side, keys, "left_semi")
+    return big.join(side, keys, how)
 
 
 def backfill_error_metric(metrics: DataFrame, prepared: DataFrame, keys: list[str],

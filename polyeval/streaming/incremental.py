@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import registry, schemas
-from ..operators.joins import pending_units
+from ..operators.joins import pending_units, semi_join_units
 from ..plans.benchmark_scores import score_table
 from ..plans.translation_metrics import metric_row, prepare_segments
 from ..sources import store
@@ -51,7 +51,7 @@ def incremental_metrics(spark: SparkSession, segments_base: str, metrics_path: s
     def batch(df: DataFrame, epoch_id: int) -> None:
         keys = schemas.UNIT_KEYS
         done = store.scan_metrics(df.sparkSession, metrics_path)
-        todo = df.join(done.select(*keys), keys, "left_anti")
+        todo = semi_join_units(df, done, keys, how="left_anti")
         if todo.isEmpty():
             return
         rows = metric_row(prepare_segments(todo), **metric_kw)
