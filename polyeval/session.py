@@ -18,11 +18,20 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Arrow batches for the scorer / LCS / METEOR UDFs: bounded memory per
-    # Python worker whatever the partition size.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+    # Python worker whatever the partition size (segments can be long texts).
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
 }
 
 
+def _local_heap() -> str:
+    """Local-mode JVM heap: 60% of physical memory, at most 16 GB."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(16, int(total * 0.6 / 2**30)))}g"
+
+
 def build_session(master: str | None = None, app: str = "polyeval",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -32,7 +41,7 @@ def build_session(master: str | None = None, app: str = "polyeval",
     if master:
         b = b.master(master)
         b = b.config("spark.ui.enabled", "false")
-        b = b.config("spark.driver.memory", os.environ.get("POLYEVAL_DRIVER_MEM", "16g"))
+        b = b.config("spark.driver.memory", os.environ.get("POLYEVAL_DRIVER_MEM", _local_heap()))
     for k, v in SCALE_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:

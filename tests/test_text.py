@@ -62,3 +62,10 @@ def test_native_tokenizers_match_python(spark):
         assert list(r["n"]) == TK.py_none(t), t
         assert r["cc"] == TK.py_chrf_chars(t), t
         assert list(r["w"]) == TK.py_chrf_words(t), t
+
+
+def test_round_half_even_on_exact_ties(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(0.125,), (0.375,), (2.5,), (12.3456,)], "x double")
+    got = [r["r"] for r in df.select(TX.round_half_even(F.col("x"), 2).alias("r")).collect()]
+    assert got == [round(0.125, 2), round(0.375, 2), 2.5, round(12.3456, 2)]
