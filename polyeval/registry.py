@@ -372,7 +372,12 @@ def _nz(v: str):
     return v if v != "" else None
 
 
-def models_df(spark: SparkSession) -> DataFrame:
+def models_df(spark: SparkSession, variants: dict[str, str] | None = None) -> DataFrame:
+    """The model registry. ``prompt_variant`` picks the prompt template per
+    model ('thinking_off' unless the model's chat template rejects that
+    switch, then 'plain'); which templates do is known only at run time, so it
+    is a parameter."""
+    variants = variants or {}
     schema = T.StructType([
         T.StructField("model", T.StringType(), False),
         T.StructField("hub_path", T.StringType(), False),
@@ -382,8 +387,9 @@ def models_df(spark: SparkSession) -> DataFrame:
         T.StructField("in_translation", T.BooleanType(), False),
         T.StructField("in_backfill", T.BooleanType(), False),
         T.StructField("translation_dir", T.StringType(), False),
+        T.StructField("prompt_variant", T.StringType(), False),
     ])
-    data = [(m, h, f, int(tp), b == "1", t == "1", k == "1", d)
+    data = [(m, h, f, int(tp), b == "1", t == "1", k == "1", d, variants.get(m, "thinking_off"))
             for m, h, f, tp, b, t, k, d in _rows(MODELS_CSV)]
     return spark.createDataFrame(data, schema)
 

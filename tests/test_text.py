@@ -69,3 +69,17 @@ def test_round_half_even_on_exact_ties(spark):
     df = spark.createDataFrame([(0.125,), (0.375,), (2.5,), (12.3456,)], "x double")
     got = [r["r"] for r in df.select(TX.round_half_even(F.col("x"), 2).alias("r")).collect()]
     assert got == [round(0.125, 2), round(0.375, 2), 2.5, round(12.3456, 2)]
+
+
+def test_prompt_templates_and_variant(spark):
+    from polyeval import registry
+    from polyeval.sources.corpus import build_prompt, chat_turn
+    models = registry.models_df(spark, {"Phi-4": "plain"}).select("model", "prompt_variant")
+    df = models.filter("model in ('Phi-4', 'Qwen3-4B')").withColumn("name", F.lit("French")) \
+               .withColumn("source", F.lit("Hello."))
+    got = {r["model"]: (r["p"], r["chat"]) for r in
+           df.select("model", build_prompt(df, "name", "source", "prompt_variant").alias("p"),
+                     chat_turn(build_prompt(df, "name", "source")).alias("chat")).collect()}
+    assert got["Qwen3-4B"][0] == registry.PROMPT_TEMPLATES["thinking_off"].format(name="French", text="Hello.")
+    assert got["Phi-4"][0] == registry.PROMPT_TEMPLATES["plain"].format(name="French", text="Hello.")
+    assert got["Phi-4"][1][0]["role"] == "user"
