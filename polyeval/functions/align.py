@@ -78,18 +78,25 @@ def _pair_greedy(hyp: list[tuple[int, str]], ref: list[tuple[int, str]]):
     that pairs occurrences from the end on both sides, so it is linear."""
     ref_pos: dict[str, list[int]] = {}
     for j, (_, w) in enumerate(ref):
-        ref_pos.setdefault(w, []).append(j)
-    used_h, used_r, matches = set(), set(), []
-    for i in range(len(hyp) - 1, -1, -1):
-        w = hyp[i][1]
         lst = ref_pos.get(w)
+        if lst is None:
+            ref_pos[w] = [j]
+        else:
+            lst.append(j)
+    free_h = bytearray(b"\x01") * len(hyp)
+    free_r = bytearray(b"\x01") * len(ref)
+    matches = []
+    for i in range(len(hyp) - 1, -1, -1):
+        lst = ref_pos.get(hyp[i][1])
         if lst:
             j = lst.pop()
             matches.append((hyp[i][0], ref[j][0]))
-            used_h.add(i)
-            used_r.add(j)
-    rest_h = [x for k, x in enumerate(hyp) if k not in used_h]
-    rest_r = [x for k, x in enumerate(ref) if k not in used_r]
+            free_h[i] = 0
+            free_r[j] = 0
+    if not matches:
+        return matches, hyp, ref
+    rest_h = [x for x, f in zip(hyp, free_h) if f]
+    rest_r = [x for x, f in zip(ref, free_r) if f]
     return matches, rest_h, rest_r
 
 
