@@ -127,3 +127,26 @@ def test_packed_ngram_counts_equal_counters():
             spec = [(n, "tok", n) for n in range(1, 5)]
             assert _seg_stats({"tok": ta}, {"tok": tb}, spec, False) == \
                 _seg_stats_counter({"tok": ta}, {"tok": tb}, spec, False)
+
+
+def test_bleu_with_sentencepiece_model(spark, tmp_path):
+    """tokenizer='spm': a user-supplied SentencePiece model (here a tiny one
+    trained for the test) tokenizes inside the statistics task."""
+    spm = pytest.importorskip("sentencepiece")
+    rnd = random.Random(21)
+    corpus = tmp_path / "train.txt"
+    lines = [" ".join(rnd.choice(WORDS) for _ in range(12)) for _ in range(400)]
+    corpus.write_text("\n".join(lines))
+    prefix = str(tmp_path / "m")
+    spm.SentencePieceTrainer.train(input=str(corpus), model_prefix=prefix, vocab_size=40,
+                                   model_type="unigram", character_coverage=1.0)
+    model = prefix + ".model"
+    sp = spm.SentencePieceProcessor(model_file=model)
+    rows = _corpus(5, n_units=3, n_seg=15)
+    got = {r["unit"]: r["bleu"] for r in
+           corpus_bleu(_df(spark, rows), KEYS, tokenizer="spm", spm_model=model, digits=None).collect()}
+
+    def tok(s):
+        return " ".join(sp.encode(s.rstrip(), out_type=str)).split()
+    for u, (h, r) in _by_unit(rows).items():
+        assert got[u] == pytest.approx(N.corpus_bleu(h, r, tok=tok), abs=1e-9)
