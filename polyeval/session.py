@@ -82,6 +82,9 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+_LOCAL_CHECKPOINT: dict[int, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -93,8 +96,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         if not is_local(spark):
             raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder")
-        d = tempfile.mkdtemp(prefix="polyeval-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        key = id(spark.sparkContext)
+        d = _LOCAL_CHECKPOINT.get(key)
+        if d is None:
+            d = _LOCAL_CHECKPOINT[key] = tempfile.mkdtemp(prefix="polyeval-ckpt-")
+            try:
+                spark.conf.set("spark.checkpoint.dir", d)
+            except Exception:  # noqa: BLE001 - some deployments refuse core confs at run time
+                pass
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(d)
     return d
