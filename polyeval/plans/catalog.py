@@ -186,9 +186,9 @@ def q_corpus_chrf(spark, sf_dir):
     return corpus_chrf(_prepared(spark, sf_dir), UNIT_KEYS, "hyp", "ref")
 
 
-@query("corpus_chrf_pp")
+@query("corpus_chrf_pp", O.chrf_pp_sql())
 def q_corpus_chrf_pp(spark, sf_dir):
-    """chrF++ (word order 2); checked against a plain-Python chrF++ in tests."""
+    """chrF++ (word order 2)."""
     return corpus_chrf(_prepared(spark, sf_dir), UNIT_KEYS, "hyp", "ref", word_order=2, out_col="chrf_pp")
 
 

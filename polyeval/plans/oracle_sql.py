@@ -134,7 +134,7 @@ def tok13a_sql(x: str) -> str:
     return s
 
 
-def ngram_stats_sql(lists: str, orders: list[int], sep: str, clip: bool) -> str:
+def ngram_stats_sql(lists: str, orders: list[int], sep: str, clip: bool, prefix: str = "") -> str:
     """CTEs from ``lists`` (UNIT, seg_id, side, tl = list of characters or
     tokens) to per_n (UNIT, n, hyp, ref, match). n-grams are built with
     lead() over the unnested list (linear in the text length)."""
@@ -143,15 +143,16 @@ def ngram_stats_sql(lists: str, orders: list[int], sep: str, clip: bool) -> str:
     j = f" || '{sep}' || " if sep else " || "
     grams = " union all ".join(
         f"select {UNIT}, seg_id, side, {n} as n, " + j.join(["x"] + [f"l{k}" for k in range(1, n)])
-        + f" as gram from xs where pos <= len - {n} + 1" for n in orders)
+        + f" as gram from {prefix}xs where pos <= len - {n} + 1" for n in orders)
     h_eff = "case when r > 0 then h else 0 end" if clip else "h"
+    P = prefix
     return f"""
-x1 as (select {UNIT}, seg_id, side, len(tl) as len, unnest(tl) as x, generate_subscripts(tl, 1) as pos from {lists}),
-xs as (select *{', ' + leads if leads else ''} from x1 window w as (partition by {UNIT}, seg_id, side order by pos)),
-g as ({grams}),
-cnt as (select {UNIT}, seg_id, n, gram, sum(1 - side) as h, sum(side) as r from g group by {UNIT}, seg_id, n, gram),
-seg_n as (select {UNIT}, seg_id, n, sum(h) as h, sum(r) as r, sum(least(h, r)) as m from cnt group by {UNIT}, seg_id, n),
-per_n as (select {UNIT}, n, sum({h_eff}) as hyp, sum(r) as ref, sum(m) as match from seg_n group by {UNIT}, n)
+{P}x1 as (select {UNIT}, seg_id, side, len(tl) as len, unnest(tl) as x, generate_subscripts(tl, 1) as pos from {lists}),
+{P}xs as (select *{', ' + leads if leads else ''} from {P}x1 window w as (partition by {UNIT}, seg_id, side order by pos)),
+{P}g as ({grams}),
+{P}cnt as (select {UNIT}, seg_id, n, gram, sum(1 - side) as h, sum(side) as r from {P}g group by {UNIT}, seg_id, n, gram),
+{P}seg_n as (select {UNIT}, seg_id, n, sum(h) as h, sum(r) as r, sum(least(h, r)) as m from {P}cnt group by {UNIT}, seg_id, n),
+{P}per_n as (select {UNIT}, n, sum({h_eff}) as hyp, sum(r) as ref, sum(m) as match from {P}seg_n group by {UNIT}, n)
 """
 
 
@@ -239,3 +240,36 @@ def prompt_sql(name: str, text: str) -> str:
         "\n", "' || chr(10) || '")
 
 
+
+
+def chrf_pp_sql() -> str:
+    """chrF++: character 1-6-grams plus word 1-2-grams (one punctuation mark
+    split off a word's end, else its start), eight orders averaged."""
+    from ..functions.tokenize import PUNCTUATION
+    punct = _q(PUNCTUATION)
+    words = (r"case when regexp_replace({x}, '^\s+|\s+$', '', 'g') = '' then []::varchar[] "
+             r"else flatten(list_transform(string_split_regex(regexp_replace({x}, '^\s+|\s+$', '', 'g'), '\s+'), "
+             "lambda w: case when length(w) = 1 then [w] "
+             f"when contains({punct}, right(w, 1)) then [left(w, length(w) - 1), right(w, 1)] "
+             f"when contains({punct}, left(w, 1)) then [left(w, 1), substr(w, 2)] "
+             "else [w] end)) end")
+    cc = rf"""
+cc as (select {UNIT}, seg_id, 0 as side, string_split(regexp_replace(hyp, '\s+', '', 'g'), '') as tl from p
+       union all select {UNIT}, seg_id, 1, string_split(regexp_replace(ref, '\s+', '', 'g'), '') from p),
+ww as (select {UNIT}, seg_id, 0 as side, {words.replace('{x}', 'hyp')} as tl from p
+       union all select {UNIT}, seg_id, 1, {words.replace('{x}', 'ref')} from p),"""
+    c_stats = ngram_stats_sql("cc", [1, 2, 3, 4, 5, 6], "", clip=True, prefix="c_")
+    w_stats = ngram_stats_sql("ww", [1, 2], " ", clip=True, prefix="w_")
+    return f"""
+with {e2()}, {PREP}, {cc}
+{c_stats},
+{w_stats},
+per_n as (select * from c_per_n union all select {UNIT}, n + 6, hyp, ref, match from w_per_n),
+pr as (select {UNIT},
+   avg(match / hyp) filter (where hyp > 0 and ref > 0) as P,
+   avg(match / ref) filter (where hyp > 0 and ref > 0) as R
+ from per_n group by {UNIT})
+select u.model, u.dataset, u.src_lang, u.tgt_lang,
+  round_even(case when coalesce(P, 0) + coalesce(R, 0) > 0 then 100.0 * 5 * P * R / (4 * P + R) else 0.0 end, 2) as chrf_pp
+from units u left join pr using ({UNIT})
+"""
