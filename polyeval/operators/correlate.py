@@ -27,7 +27,3 @@ def pearson_by_benchmark(aligned: DataFrame, group: list[str], x: str = "value",
 def median_correlation(r: DataFrame, group: list[str]) -> DataFrame:
     """Exact median of r per group (NULL r ignored)."""
     return r.groupBy(*group).agg(F.median("r").alias("median_r"), F.count("r").alias("n_r"))
-
-
-def unpivot_long(df: DataFrame, ids: list[str], cols: list[str], name: str, value: str) -> DataFrame:
-    return df.unpivot(ids, cols, name, value)

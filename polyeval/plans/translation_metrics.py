@@ -120,10 +120,3 @@ def metric_row(prepared: DataFrame, tokenizer: str = "13a", spm_model: str | Non
     for c in ["rouge_l", "meteor", "xcomet", "ssa_comet", "metricx"]:
         cols[c] = round_half_even(F.col(c), 4) if c in f_cols else F.lit(None).cast("double")
     return agg.select(*keys, *[v.alias(k) for k, v in cols.items()])
-
-
-def round_metrics(df: DataFrame) -> DataFrame:
-    """P12 at the sink: BLEU/chrF 2 digits, the rest 4."""
-    from .. import registry
-    return df.withColumns({c: round_half_even(F.col(c), d) for c, d in registry.METRIC_COLUMNS
-                           if c in df.columns})

@@ -100,16 +100,6 @@ def newest_document(docs: DataFrame, model_col: str, run_col: str, time_col: str
     return docs.groupBy(model_col).agg(best.alias("_d")).select(model_col, *[F.col(f"_d.{c}").alias(c) for c in others])
 
 
-def keep_latest(df: DataFrame, model_col: str, run_col: str, time_col: str) -> DataFrame:
-    """Rows of the newest run per model (semi join against ``latest_run``).
-
-    The winners side has one row per model; the planner broadcasts it when
-    its measured size is small (AQE), otherwise it is a sort-merge semi join.
-    """
-    win = latest_run(df.select(model_col, run_col, time_col), model_col, run_col, time_col)
-    return df.join(win.select(model_col, run_col), [model_col, run_col], "left_semi")
-
-
 def metric_value(metrics: Column, key: str) -> Column:
     """Metric lookup with numeric coercion: non-numeric text -> NULL."""
     return F.btrim(metrics[key], F.lit('"')).try_cast("double")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.text import is_missing_numeric, numeric_or_null, split_pair
+from ..functions.text import numeric_or_null, split_pair
 
 _SEG_PATH = r"/([^/]+)/([^/]+)/([^/]+)\.csv$"
 
@@ -124,11 +124,6 @@ def write_segments(seg: DataFrame, path: str, fmt: str = "parquet", mode: str =
         .option("header", True).partitionBy("dataset", "model", "tgt_lang").format(fmt).save(path))
 
 
-def write_segment_files(seg: DataFrame, base: str) -> None:
-    """K2 in the reference layout is one CSV per unit; Spark writes a folder
-    per unit instead (``dataset=/model=/tgt_lang=``). Use ``write_segments``
-    with fmt='csv' for that."""
-    write_segments(seg.select(*[f.name for f in schemas.SEGMENTS.fields]), base, fmt="csv")
 
 
 def append_metrics(rows: DataFrame, path: str) -> None:
@@ -158,9 +153,5 @@ def export_scorer_jsonl(prepared: DataFrame, path: str) -> None:
              .write.mode("overwrite").json(path))
 
 
-def metrics_missing(metrics: DataFrame, col: str = "metricx") -> DataFrame:
-    return metrics.filter(is_missing_numeric(col))
-
-
 __all__ = ["scan_segments", "read_segments", "scan_metrics", "scan_predictions", "write_scores",
            "write_segments", "append_metrics", "upsert_metrics", "export_scorer_jsonl"]

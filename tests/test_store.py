@@ -113,3 +113,14 @@ def test_append_and_upsert_metrics(spark, tmp_path):
     store.upsert_metrics(spark, cur, path)
     got = sorted((r["tgt_lang"], r["metricx"]) for r in store.scan_metrics(spark, path).collect())
     assert got == [("deu", 21.0), ("fra", 20.0)]
+
+
+def test_read_corpus_keeps_each_datasets_split(spark, tmp_path):
+    from polyeval.sources.corpus import read_corpus
+    rows = [("flores-200", "devtest", 0, "a"), ("flores-200", "dev", 1, "b"),
+            ("wmt24", "train", 0, "c"), ("ntrex", "test", 0, "d"), ("ntrex", "train", 1, "e")]
+    path = str(tmp_path / "corpus")
+    spark.createDataFrame(rows, "dataset string, split string, seg_id long, eng_Latn string") \
+         .write.parquet(path)
+    got = sorted(r["eng_Latn"] for r in read_corpus(spark, path).collect())
+    assert got == ["a", "c", "d"]
