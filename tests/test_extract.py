@@ -110,3 +110,14 @@ def test_model_folder_matched_without_case(spark):
                                 ("/raw/Unknown/x__y/results_1.json",)], "path string")
     out = result_path_match(df, reg).select("reg_model", "path").collect()
     assert [(r["reg_model"], r["path"]) for r in out] == [("Phi-4", "/raw/phi-4/microsoft__phi-4/results_1.json")]
+
+
+def test_score_table_independent_of_partitioning(spark):
+    from conftest import SF
+    from polyeval.sources import fixtures
+    docs = fixtures.result_documents(spark, SF)
+    runs = []
+    for parts in (1, 4, 17):
+        t = score_table(docs.repartition(parts), registry.aliases_df(spark), run_col="run_id")
+        runs.append(sorted(tuple(r) for r in t.collect()))
+    assert runs[0] == runs[1] == runs[2] and len(runs[0]) > 0
