@@ -76,9 +76,10 @@ def generate(df: DataFrame, factory: Callable, prompt_col: str = "prompt", out_c
              model_col: str = "model", partitions: int | None = None) -> DataFrame:
     """U2 + P6: one generation per prompt, first candidate, stripped.
 
-    Rows are hash-partitioned on (model, seg_id) and sorted by model inside
-    each task, so a worker loads one model at a time and a model with many
-    prompts is spread over all tasks. ``factory(model)`` builds the engine."""
+    Rows are range-partitioned on (model, seg_id): a task covers a contiguous
+    range, so it holds one model (two at a boundary) and loads it once, while
+    a model with many prompts spans many tasks. ``factory(model)`` builds the
+    engine."""
     spark = df.sparkSession
     n = partitions or max(2 * spark.sparkContext.defaultParallelism,
                           int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -97,5 +98,5 @@ def generate(df: DataFrame, factory: Callable, prompt_col: str = "prompt", out_c
             out["_raw"] = outs
             yield out
     key_cols = [model_col] + (["seg_id"] if "seg_id" in df.columns else [])
-    g = df.repartition(n, *key_cols).sortWithinPartitions(model_col).mapInPandas(fn, schema)
+    g = df.repartitionByRange(n, *key_cols).sortWithinPartitions(model_col).mapInPandas(fn, schema)
     return g.withColumn(out_col, strip_output("_raw")).drop("_raw")
