@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from polyeval.llm import op1_quality
+from polyeval.llm import op1_quality, op2_bpe
 from polyeval.llm.common import table
 
 QUERIES = {}
@@ -17,3 +17,9 @@ def _query(fn):
 @_query
 def op1_quality_rules(spark, sf_dir):
     return op1_quality.quality(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op2_bpe_round_trip(spark, sf_dir):
+    import public_tokenizers
+    return op2_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
