@@ -23,3 +23,10 @@ def op1_quality_rules(spark, sf_dir):
 def op2_bpe_round_trip(spark, sf_dir):
     import public_tokenizers
     return op2_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query
+def op3_packing(spark, sf_dir):
+    import public_tokenizers
+    from polyeval.llm import op3_packing as packing
+    return packing.pieces(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
