@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from polyeval.llm import op1_quality, op2_bpe
 from polyeval.llm.common import table
 
@@ -30,3 +32,10 @@ def op3_packing(spark, sf_dir):
     import public_tokenizers
     from polyeval.llm import op3_packing as packing
     return packing.pieces(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+@_query
+def op4_substring_dedup(spark, sf_dir):
+    from polyeval.llm import op4_substring
+    out = op4_substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
