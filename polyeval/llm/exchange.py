@@ -35,15 +35,15 @@ def bucket_count(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))) * BUCKETS_PER_PARTITION
 
 
-def chunk_of(id_col: str) -> Column:
+def chunk_of(id_col: str, bits: int) -> Column:
     """Chunk of a row by its integer id, in the order of ids; null ids come first."""
-    return F.coalesce(F.shiftright(F.col(id_col).cast("long"), CHUNK_BITS), F.lit(-(1 << 62)))
+    return F.coalesce(F.shiftright(F.col(id_col).cast("long"), bits), F.lit(-(1 << 62)))
 
 
-def by_chunk(df: DataFrame, id_col: str, text_col: str, keep: bool = False) -> DataFrame:
+def by_chunk(df: DataFrame, id_col: str, text_col: str, keep: bool = False, bits: int = CHUNK_BITS) -> DataFrame:
     """chunk, id, text as bytes, and (``keep``) the other columns as one struct."""
     rest = [F.col(c) for c in df.columns if c not in (id_col, text_col)]
-    cols = [chunk_of(id_col).alias("chunk"), F.col(id_col).alias("id"), utf8(text_col).alias("text")]
+    cols = [chunk_of(id_col, bits).alias("chunk"), F.col(id_col).alias("id"), utf8(text_col).alias("text")]
     if keep and rest:
         cols.append(F.struct(*rest).alias("rest"))
     return df.select(*cols)

@@ -39,3 +39,9 @@ def op4_substring_dedup(spark, sf_dir):
     from polyeval.llm import op4_substring
     out = op4_substring.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@_query
+def op8_suffix_dedup(spark, sf_dir):
+    from polyeval.llm import op8_suffixes
+    return op8_suffixes.digest(op8_suffixes.remove_repeats(table(spark, sf_dir, "documents")))
