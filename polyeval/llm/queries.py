@@ -45,3 +45,9 @@ def op4_substring_dedup(spark, sf_dir):
 def op8_suffix_dedup(spark, sf_dir):
     from polyeval.llm import op8_suffixes
     return op8_suffixes.digest(op8_suffixes.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+@_query
+def op5_minhash_near_dedup(spark, sf_dir):
+    from polyeval.llm import op5_minhash
+    return op5_minhash.near_duplicates(table(spark, sf_dir, "documents"))
