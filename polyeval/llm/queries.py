@@ -51,3 +51,9 @@ def op8_suffix_dedup(spark, sf_dir):
 def op5_minhash_near_dedup(spark, sf_dir):
     from polyeval.llm import op5_minhash
     return op5_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_fingerprint(spark, sf_dir):
+    from polyeval.llm import op9_fingerprint as fingerprint
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
