@@ -57,3 +57,9 @@ def op5_minhash_near_dedup(spark, sf_dir):
 def op9_fingerprint(spark, sf_dir):
     from polyeval.llm import op9_fingerprint as fingerprint
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_pii_spans(spark, sf_dir):
+    from polyeval.llm import op7_pii
+    return op7_pii.find(table(spark, sf_dir, "documents"))
