@@ -20,6 +20,8 @@ names.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -30,6 +32,7 @@ from polyeval.llm import exchange as ex
 from polyeval.llm.common import bounded_batches, mix64
 
 WINDOW = 35
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 class ChunkWindows:
@@ -71,11 +74,19 @@ def intervals(covered: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[0::2].tolist(), edge[1::2].tolist()))
 
 
+def without(text: bytes, gone: list[tuple[int, int]], n_words: int) -> bytes:
+    """The text less the words in the intervals; what is left keeps its layout."""
+    at = [m.span() for m in _WORD.finditer(text)]
+    edges = [0, *(x for span in gone for x in span), n_words]
+    return b" ".join(text[at[i][0]:at[j - 1][1]] for i, j in zip(edges[0::2], edges[1::2]) if i < j)
+
+
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                   keep_columns: bool = False) -> DataFrame:
+                   keep_columns: bool = False, keep_layout: bool = False) -> DataFrame:
     """One row per input row: id, n_words, n_removed, removed (word intervals,
-    end exclusive), kept_text (the kept words joined by one space) and, with
-    ``keep_columns``, the other columns as the struct ``rest``."""
+    end exclusive), kept_text (the kept words joined by one space; with
+    ``keep_layout``, by the white space that they had) and, with ``keep_columns``,
+    the other columns as the struct ``rest``."""
     bounded_batches(df.sparkSession)
     n_buckets = ex.bucket_count(df.sparkSession)
     docs = ex.by_chunk(df, id_col, text_col, keep_columns)
@@ -91,9 +102,12 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         c = ChunkWindows(words, window, n_buckets)
         covered = c.covered(ex.unpack(ex.answered_bits(answered), c.buckets), window)
         removed, kept = [], []
-        for own, a, b in zip(words, c.first[:-1], c.first[1:]):
+        for text, own, a, b in zip(group["text"].to_pylist(), words, c.first[:-1], c.first[1:]):
             gone = intervals(covered[a:b])
             removed.append([{"start": i, "end": j} for i, j in gone])
+            if keep_layout:
+                kept.append(without(text, gone, len(own)) if gone else text)
+                continue
             if gone:
                 edges = [0, *(x for span in gone for x in span), len(own)]
                 own = [w for i, j in zip(edges[0::2], edges[1::2]) for w in own[i:j]]

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from polyeval.llm.common import arrow_map, bounded_batches, decode, utf8
 
 KINDS = ("email", "ip", "card", "phone")
-SKIP_WEIGHT = 8.0  # log potential of equal labels at both ends of a skip edge
+SKIP_WEIGHT = 10.0  # log potential of equal labels at both ends of a skip edge
 PINNED = 25.0  # log potential of a base span's kind on its tokens
 MOST_EVIDENCE = 4.0  # bound of trained log potentials, so that they mean the same at any table size
 NO_EVIDENCE = -3.0  # log potential of a kind on a token without a trained shape
