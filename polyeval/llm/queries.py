@@ -63,3 +63,9 @@ def op9_fingerprint(spark, sf_dir):
 def op7_pii_spans(spark, sf_dir):
     from polyeval.llm import op7_pii
     return op7_pii.find(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_warc(spark, sf_dir):
+    from polyeval.llm import op10_warc as warc
+    return warc.round_trip(table(spark, sf_dir, "pages"))
