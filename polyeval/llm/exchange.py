@@ -23,7 +23,6 @@ from pyspark.sql.types import StructType
 from polyeval.llm.common import utf8
 
 CHUNK_BITS = 7  # 128 neighbouring ids make a chunk
-BUCKETS_PER_PARTITION = 4
 
 SENT = "bucket int, chunk long, width int, mode int, sent binary"
 ANSWERED = "bucket int, chunk long, bits binary"
@@ -32,7 +31,8 @@ ANY, EARLIER = 0, 1
 
 
 def bucket_count(spark: SparkSession) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))) * BUCKETS_PER_PARTITION
+    """One for each shuffle partition: more would only cut a chunk's rows smaller."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def chunk_of(id_col: str, bits: int) -> Column:

@@ -36,7 +36,6 @@ from polyeval.llm.common import bounded_batches, mix64
 
 DEPTH = 50
 GRAM = 26
-DOCS_BITS = 6  # 64 neighbouring ids make a chunk
 BLOCK = 1 << 19
 DIGIT_BYTES = 5  # of a first digit, beside its bucket
 _INDEX = np.uint64((1 << 21) - 1)
@@ -169,7 +168,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     exclusive; maximal runs) and kept (the remaining bytes)."""
     bounded_batches(df.sparkSession)
     n_buckets = ex.bucket_count(df.sparkSession)
-    docs = ex.by_chunk(df, id_col, text_col, bits=DOCS_BITS)
+    docs = ex.by_chunk(df, id_col, text_col)
 
     def first(group: pa.Table) -> pa.Table:
         return ChunkBytes(group, depth, gram, n_buckets).first_pass()
