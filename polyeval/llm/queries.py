@@ -69,3 +69,9 @@ def op7_pii_spans(spark, sf_dir):
 def op10_warc(spark, sf_dir):
     from polyeval.llm import op10_warc as warc
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@_query
+def op6_chat_format(spark, sf_dir):
+    from polyeval.llm import op6_chat
+    return op6_chat.format_chats(table(spark, sf_dir, "conversations"))
