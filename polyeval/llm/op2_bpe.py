@@ -210,6 +210,7 @@ def read_file(path: str) -> bytes:
 def _mapped(df: DataFrame, path: str, text_col: str, each, name: str, kind: str, arrow) -> DataFrame:
     bounded_batches(df.sparkSession)
     file = df.sparkSession.sparkContext.broadcast(read_file(path))
+    df = df.drop(name) if name != text_col else df  # an older column of the result's name gives way
     at, schema = df.columns.index(text_col), df.schema
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
