@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 LEVELS = 12
-SLOTS = 32
+SLOTS = 96
 DENSE = 4
 BLOCK_BITS = 6  # 64 neighbouring ids make a block
 FANOUT_BITS = 15
