@@ -48,7 +48,7 @@ def translation_grid(models: DataFrame, model_col: str = "model") -> DataFrame:
 def pending_units(grid: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """Units of ``grid`` not yet in ``done`` (re-running is a no-op once
     the results are written)."""
-    return grid.join(done.select(*keys), keys, "left_anti")
+    return grid.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
 def missing_metric(metrics: DataFrame, col: str) -> DataFrame:
@@ -68,29 +68,20 @@ def backfill_metric(metrics: DataFrame, new_values: DataFrame, keys: list[str],
     return out.withColumn(col, F.coalesce(numeric_or_null(col), F.col("_new"))).drop("_new")
 
 
-# Upper bound for broadcasting a unit-key list (one row per (model, dataset,
-# pair); ~50 bytes a row -> about 100 MB at the bound).
-MAX_BROADCAST_UNITS = 2_000_000
-
-
 def semi_join_units(big: DataFrame, units: DataFrame, keys: list[str], how: str = "left_semi") -> DataFrame:
     """Rows of ``big`` whose unit is (``left_semi``) / is not (``left_anti``)
-    in ``units``. The unit list is counted first: within
-    ``MAX_BROADCAST_UNITS`` it is broadcast, so the big side is filtered where
-    it lies (no shuffle of the segment text, no hot unit in one task); beyond
-    it, a shuffle join (AQE splits skew)."""
-    units = units.select(*keys)
-    n = units.count()
-    side = F.broadcast(units) if n <= MAX_BROADCAST_UNITS else units
-    return big.join(side, keys, how)
+    in ``units``: a join with the distinct unit keys, one row per unit. Adaptive
+    execution broadcasts them when their measured bytes are under Spark's
+    threshold, and splits skewed units otherwise."""
+    return big.join(units.select(*keys).distinct(), keys, how)
 
 
 def backfill_error_metric(metrics: DataFrame, prepared: DataFrame, keys: list[str],
                           factory: Callable, col: str = "metricx", batch_size: int = 1,
                           offset: float = registry.METRICX_OFFSET) -> DataFrame:
     """J4 + U1 + G7 + P11: score only the segments of units whose ``col`` is
-    missing (semi join on the missing-unit list, broadcast behind a size
-    check), mean error per unit, invert to ``offset - mean``, fill in."""
+    missing (semi join on the missing units, before any text is cleaned or
+    moved), mean error per unit, invert to ``offset - mean``, fill in."""
     missing = missing_metric(metrics, col).select(*keys)
     seg = semi_join_units(prepared, missing, keys)
     scored = score_segments(seg.select(*keys, "seg_id", "src", "hyp", "ref"), factory, "_err", batch_size)

@@ -1,7 +1,9 @@
 """User-supplied learned scorers and generators.
 
 A plug-in is a *factory* (picklable, no arguments) that builds the heavy
-object once per Python worker; the object is then called on batches:
+object once per Python worker; the object is then called on batches. Factories
+are told apart by their pickled form, closures' contents included, so two
+scorers from one maker stay two:
 
 * scorer:    ``scorer(list[{"src", "mt", "ref"}]) -> list[float]``
 * generator: ``generator(list[str], sampling: dict) -> list[str]``
@@ -11,43 +13,60 @@ Batches stream through ``mapInPandas`` (Arrow), never through the driver.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import round_half_even, strip_output
 
-_WORKER_CACHE: dict = {}
+_RESIDENT: dict = {}  # of a Python worker: plug-in key -> built object
 
 
-def _cached(factory: Callable, key=None):
-    k = key or (getattr(factory, "__module__", None), getattr(factory, "__qualname__", repr(factory)))
-    obj = _WORKER_CACHE.get(k)
-    if obj is None:
-        if len(_WORKER_CACHE) >= 1:  # one heavy model resident per worker
-            _WORKER_CACHE.clear()
-        obj = factory()
-        _WORKER_CACHE[k] = obj
-    return obj
+def plugin_key(factory: Callable) -> str:
+    """Identity of a factory, taken on the driver."""
+    return hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
+
+
+def resident(wanted: dict) -> dict:
+    """The built objects of ``wanted`` (key -> factory). What an earlier task of this
+    worker built is used again; what this one doesn't need is let go."""
+    for k in [k for k in _RESIDENT if k not in wanted]:
+        del _RESIDENT[k]
+    for k, factory in wanted.items():
+        if k not in _RESIDENT:
+            _RESIDENT[k] = factory()
+    return {k: _RESIDENT[k] for k in wanted}
+
+
+def scored(scorer: Callable, triples: list[dict], batch_size: int, name: str) -> list[float]:
+    """Segment scores, as many as there are segments."""
+    out: list[float] = []
+    for i in range(0, len(triples), batch_size):
+        part = triples[i:i + batch_size]
+        got = list(scorer(part))
+        if len(got) != len(part):
+            raise ValueError(f"scorer of {name!r} returned {len(got)} scores for {len(part)} segments")
+        out += got
+    return out
 
 
 def score_segments(df: DataFrame, factory: Callable, out_col: str, batch_size: int = 128,
                    src: str = "src", mt: str = "hyp", ref: str = "ref") -> DataFrame:
     """Append ``out_col`` (double) = the scorer's segment score."""
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.DoubleType())])
+    key = plugin_key(factory)
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = _cached(factory)
+        scorer = resident({key: factory})[key]
         for pdf in batches:
             triples = [{"src": s, "mt": m, "ref": r} for s, m, r in zip(pdf[src], pdf[mt], pdf[ref])]
-            scores = []
-            for i in range(0, len(triples), batch_size):
-                scores.extend(scorer(triples[i:i + batch_size]))
             out = pdf.copy()
-            out[out_col] = pd.Series(scores, dtype="float64", index=pdf.index)
+            out[out_col] = pd.Series(scored(scorer, triples, batch_size, out_col), dtype="float64", index=pdf.index)
             yield out
     return df.mapInPandas(fn, schema)
 
@@ -73,30 +92,35 @@ def invert_error(mean_err, offset: float = 25.0, digits: int = 4):
 
 def generate(df: DataFrame, factory: Callable, prompt_col: str = "prompt", out_col: str = "translation",
              sampling_cols: tuple[str, ...] = ("temperature", "top_p", "top_k", "max_tokens"),
-             model_col: str = "model", partitions: int | None = None) -> DataFrame:
+             model_col: str = "model", spread_cols: tuple[str, ...] | None = None) -> DataFrame:
     """U2 + P6: one generation per prompt, first candidate, stripped.
 
-    Rows are range-partitioned on (model, seg_id): a task covers a contiguous
-    range, so it holds one model (two at a boundary) and loads it once, while
-    a model with many prompts spans many tasks. ``factory(model)`` builds the
-    engine."""
-    spark = df.sparkSession
-    n = partitions or max(2 * spark.sparkContext.defaultParallelism,
-                          int(spark.conf.get("spark.sql.shuffle.partitions")))
+    Rows are dealt by model and the request's own keys (``spread_cols``: by
+    default every unit, conversation and segment key that the table has), so a
+    model with many prompts spans many tasks, and a task's rows are sorted by
+    model, so it holds one engine at a time. Prompts of one model with different
+    sampling parameters go to the engine in separate calls. ``factory(model)``
+    builds the engine."""
     schema = T.StructType(df.schema.fields + [T.StructField("_raw", T.StringType())])
+    factory_key = plugin_key(factory)
+    by = [model_col, *sampling_cols]
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             outs = pd.Series([None] * len(pdf), dtype=object, index=pdf.index)
-            for model, idx in pdf.groupby(model_col, sort=False).groups.items():
-                gen = _cached(lambda: factory(model), key=("generator", model))
-                part = pdf.loc[idx]
-                params = part.iloc[0][list(sampling_cols)].to_dict()
-                params = {k: (None if pd.isna(v) else v) for k, v in params.items()}
-                outs.loc[idx] = list(gen(part[prompt_col].tolist(), params))
+            for _, part in pdf.groupby(by, sort=False, dropna=False):
+                model = part[model_col].iloc[0]
+                key = (factory_key, model)
+                gen = resident({key: lambda m=model: factory(m)})[key]
+                params = {k: (None if pd.isna(v) else v) for k, v in part.iloc[0][list(sampling_cols)].to_dict().items()}
+                got = list(gen(part[prompt_col].tolist(), params))
+                if len(got) != len(part):
+                    raise ValueError(f"generator of {model!r} returned {len(got)} texts for {len(part)} prompts")
+                outs.loc[part.index] = got
             out = pdf.copy()
             out["_raw"] = outs
             yield out
-    key_cols = [model_col] + (["seg_id"] if "seg_id" in df.columns else [])
-    g = df.repartitionByRange(n, *key_cols).sortWithinPartitions(model_col).mapInPandas(fn, schema)
+    if spread_cols is None:
+        spread_cols = tuple(c for c in ("dataset", "src_lang", "tgt_lang", "conv_id", "seg_id") if c in df.columns)
+    g = df.repartition(model_col, *spread_cols).sortWithinPartitions(*by).mapInPandas(fn, schema)
     return g.withColumn(out_col, strip_output("_raw")).drop("_raw")

@@ -54,7 +54,7 @@ def incremental_metrics(spark: SparkSession, segments_base: str, metrics_path: s
         todo = semi_join_units(df, done, keys, how="left_anti")
         if todo.isEmpty():
             return
-        rows = metric_row(prepare_segments(todo), **metric_kw)
+        rows = metric_row(prepare_segments(todo, spread_rows=True), **metric_kw)
         store.append_metrics(rows, metrics_path)
 
     checkpoint = checkpoint or default_checkpoint(spark, "metrics", segments_base, metrics_path)
