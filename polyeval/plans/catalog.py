@@ -102,10 +102,8 @@ with {O.e1()}, {O.DOC_ENTRIES}, {O.extracted()}
 select model, run_id, pos, task, benchmark, lang_code, score from ex
 """)
 def q_union_extracts(spark, sf_dir):
-    tasks = _tasks(spark, sf_dir)
-    aliases = registry.aliases_df(spark)
-    frames = [X.extract_scores(tasks, aliases, ["model", "run_id"], [b]) for b in registry.BENCHMARKS]
-    return X.union_extracts(frames)
+    # the rule set's one pass is the union of the nine extractions
+    return X.extract_scores(_tasks(spark, sf_dir), registry.aliases_df(spark), ["model", "run_id"])
 
 
 @query("normalize_lang", f"""
@@ -193,16 +191,16 @@ def q_corpus_chrf_pp(spark, sf_dir):
 
 
 @query("stringify_missing", f"""
-with {O.e2()}
-select a.doc_id as seg_id, coalesce(b.text, 'nan') as translation
+select a.doc_id as seg_id, coalesce(a.text, 'nan') as source, coalesce(b.text, 'nan') as translation
 from documents a left join documents b on b.doc_id = a.doc_id + 20
 """)
 def q_stringify_missing(spark, sf_dir):
     fixtures.register(spark, sf_dir, ["documents"])
-    a = spark.table("documents").select("doc_id")
+    a = spark.table("documents").select("doc_id", F.col("text").alias("source"))
     b = spark.table("documents").select(F.col("doc_id").alias("b_id"), "text")
     j = a.join(b, F.col("b_id") == F.col("doc_id") + 20, "left")
-    return j.select(F.col("doc_id").alias("seg_id"), TX.stringify_missing("text").alias("translation"))
+    return j.select(F.col("doc_id").alias("seg_id"), TX.stringify_missing("source").alias("source"),
+                    TX.stringify_missing("text").alias("translation"))
 
 
 @query("split_pair", f"""
@@ -463,11 +461,11 @@ from ..sources import corpus as S  # noqa: E402
 
 @query("scan_corpus", f"""
 with c as ({fixtures.E4_SQL})
-select dataset, split, seg_id, eng_Latn from c
+select dataset, split, seg_id, eng_Latn, fra_Latn, deu_Latn, spa_Latn, fr_FR, de_DE, es_MX from c
 where split = case dataset when 'flores-200' then 'devtest' when 'wmt24' then 'train' else 'test' end
 """)
 def q_scan_corpus(spark, sf_dir):
-    return S.scan_corpus(fixtures.corpus_wide(spark, sf_dir)).select("dataset", "split", "seg_id", "eng_Latn")
+    return S.scan_corpus(fixtures.corpus_wide(spark, sf_dir))
 
 
 _PAIRS = f"""c as ({fixtures.E4_SQL}),
@@ -525,11 +523,11 @@ def q_build_prompt(spark, sf_dir):
 
 
 def _requests(spark, sf_dir):
-    """Prompts from the user turns of ``conversations``: each conversation
-    is assigned a registry model and a target language by id."""
+    """Prompts from the turns of ``conversations``: each conversation is
+    assigned a registry model and a target language by id."""
     from .. import registry as R
     fixtures.register(spark, sf_dir, ["conversations"])
-    conv = spark.table("conversations").filter(F.col("role") == "user")
+    conv = spark.table("conversations")
     n_models = len(R._rows(R.MODELS_CSV))
     n_langs = len(R._rows(R.LANGUAGES_CSV))
     midx = spark.createDataFrame([(i, r[0], r[2]) for i, r in enumerate(R._rows(R.MODELS_CSV))],
@@ -550,8 +548,7 @@ _REQ = f"""req as (
  from conversations c
  join {O.models_values()} m on m.idx = c.conv_id % 15
  join {O.languages_indexed()} l on l.idx = c.conv_id % 120
- left join {O.sampling_values()} s on s.family = m.family
- where c.role = 'user')"""
+ left join {O.sampling_values()} s on s.family = m.family)"""
 
 
 @query("sampling_for_family", f"""

@@ -21,13 +21,14 @@ def register(spark: SparkSession, sf_dir: str, names: list[str]) -> None:
 
 
 # E1 raw_scores: benchmark results in long form. model = one per user,
-# run_id = 3 runs, pos = order in the document, ts = time stand-in. A JSON
-# object has unique keys, so (model, run_id, task) is made unique (first event).
+# run_id = run number, pos = order in the document, ts = time stand-in. A JSON
+# object has unique keys, so a task's later events in one of the three series of
+# runs go to later runs of that series: every event is one entry.
 # For hellaswag, score is acc_norm and score2 is acc.
 E1_SQL = """
-select model, run_id, task, event_id as pos, ts, score, score2 from (
- select t.*, row_number() over (partition by model, run_id, task order by event_id) as rn from (
- select concat('m', cast(user_id as string)) as model, k % 3 as run_id, event_id, ts,
+select model, cast(series + 3 * (rn - 1) as bigint) as run_id, task, event_id as pos, ts, score, score2 from (
+ select t.*, row_number() over (partition by model, series, task order by event_id) as rn from (
+ select concat('m', cast(user_id as string)) as model, k % 3 as series, event_id, ts,
   case when event_id % 7 = 0 then null when event_id % 5 = 0 then 0.0 else value / 1000 end as score, value / 2000 as score2,
   case event_id % 9
    when 0 then concat('afrimmlu_direct_', substr('swaormhauengyor', 1+3*cast(k % 5 as int), 3), '_prompt_1')
@@ -39,12 +40,12 @@ select model, run_id, task, event_id as pos, ts, score, score2 from (
    when 6 then concat('mgsm_direct_', substr('jaswtheszzen', 1+2*cast(k % 6 as int), 2))
    when 7 then concat('mlqa_en_', substr('ardeeshivien', 1+2*cast(k % 6 as int), 2))
    else concat('include_base_44_', case k % 4 when 0 then 'arabic' when 1 then 'north macedonian' when 2 then 'klingon' else 'hebrew' end) end as task
- from (select *, cast(floor(event_id / 9.0) as bigint) as k from events) e) t) u where rn = 1
+ from (select *, cast(floor(event_id / 9.0) as bigint) as k from events) e) t) u
 """
 
 # E2 segments: translation segments over whole documents. Reference = a
-# document, hypothesis = the document 20 ids later (with reasoning traces on
-# some rows), source = a benchmark item chosen by id. The hint (a comment to
+# document, hypothesis = the document 20 ids later, the last ids going on with
+# the first (with reasoning traces on some rows), source = a benchmark item chosen by id. The hint (a comment to
 # DuckDB) keeps the self-join of the growing document text a sort-merge
 # join: the planner sizes a Parquet side by its compressed bytes and would
 # broadcast tens of MB of text at sf0.1.
@@ -57,8 +58,9 @@ select /*+ MERGE(b) */ a.source as model,
  case when a.doc_id % 4 = 0 then concat('<think>x</think> y</think>  ', b.text)
       when a.doc_id % 4 = 1 then concat('<think> ', b.text)
       else b.text end as translation
-from (select *, doc_id % (select count(*) from benchmark) as item_key from documents) a
-join documents b on b.doc_id = a.doc_id + 20
+from (select *, doc_id % (select count(*) from benchmark) as item_key,
+        (doc_id + 20) % (select max(doc_id) + 1 from documents) as hyp_key from documents) a
+join documents b on b.doc_id = a.hyp_key
 join benchmark i on i.item_id = a.item_key
 """
 
@@ -73,8 +75,9 @@ from lineitem group by concat('m', cast(l_suppkey % 14 as string)), l_partkey %
 
 
 # E4 corpus: a wide parallel corpus (one text column per corpus code) built
-# from documents: 12 consecutive ids share a row position, each document
-# fills its language's column; rows at every fifth position belong to another
+# from documents: 12 consecutive ids share four row positions, and the documents
+# of one language among them fill that language's column one after the other, so
+# each text has a cell of its own; rows of every fifth twelve belong to another
 # split.
 E4_SQL = """
 select dataset, split, seg_id,
@@ -86,14 +89,17 @@ select dataset, split, seg_id,
   min_by(text, doc_id) filter (where corpus_code = 'de_DE') as de_DE,
   min_by(text, doc_id) filter (where corpus_code = 'es_MX') as es_MX
 from (
- select case doc_id % 3 when 0 then 'flores-200' when 1 then 'ntrex' else 'wmt24' end as dataset,
-   cast(floor(doc_id / 12.0) as bigint) as seg_id, doc_id, text,
+ select dataset, split, doc_id, text, corpus_code,
+   cast(twelve * 4 + row_number() over (partition by dataset, corpus_code, twelve order by doc_id) - 1 as bigint) as seg_id
+ from (
+  select case doc_id % 3 when 0 then 'flores-200' when 1 then 'ntrex' else 'wmt24' end as dataset,
+   cast(floor(doc_id / 12.0) as bigint) as twelve, doc_id, text,
    case when cast(floor(doc_id / 12.0) as bigint) % 5 = 4 then 'dev'
         else case doc_id % 3 when 0 then 'devtest' when 1 then 'test' else 'train' end end as split,
    case when lang = 'en' then 'eng_Latn'
         when doc_id % 3 = 2 then case lang when 'fr' then 'fr_FR' when 'de' then 'de_DE' else 'es_MX' end
         else case lang when 'fr' then 'fra_Latn' when 'de' then 'deu_Latn' else 'spa_Latn' end end as corpus_code
- from documents) d
+  from documents) e) d
 group by dataset, split, seg_id
 """
 
