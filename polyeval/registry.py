@@ -394,6 +394,16 @@ def models_df(spark: SparkSession, variants: dict[str, str] | None = None) -> Da
     return spark.createDataFrame(data, schema)
 
 
+def canonical_model(col):
+    """A model's registry name, however a stage spells it: the registry's name or
+    the translation folder's, without regard to case. Unknown names stay."""
+    from pyspark.sql import functions as F
+    c = F.col(col) if isinstance(col, str) else col
+    names = {s.lower(): r[0] for r in _rows(MODELS_CSV) for s in (r[0], r[7])}
+    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return F.coalesce(known[F.lower(c)], c)
+
+
 def languages_df(spark: SparkSession) -> DataFrame:
     schema = T.StructType([
         T.StructField("lang_code", T.StringType(), False),

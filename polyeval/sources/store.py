@@ -13,10 +13,12 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .. import schemas
+from .. import registry, schemas
 from ..functions.text import numeric_or_null, split_pair
 
 _SEG_PATH = r"/([^/]+)/([^/]+)/([^/]+)\.csv$"
@@ -39,11 +41,66 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 # ----------------------------------------------------------------- scans
+MAX_CSV_COLUMNS = 16
+
+
+def csv_reader(reader, multi_line: bool):
+    """A CSV reader (batch or stream) of rows as they stand, header rows too:
+    columns by position, and the path. See ``by_header``."""
+    cols = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(MAX_CSV_COLUMNS)])
+    return (reader.option("header", False).option("multiLine", multi_line).option("escape", '"')
+            .option("mode", "PERMISSIVE").schema(cols))
+
+
+def by_header(raw: DataFrame, names: list[str], path_col: str = "_path") -> DataFrame:
+    """Columns ``names`` of CSV rows picked by each file's own header row, whatever
+    its order, as pandas does; columns that a file lacks are NULL, and
+    ``_header_ok`` says whether it has all of them. Rows of a file follow each
+    other in a task (its first row is the header), so this streams. Only files
+    that one task reads whole may be passed (multi-line CSV isn't split)."""
+    cols = [f"_c{i}" for i in range(MAX_CSV_COLUMNS)]
+    schema = ", ".join([f"`{n}` string" for n in names] + [f"{path_col} string", "_header_ok boolean"])
+
+    def run(batches):
+        path, at = None, []
+        for b in batches:
+            rows = list(zip(*(b.column(c).to_pylist() for c in [*cols, path_col])))
+            out = []
+            for row in rows:
+                if row[-1] != path:
+                    path = row[-1]
+                    header = [(x or "").lstrip("\ufeff") for x in row[:-1]]
+                    at = [header.index(n) if n in header else -1 for n in names]
+                    continue
+                out.append((*[row[i] if i >= 0 else None for i in at], path, -1 not in at))
+            if out:
+                kinds = [pa.string()] * (len(names) + 1) + [pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
+                                                 [*names, path_col, "_header_ok"])
+    return raw.select(*cols, path_col).mapInArrow(run, schema)
+
+
+def segments_by_header(raw: DataFrame, na_compat: bool = True) -> DataFrame:
+    """Segment rows of translation CSVs, with ``_valid`` and ``_detail`` (what is wrong
+    with the row's file). The model folder becomes the registry's name."""
+    rows = by_header(raw, [f.name for f in schemas.SEGMENT_FILE.fields])
+    src, tgt, valid = split_pair(F.regexp_extract("_path", _SEG_PATH, 3))
+    detail = F.when(~valid, F.lit("pair name is not src-tgt")).when(
+        ~F.col("_header_ok"), F.lit("header lacks source, target or translation"))
+    text = ("source", "target", "translation")
+    return rows.select(
+        F.regexp_extract("_path", _SEG_PATH, 1).alias("dataset"),
+        registry.canonical_model(F.regexp_extract("_path", _SEG_PATH, 2)).alias("model"),
+        src.alias("src_lang"), tgt.alias("tgt_lang"), (valid & F.col("_header_ok")).alias("_valid"), detail.alias("_detail"),
+        F.xxhash64("_path", *text).alias("seg_id"), *([pandas_na(c) for c in text] if na_compat else text), "_path")
+
+
 def scan_segments(spark: SparkSession, base: str, with_status: bool = False, na_compat: bool = True):
     """Every translation CSV under ``base`` in one scan. pandas' dialect:
-    header row, quoted fields may hold newlines, doubled quotes escape.
-    dataset/model come from the folders, the pair from the file stem. Rows of
-    a malformed pair name (not exactly one '-') are left out and reported.
+    header row (columns by name), quoted fields may hold newlines, doubled
+    quotes escape. dataset/model come from the folders (the model by its registry
+    name), the pair from the file stem. Rows of a malformed pair name (not
+    exactly one '-') or of a file without the columns are left out and reported.
     ``seg_id`` is a content key (hash of file and row text): the CSV reader
     has no row position, and the key is only used to spread work.
     ``na_compat``: cells pandas would read as missing ('NA', 'None', '' ...)
@@ -52,23 +109,18 @@ def scan_segments(spark: SparkSession, base: str, with_status: bool = False, na_
     if not _exists(spark, glob):
         empty = spark.createDataFrame([], schemas.SEGMENTS)
         return (empty, spark.createDataFrame([], schemas.RUN_STATUS)) if with_status else empty
-    raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-           .option("mode", "PERMISSIVE").schema(schemas.SEGMENT_FILE).csv(glob)
-           .withColumn("_path", F.col("_metadata.file_path")))
-    src, tgt, valid = split_pair(F.regexp_extract("_path", _SEG_PATH, 3))
-    df = raw.select(F.regexp_extract("_path", _SEG_PATH, 1).alias("dataset"),
-                    F.regexp_extract("_path", _SEG_PATH, 2).alias("model"),
-                    src.alias("src_lang"), tgt.alias("tgt_lang"), valid.alias("_valid"),
-                    F.xxhash64("_path", "source", "target", "translation").alias("seg_id"),
-                    *([pandas_na(c) for c in ("source", "target", "translation")] if na_compat
-                      else ["source", "target", "translation"]), "_path")
+    raw = csv_reader(spark.read, True).csv(glob).withColumn("_path", F.col("_metadata.file_path"))
+    df = segments_by_header(raw, na_compat)
     good = df.filter("_valid").select(*[f.name for f in schemas.SEGMENTS.fields])
     if not with_status:
         return good
-    bad = (df.filter(~F.col("_valid")).select("_path").distinct()
-             .select(F.lit("scan_segments").alias("stage"), F.col("_path").alias("unit"),
-                     F.lit("error").alias("status"), F.lit("pair name is not src-tgt").alias("detail")))
-    return good, bad
+    return good, _file_errors(df, "scan_segments")
+
+
+def _file_errors(df: DataFrame, stage: str) -> DataFrame:
+    return (df.filter(F.col("_detail").isNotNull()).select("_path", "_detail").distinct()
+              .select(F.lit(stage).alias("stage"), F.col("_path").alias("unit"),
+                      F.lit("error").alias("status"), F.col("_detail").alias("detail")))
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
@@ -76,33 +128,42 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.SEGMENTS).parquet(path)
 
 
-def scan_metrics(spark: SparkSession, path: str, layout: str = "parquet") -> DataFrame:
+def scan_metrics(spark: SparkSession, path: str, layout: str = "parquet", with_status: bool = False):
     """The metric table; nothing there -> empty table of the D11 schema.
-    ``layout='reference'`` reads ``<root>/<model>/<dataset>.csv`` files; a
-    file without the metricx column reads it as NULL."""
-    if layout == "parquet":
-        if not _exists(spark, path):
-            return spark.createDataFrame([], schemas.METRICS)
-        return spark.read.schema(schemas.METRICS).parquet(path)
+    ``layout='reference'`` reads ``<root>/<model>/<dataset>.csv`` files by their
+    headers; a file without the metricx column reads it as NULL. Rows whose pair
+    name is malformed are left out and, ``with_status``, reported."""
+    names = [f.name for f in schemas.METRIC_FILE.fields]
     glob = f"{path.rstrip('/')}/*/*.csv"
-    if not _exists(spark, glob):
-        return spark.createDataFrame([], schemas.METRICS)
-    raw = (spark.read.option("header", True).schema(schemas.METRIC_FILE).csv(glob)
-           .withColumn("_path", F.col("_metadata.file_path")))
+    if layout == "parquet" and _exists(spark, path):
+        found = spark.read.schema(schemas.METRICS).parquet(path)
+        return (found, spark.createDataFrame([], schemas.RUN_STATUS)) if with_status else found
+    if layout == "parquet" or not _exists(spark, glob):
+        empty = spark.createDataFrame([], schemas.METRICS)
+        return (empty, spark.createDataFrame([], schemas.RUN_STATUS)) if with_status else empty
+    raw = csv_reader(spark.read, True).csv(glob).withColumn("_path", F.col("_metadata.file_path"))
     src, tgt, valid = split_pair("translation-pair")
     p = r"/([^/]+)/([^/]+)\.csv$"
-    return raw.filter(valid).select(
-        F.regexp_extract("_path", p, 1).alias("model"), F.regexp_extract("_path", p, 2).alias("dataset"),
+    rows = by_header(raw, names).withColumn("_ok", F.coalesce(valid, F.lit(False)))
+    good = rows.filter("_ok").select(
+        registry.canonical_model(F.regexp_extract("_path", p, 1)).alias("model"),
+        F.regexp_extract("_path", p, 2).alias("dataset"),
         src.alias("src_lang"), tgt.alias("tgt_lang"),
         *[numeric_or_null(F.col(a)).alias(b) for a, b in
           [("bleu", "bleu"), ("chrf++", "chrf"), ("rouge-l", "rouge_l"), ("meteor", "meteor"),
            ("xcomet", "xcomet"), ("ssa-comet", "ssa_comet"), ("metricx", "metricx")]])
+    if not with_status:
+        return good
+    bad = rows.withColumn("_detail", F.when(~F.col("_ok"), F.concat(
+        F.lit("pair name "), F.coalesce("translation-pair", F.lit("")), F.lit(" is not src-tgt"))))
+    return good, _file_errors(bad, "scan_metrics")
 
 
-def scan_predictions(spark: SparkSession, path: str) -> DataFrame:
+def scan_predictions(spark: SparkSession, path: str, by_unit: bool = False) -> DataFrame:
     """Scorer output JSONL; ``prediction`` per line (an empty file gives
-    no rows)."""
-    return spark.read.schema(schemas.SCORER_OUT).json(path)
+    no rows). ``by_unit``: with the unit keys of the folders (K5 ``by_unit``)."""
+    fields = schemas.SCORER_OUT.fields + ([schemas.METRICS[k] for k in schemas.UNIT_KEYS] if by_unit else [])
+    return spark.read.schema(T.StructType(fields)).json(path)
 
 
 # ----------------------------------------------------------------- sinks
@@ -117,40 +178,59 @@ def write_scores(scores: DataFrame, path: str, fmt: str = "csv") -> None:
 
 def write_segments(seg: DataFrame, path: str, fmt: str = "parquet", mode: str = "append",
                    max_records_per_file: int = 1_000_000) -> None:
-    """K2: partitioned by dataset/model/tgt_lang; each task writes its rows
-    partition by partition (sorted), no shuffle."""
-    (seg.sortWithinPartitions("dataset", "model", "tgt_lang", "seg_id")
+    """K2: partitioned by dataset/model/tgt_lang. Rows are dealt by those columns
+    (a rebalance: adaptive execution splits a unit that is too large for a
+    task), so a unit is a file or few, not one per task."""
+    keys = ["dataset", "model", "tgt_lang"]
+    (seg.hint("rebalance", *keys).sortWithinPartitions(*keys, "seg_id")
         .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
-        .option("header", True).partitionBy("dataset", "model", "tgt_lang").format(fmt).save(path))
-
-
+        .option("header", True).partitionBy(*keys).format(fmt).save(path))
 
 
 def append_metrics(rows: DataFrame, path: str) -> None:
-    """K3: append metric rows (partitioned by model/dataset), pairs in
-    sorted order inside each file."""
-    (rows.select(*[f.name for f in schemas.METRICS.fields])
+    """K3: append metric rows (partitioned by model/dataset, dealt by them), pairs
+    in sorted order inside each file."""
+    (rows.select(*[f.name for f in schemas.METRICS.fields]).hint("rebalance", "model", "dataset")
          .sortWithinPartitions("model", "dataset", "src_lang", "tgt_lang")
          .write.mode("append").partitionBy("model", "dataset").parquet(path))
 
 
 def upsert_metrics(spark: SparkSession, rows: DataFrame, path: str, staging_root: str | None = None) -> None:
-    """K4: replace the (model, dataset) partitions present in ``rows``. The
-    new version is first written to a fresh staging folder (so the table is
-    never read and overwritten by one job), then copied over with dynamic
-    partition overwrite."""
+    """K4: put ``rows`` into the table: they replace the stored rows of their
+    units, and every other stored row stays. The touched (model, dataset)
+    partitions are merged on the unit key and first written to a fresh staging
+    folder (so the table is never read and overwritten by one job), then
+    copied over with dynamic partition overwrite."""
     from ..session import scratch_path
+    names = [f.name for f in schemas.METRICS.fields]
     stage = f"{staging_root.rstrip('/')}/{uuid.uuid4().hex}" if staging_root else scratch_path(spark, "metrics-stage")
-    rows.select(*[f.name for f in schemas.METRICS.fields]).write.mode("overwrite").parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    new = rows.select(*names)
+    held = scan_metrics(spark, path)
+    kept = (held.join(new.select("model", "dataset").distinct(), ["model", "dataset"], "left_semi")
+                .join(new.select(*schemas.UNIT_KEYS).distinct(), schemas.UNIT_KEYS, "left_anti"))
+    kept.select(*names).unionByName(new).write.mode("overwrite").parquet(stage)
+    (spark.read.schema(schemas.METRICS).parquet(stage).hint("rebalance", "model", "dataset")
+          .sortWithinPartitions("model", "dataset", "src_lang", "tgt_lang")
+          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy("model", "dataset").parquet(path))
+    _delete(spark, stage)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
-def export_scorer_jsonl(prepared: DataFrame, path: str) -> None:
-    """K5: {source, reference, hypothesis} lines, UTF-8, non-ASCII as is."""
-    (prepared.select(F.col("src").alias("source"), F.col("ref").alias("reference"),
-                     F.col("hyp").alias("hypothesis"))
-             .write.mode("overwrite").json(path))
+def export_scorer_jsonl(prepared: DataFrame, path: str, by_unit: bool = False) -> None:
+    """K5: {source, reference, hypothesis} lines, UTF-8, non-ASCII as is.
+    ``by_unit``: in folders named by the unit keys, which ``scan_predictions`` reads
+    back with the scorer's output."""
+    rows = prepared.select(*(schemas.UNIT_KEYS if by_unit else []), F.col("src").alias("source"),
+                           F.col("ref").alias("reference"), F.col("hyp").alias("hypothesis"))
+    if by_unit:
+        rows = rows.hint("rebalance", *schemas.UNIT_KEYS)
+    w = rows.write.mode("overwrite")
+    (w.partitionBy(*schemas.UNIT_KEYS) if by_unit else w).json(path)
 
 
 __all__ = ["scan_segments", "read_segments", "scan_metrics", "scan_predictions", "write_scores",

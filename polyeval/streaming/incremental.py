@@ -17,11 +17,9 @@ from ..operators.joins import pending_units, semi_join_units
 from ..plans.benchmark_scores import score_table
 from ..plans.translation_metrics import metric_row, prepare_segments
 from ..sources import store
+from ..session import scratch_path
 from ..sources.results import result_path_match
 
-_SEG_PATH = r"/([^/]+)/([^/]+)/([^/]+)\.csv$"
-
-
 def default_checkpoint(spark: SparkSession, kind: str, *paths: str) -> str:
     """A stable stream checkpoint under the shared ``spark.checkpoint.dir``:
     the same inputs/outputs give the same folder, so a re-run resumes."""
@@ -36,17 +34,9 @@ def incremental_metrics(spark: SparkSession, segments_base: str, metrics_path: s
                         checkpoint: str | None = None, available_now: bool = True, **metric_kw):
     """Score each newly arrived translation file (one file = one unit)
     once and append its metric row."""
-    from ..functions.text import split_pair
-    stream = (spark.readStream.option("header", True).option("multiLine", True).option("escape", '"')
-              .schema(schemas.SEGMENT_FILE).csv(f"{segments_base.rstrip('/')}/*/*/")
+    stream = (store.csv_reader(spark.readStream, True).csv(f"{segments_base.rstrip('/')}/*/*/")
               .withColumn("_path", F.col("_metadata.file_path")))
-    src, tgt, valid = split_pair(F.regexp_extract("_path", _SEG_PATH, 3))
-    seg = stream.select(F.regexp_extract("_path", _SEG_PATH, 1).alias("dataset"),
-                        F.regexp_extract("_path", _SEG_PATH, 2).alias("model"),
-                        src.alias("src_lang"), tgt.alias("tgt_lang"), valid.alias("_valid"),
-                        F.xxhash64("_path", "source", "target", "translation").alias("seg_id"),
-                        *[store.pandas_na(c) for c in ("source", "target", "translation")]
-                        ).filter("_valid").drop("_valid")
+    seg = store.segments_by_header(stream).filter("_valid").select(*[f.name for f in schemas.SEGMENTS.fields])
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         keys = schemas.UNIT_KEYS
@@ -79,23 +69,24 @@ def incremental_scores(spark: SparkSession, results_base: str, scores_path: str,
         s = df.sparkSession
         reg = models if models is not None else registry.models_df(s).filter("in_benchmark")
         new = result_path_match(df, reg).drop("model").withColumnRenamed("reg_model", "model")
-        held = (s.read.parquet(runs_path) if store._exists(s, runs_path)
-                else s.createDataFrame([], "model string, path string, mtime timestamp"))
+        runs_schema = "model string, path string, mtime timestamp"
+        held = (s.read.schema(runs_schema).parquet(runs_path) if store._exists(s, runs_path)
+                else s.createDataFrame([], runs_schema))
         cand = new.select("model", "path", "mtime", "value").unionByName(
             held.select("model", "path", "mtime", F.lit(None).cast("string").alias("value")))
         best = cand.groupBy("model").agg(F.max_by(F.struct("path", "mtime", "value"),
                                                   F.struct("mtime", "path")).alias("b")).select("model", "b.*")
-        # materialized before the runs table it was read from is overwritten
-        changed = best.filter(F.col("value").isNotNull()).persist()
-        if changed.count() == 0:
-            changed.unpersist()
+        # written out before the runs table it was read from is overwritten
+        stage = scratch_path(s, "runs-stage")
+        best.filter(F.col("value").isNotNull()).write.parquet(stage)
+        changed = s.read.schema("model string, path string, mtime timestamp, value string").parquet(stage)
+        if changed.isEmpty():
             return
         scores = score_table(changed, registry.aliases_df(s), run_col="path")
         store.write_scores(scores, scores_path, fmt="parquet")
         runs = changed.select("model", "path", "mtime")
         (runs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("model").parquet(runs_path))
-        changed.unpersist()
 
     checkpoint = checkpoint or default_checkpoint(spark, "scores", results_base, scores_path, runs_path)
     w = docs.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
