@@ -17,7 +17,8 @@ Steps, each a distributed job; tables of ids are written to the shared folder:
 4. each node is compared with the bucket leader that it meets most often, on the
    full sets; the links' components are taken;
 5. every pair of a bucket that isn't in one component yet and may reach the
-   threshold is compared on the full sets. So no pair of candidates is
+   threshold is compared on the full sets, once however many tables it meets
+   in. So no pair of candidates is
    left out, and copies of one text or one large group aren't expanded into pairs.
 
 Sets travel as 48-bit hashes of shingles.
@@ -105,17 +106,18 @@ def _signed(x: int) -> int:
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
-    """key, node of every table bucket with two nodes or more."""
-    sub = nodes.select("node", F.explode(F.concat(
-        F.transform("lefts", lambda x: F.struct(F.lit(0).alias("side"), x.alias("key"))),
-        F.transform("rights", lambda x: F.struct(F.lit(1).alias("side"), x.alias("key"))))).alias("s")).select("node", "s.*")
+    """key, left, right (the table), node of every table bucket with two nodes or more."""
+    sub = nodes.select("node", F.posexplode(F.concat("lefts", "rights")).alias("pos", "key"), F.size("lefts").alias("side"))
     own = sub.join(sub.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "key")
-    sides = own.groupBy("node").agg(F.collect_list(F.when(F.col("side") == 0, F.col("key"))).alias("l"),
-                                    F.collect_list(F.when(F.col("side") == 1, F.col("key"))).alias("r"))  # 2 * SIDE at most
-    keyed = sides.select("node", F.explode("l").alias("l"), "r").select("node", "l", F.explode("r").alias("r"))
-    keyed = keyed.select("node", F.xxhash64("l", "r").alias("key"))
+    pair = F.struct("pos", "key")
+    sides = own.groupBy("node").agg(F.collect_list(F.when(F.col("pos") < F.col("side"), pair)).alias("l"),
+                                    F.collect_list(F.when(F.col("pos") >= F.col("side"), pair)).alias("r"),
+                                    F.first("side").alias("side"))  # 2 * SIDE entries at most
+    keyed = sides.select("node", "side", F.explode("l").alias("l"), "r").select("node", "side", "l", F.explode("r").alias("r"))
+    keyed = keyed.select("node", F.xxhash64("l.key", "r.key").alias("key"), F.col("l.pos").alias("left"),
+                         (F.col("r.pos") - F.col("side")).alias("right"))
     many = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    return keyed.join(many, "key").select("key", "node")
+    return keyed.join(many, "key").select("key", "left", "right", "node")
 
 
 def candidate_sets(df: DataFrame, id_col: str, text_col: str, candidates: DataFrame, percent: int) -> DataFrame:
@@ -214,14 +216,20 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     parts = components(links)
 
     placed = written(met.join(parts, "node", "left").select(
-        "key", "node", "n", "s", F.coalesce("component", "node").alias("component")), "placed")
+        "key", "left", "right", "node", "n", "s", F.coalesce("component", "node").alias("component")), "placed")
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    open_ = placed.join(mixed, "key")
-    one = lambda x: open_.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "s", "component")])
-    pairs = one("a").join(one("b"), "key").where("node_a < node_b and component_a <> component_b").where(may_link(percent))
+    # A pair meets in many tables; it is taken in the one of its first common left
+    # and right collections, so a row has those before its own.
+    open_ = placed.join(mixed, "key").join(nodes.select("node", "lefts", "rights"), "node").select(
+        "key", "node", "n", "s", "component",
+        F.concat(F.slice("lefts", F.lit(1), F.col("left")), F.slice("rights", F.lit(1), F.col("right"))).alias("before"))
+    one = lambda x: open_.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "s", "component", "before")])
+    pairs = one("a").join(one("b"), "key").where(
+        f"node_a < node_b and component_a <> component_b and {may_link(percent)} and not arrays_overlap(before_a, before_b)")
     pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    more = written(verified(written(pairs, "pairs"), sets, percent), "links")
-    parts = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    more = written(verified(pairs, sets, percent), "links")
+    if not more.isEmpty():
+        parts = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     named = nodes.select("d1", "d2", "node").join(parts, "node", "left").select(
         "d1", "d2", F.coalesce("component", "node").alias("component_id"))
