@@ -569,3 +569,6 @@ def q_generate_translations(spark, sf_dir):
     r = _requests(spark, sf_dir)
     g = U.generate(r, standins.echo_generator, "prompt", "translation")
     return g.select("conv_id", "seg_id", "model", "tgt_lang", "translation")
+
+
+from . import storage_queries  # noqa: E402,F401  (registers its queries)
