@@ -124,3 +124,43 @@ def test_read_corpus_keeps_each_datasets_split(spark, tmp_path):
          .write.parquet(path)
     got = sorted(r["eng_Latn"] for r in read_corpus(spark, path).collect())
     assert got == ["a", "c", "d"]
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    base = tmp_path / "translations"
+    for pair, cols, rows in [("eng-fra", ["translation", "source", "extra", "target"], [("hyp", "src", "x", "ref"), ("h2", "s2", "", "r\n2")]),
+                             ("eng-deu", ["source", "target", "translation"], [("a", "b", "c")]), ("eng-spa", ["source", "target"], [("a", "b")])]:
+        d = base / "ntrex" / "phi-4"
+        d.mkdir(parents=True, exist_ok=True)
+        pd.DataFrame(rows, columns=cols).to_csv(d / f"{pair}.csv", index=False)
+    segs, bad = store.scan_segments(spark, str(base), with_status=True)
+    got = {(r.tgt_lang, r.source): (r.target, r.translation, r.model) for r in segs.collect()}
+    assert got == {("fra", "src"): ("ref", "hyp", "Phi-4"), ("fra", "s2"): ("r\n2", "h2", "Phi-4"), ("deu", "a"): ("b", "c", "Phi-4")}
+    assert [r.detail for r in bad.collect()] == ["header lacks source, target or translation"]
+
+
+def test_upsert_keeps_other_rows(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    row = lambda ds, tgt, mx: ("m", ds, "eng", tgt, 1.0, 2.0, 0.1, 0.2, 0.3, 0.4, mx)
+    store.append_metrics(spark.createDataFrame([row("ntrex", t, None) for t in ("fra", "deu", "spa")] + [row("wmt24", "fra", 1.0)], schemas.METRICS), path)
+    store.upsert_metrics(spark, spark.createDataFrame([row("ntrex", "deu", 20.0), row("flores-200", "ita", 3.0)], schemas.METRICS), path)
+    got = sorted((r.dataset, r.tgt_lang, r.metricx) for r in store.scan_metrics(spark, path).collect())
+    assert got == [("flores-200", "ita", 3.0), ("ntrex", "deu", 20.0), ("ntrex", "fra", None), ("ntrex", "spa", None), ("wmt24", "fra", 1.0)]
+
+
+def test_malformed_metric_rows_are_reported(spark, tmp_path):
+    d = tmp_path / "metrics" / "phi-4"
+    d.mkdir(parents=True)
+    (d / "ntrex.csv").write_text("bleu,translation-pair,metricx\n10,eng-fra,2\n11,eng-fra-x,3\n")
+    rows, bad = store.scan_metrics(spark, str(tmp_path / "metrics"), "reference", with_status=True)
+    assert [(r.model, r.tgt_lang, r.bleu, r.metricx) for r in rows.collect()] == [("Phi-4", "fra", 10.0, 2.0)]
+    assert [r.detail for r in bad.collect()] == ["pair name eng-fra-x is not src-tgt"]
+
+
+def test_scorer_files_by_unit_come_back_with_their_unit(spark, tmp_path):
+    rows = [("m", "ntrex", "eng", t, "s", "r", "h" * i) for i, t in enumerate(("fra", "deu", "deu"))]
+    df = spark.createDataFrame(rows, "model string, dataset string, src_lang string, tgt_lang string, src string, ref string, hyp string")
+    path = str(tmp_path / "in")
+    store.export_scorer_jsonl(df, path, by_unit=True)
+    back = store.scan_predictions(spark, path, by_unit=True).collect()
+    assert sorted((r.tgt_lang, r.hypothesis) for r in back) == [("deu", "h"), ("deu", "hh"), ("fra", "")]
