@@ -13,8 +13,11 @@ bounds a task's memory as for any other shuffle.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -26,8 +29,9 @@ CHUNK_BITS = 7  # 128 neighbouring ids make a chunk
 
 SENT = "bucket int, chunk long, width int, mode int, sent binary"
 ANSWERED = "bucket int, chunk long, bits binary"
-#: Answer modes: the hash is in another chunk; it is in a chunk that comes earlier.
-ANY, EARLIER = 0, 1
+#: Answer modes: the hash is in another chunk; it is in a chunk that comes earlier;
+#: earlier answers that a chunk keeps for its next pass, returned as they are.
+ANY, EARLIER, KEPT = 0, 1, 2
 
 
 def bucket_count(spark: SparkSession) -> int:
@@ -70,9 +74,22 @@ def bucket_order(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return order, sorted_[edges[:-1]], edges
 
 
+def keep_answers(chunk: int, answered: dict[int, bytes], n_buckets: int) -> pa.Table:
+    """A row of ``SENT`` with a chunk's answers so far."""
+    return pa.table({"bucket": pa.array([chunk % n_buckets], pa.int32()), "chunk": pa.array([chunk], pa.int64()),
+                     "width": pa.array([0], pa.int32()), "mode": pa.array([KEPT], pa.int32()),
+                     "sent": pa.array([pickle.dumps(answered)], pa.binary())})
+
+
 def answer(group: pa.Table) -> pa.Table:
     """A bucket's answers: a bit for each hash that it was sent."""
-    group = group.sort_by("chunk")
+    kept = group.filter(pc.equal(group["mode"], KEPT))
+    group = group.filter(pc.not_equal(group["mode"], KEPT)).sort_by("chunk")
+    back = pa.table({"bucket": pa.array([-1] * kept.num_rows, pa.int32()), "chunk": kept["chunk"], "bits": kept["sent"]})
+    return pa.concat_tables([back, _answer(group)]) if kept.num_rows else _answer(group)
+
+
+def _answer(group: pa.Table) -> pa.Table:
     chunks = group["chunk"].to_pylist()
     blobs = group["sent"].to_pylist()
     if not blobs:
@@ -120,7 +137,14 @@ def unpack(answered: dict[int, bytes], buckets: np.ndarray) -> np.ndarray:
 
 
 def answered_bits(group: pa.Table) -> dict[int, bytes]:
-    return dict(zip(group["bucket"].to_pylist(), group["bits"].to_pylist()))
+    """A chunk's answers by bucket, those kept from earlier passes too."""
+    out = {}
+    for bucket, bits in zip(group["bucket"].to_pylist(), group["bits"].to_pylist()):
+        if bucket < 0:
+            out |= pickle.loads(bits)
+        else:
+            out[bucket] = bits
+    return out
 
 
 _POWER = np.uint64(0xD6E8FEB86659FD93)

@@ -9,8 +9,11 @@ equal digits. The first digit is the window's anchor, its ``GRAM``-byte string
 of least hash: neighbouring windows share it, so one entry travels for some
 thirteen suffixes. Only suffixes whose anchor occurs in two documents go on; a text
 that equals one with a smaller id is settled by its digest and goes on neither.
-The last digit is the whole window. So the passes need no order among different
-groups, only which suffixes are equal, and hashes of digits say that.
+The second digit is the stretch of bytes that the neighbours of one anchor cover
+(under twice ``DEPTH``): stretches that occur in an earlier document are settled, all
+their suffixes at once, so copies of a passage send one entry for it. The last digit,
+of the suffixes still open, is the whole window. So the passes need no order among
+different groups, only which suffixes are equal, and hashes of digits say that.
 
 A byte is removed if a window over it also starts in a document with a smaller id.
 The text is shuffled once, by chunks of neighbouring ids, and the passes read that
@@ -59,6 +62,13 @@ class ChunkBytes:
         self.data = np.frombuffer(b"".join(self.texts), dtype=np.uint8)
         self._copies()
 
+    def _buckets(self, hashes: np.ndarray, digit: int) -> np.ndarray:
+        """Buckets of a digit's hashes. Only the last digit fills all buckets of its
+        own; the lighter ones (anchors, texts, stretches) have half as many each."""
+        half = max(1, self.n_buckets // 2)
+        n = self.n_buckets if digit == 3 else half
+        return (hashes % np.uint64(n)).astype(np.int64) + digit * half
+
     def _copies(self) -> None:
         long = [i for i, t in enumerate(self.texts) if len(t) >= self.depth]
         digests = [xxhash.xxh3_128_intdigest(self.texts[i]) for i in long]
@@ -66,7 +76,7 @@ class ChunkBytes:
         high = np.array([d >> 64 for d in digests], dtype=np.uint64)
         self.long = np.array(long, dtype=np.int64)
         self.digests, at, self.digest_of = np.unique(low, return_index=True, return_inverse=True)
-        self.digest_buckets = (high[at] % np.uint64(self.n_buckets)).astype(np.int64) + self.n_buckets
+        self.digest_buckets = self._buckets(high[at], 1)
         least = self.rank[self.long[at]]  # ids ascend, so the first has the least
         self.copy = np.zeros(len(self.texts), dtype=bool)
         self.copy[self.long] = least[self.digest_of] < self.rank[self.long]
@@ -74,18 +84,20 @@ class ChunkBytes:
     def blocks(self):
         """Window starts that stay in their document, their documents, and the
         codes of the block's bytes with its first position."""
-        limit = np.repeat(self.first[1:] - self.depth, np.diff(self.first))  # last start, for each byte
-        owner = np.repeat(np.arange(len(self.texts)), np.diff(self.first))
         for a in range(0, len(self.data) - self.depth + 1, BLOCK):
             b = min(a + BLOCK, len(self.data) - self.depth + 1)
+            i, j = np.searchsorted(self.first, [a, b - 1], side="right") - 1
+            docs = np.arange(i, j + 1)
+            bytes_in = np.minimum(self.first[docs + 1], b) - np.maximum(self.first[docs], a)
+            owner = np.repeat(docs, bytes_in)
             starts = np.arange(a, b)
-            ok = (starts <= limit[a:b]) & ~self.copy[owner[a:b]]
+            ok = (starts <= self.first[owner + 1] - self.depth) & ~self.copy[owner]
             if ok.any():
-                yield a, starts[ok], owner[a:b][ok], _CODES[self.data[a:b + self.depth - 1]]
+                yield a, starts[ok], owner[ok], _CODES[self.data[a:b + self.depth - 1]]
 
     def anchors(self):
-        """For each block: the valid starts, their documents, each one's anchor
-        digit, and the block's codes."""
+        """For each block: its position, the valid starts, their documents, each one's
+        anchor digit and its place in the block, and the block's codes."""
         reach = self.depth - self.gram + 1
         for a, starts, owner, codes in self.blocks():
             digit = mix64(ex.window_hash(codes, self.gram))
@@ -96,13 +108,13 @@ class ChunkBytes:
                 size *= 2
             if size < reach:
                 least = np.minimum(least[:size - reach], least[reach - size:])
-            at = (least & _INDEX).astype(np.int64)
-            yield a, starts, owner, digit[at[starts - a]], codes
+            at = (least & _INDEX).astype(np.int64)[starts - a]
+            yield a, starts, owner, digit[at], at, codes
 
     def digits(self) -> None:
         """Distinct anchor digits of the chunk, and which of them are in two documents of it."""
         found, owners = [], []
-        for _, _, owner, digit, _ in self.anchors():
+        for _, _, owner, digit, _, _ in self.anchors():
             new = np.ones(len(digit), dtype=bool)
             new[1:] = (digit[1:] != digit[:-1]) | (owner[1:] != owner[:-1])
             found.append(digit[new])
@@ -115,7 +127,7 @@ class ChunkBytes:
         self.digit = digit[edges]
         last = np.concatenate((edges[1:], [len(digit)])) - 1 if len(edges) else edges
         self.shared = owner[edges] != owner[last]
-        self.digit_buckets = (self.digit % np.uint64(self.n_buckets)).astype(np.int64)
+        self.digit_buckets = self._buckets(self.digit, 0)
 
     def first_pass(self) -> pa.Table:
         self.digits()
@@ -123,40 +135,66 @@ class ChunkBytes:
             ex.pack_sent(self.chunk, self.digit >> np.uint64(24), self.digit_buckets, DIGIT_BYTES, ex.ANY),
             ex.pack_sent(self.chunk, self.digests, self.digest_buckets, 8, ex.EARLIER)])
 
-    def windows(self, answered: dict[int, bytes]) -> None:
-        """The suffixes that go on: start, document and distinct window."""
+    def stretches(self, answered: dict[int, bytes]) -> None:
+        """The suffixes that go on (start, document, two window hashes), and their
+        stretches: runs of neighbouring starts with one anchor at one place."""
         self.digits()
         self.copy[self.long] |= ex.unpack(answered, self.digest_buckets)[self.digest_of]
         alive = self.digit[self.shared | ex.unpack(answered, self.digit_buckets)]
-        starts_, owners, value, other = [], [], [], []
-        for a, starts, owner, digit, codes in self.anchors() if len(alive) else ():
+        parts: list[tuple] = []
+        for a, starts, owner, digit, place, codes in self.anchors() if len(alive) else ():
             at = np.searchsorted(alive, digit)
             at[at == len(alive)] = 0
             go = alive[at] == digit
             if go.any():
-                starts = starts[go]
-                starts_.append(starts)
-                owners.append(owner[go])
-                value.append(ex.window_hash(codes, self.depth)[starts - a])
-                other.append(ex.window_hash(codes, self.depth, ex.second_base())[starts - a])
-        join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-        self.starts, self.owner = join(starts_, np.int64), join(owners, np.int64)
-        self.values, at, self.which = np.unique(mix64(join(value, np.uint64)), return_index=True, return_inverse=True)
-        self.value_buckets = (mix64(join(other, np.uint64)[at]) % np.uint64(self.n_buckets)).astype(np.int64) + 2 * self.n_buckets
-        self.earlier = self.rank[self.owner[at]][self.which] < self.rank[self.owner]
+                starts, owner, place = starts[go], owner[go], place[go]
+                new = np.ones(len(starts), dtype=bool)
+                new[1:] = (np.diff(starts) != 1) | (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])
+                parts.append((starts, owner, new, ex.window_hash(codes, self.depth)[starts - a],
+                              ex.window_hash(codes, self.depth, ex.second_base())[starts - a]))
+        kinds = (np.int64, np.int64, bool, np.uint64, np.uint64)
+        self.starts, self.owner, new, self.value, self.other = (
+            np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, kind) for k, kind in enumerate(kinds))
+        head = np.flatnonzero(new)
+        tail = np.concatenate((head[1:], [len(new)]))[:len(head)] - 1
+        size = (tail - head).astype(np.uint64)  # with the first and the last window: the whole stretch
+        hashes = [mix64(mix64(h[head]) * np.uint64(3) + h[tail] + size) for h in (self.value, self.other)]
+        self.stretch_of = np.cumsum(new) - 1
+        self.stretch, at, self.same = np.unique(hashes[0], return_index=True, return_inverse=True)
+        self.stretch_buckets = self._buckets(hashes[1][at], 2)
+        of = self.owner[head]
+        self.settled = self.rank[of[at]][self.same] < self.rank[of]
+
+    def second_pass(self, answered: dict[int, bytes]) -> pa.Table:
+        self.stretches(answered)
+        return pa.concat_tables([
+            ex.pack_sent(self.chunk, self.stretch, self.stretch_buckets, 8, ex.EARLIER),
+            ex.keep_answers(self.chunk, answered, self.n_buckets)])
+
+    def windows(self, answered: dict[int, bytes]) -> None:
+        """The suffixes that no stretch settles, and their distinct windows."""
+        self.stretches(answered)
+        settled = (self.settled | ex.unpack(answered, self.stretch_buckets)[self.same])[self.stretch_of] if len(self.starts) else np.zeros(0, bool)
+        self.done, self.open = self.starts[settled], self.starts[~settled]
+        owner = self.owner[~settled]
+        self.values, at, self.which = np.unique(mix64(self.value[~settled]), return_index=True, return_inverse=True)
+        self.value_buckets = self._buckets(mix64(self.other[~settled][at]), 3)
+        self.earlier = self.rank[owner[at]][self.which] < self.rank[owner]
 
     def last_pass(self, answered: dict[int, bytes]) -> pa.Table:
         self.windows(answered)
-        return ex.pack_sent(self.chunk, self.values, self.value_buckets, 8, ex.EARLIER)
+        return pa.concat_tables([
+            ex.pack_sent(self.chunk, self.values, self.value_buckets, 8, ex.EARLIER),
+            ex.keep_answers(self.chunk, answered, self.n_buckets)])
 
     def covered(self, answered: dict[int, bytes]) -> np.ndarray:
         """Mask of the bytes to remove."""
         self.windows(answered)
-        hit = self.starts[self.earlier | ex.unpack(answered, self.value_buckets)[self.which]]
+        hit = np.concatenate((self.done, self.open[self.earlier | ex.unpack(answered, self.value_buckets)[self.which]]))
         edge = np.zeros(len(self.data) + 1, dtype=np.int32)
         np.add.at(edge, hit, 1)
         np.add.at(edge, hit + self.depth, -1)
-        out = np.cumsum(edge[:-1]) > 0
+        out = np.cumsum(edge[:-1], dtype=np.int32) > 0
         for i in np.flatnonzero(self.copy):
             out[self.first[i]:self.first[i + 1]] = True
         return out
@@ -173,6 +211,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def first(group: pa.Table) -> pa.Table:
         return ChunkBytes(group, depth, gram, n_buckets).first_pass()
 
+    def second(group: pa.Table, answered: pa.Table) -> pa.Table:
+        if not group.num_rows:
+            return no_sent
+        return ChunkBytes(group, depth, gram, n_buckets).second_pass(ex.answered_bits(answered))
+
     def last(group: pa.Table, answered: pa.Table) -> pa.Table:
         if not group.num_rows:
             return no_sent
@@ -198,9 +241,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
               "removed array<struct<start:long,end:long>>, kept binary")
     empty, no_sent = ex.empty_table(schema), ex.empty_table(ex.SENT)
     grouped = docs.groupBy("chunk")
-    digits = ex.answers(grouped.applyInArrow(first, ex.SENT))
-    windows = ex.answers(grouped.cogroup(digits.groupBy("chunk")).applyInArrow(last, ex.SENT))
-    done = grouped.cogroup(digits.unionByName(windows).groupBy("chunk")).applyInArrow(finish, schema)
+    answered = ex.answers(grouped.applyInArrow(first, ex.SENT))
+    for each in (second, last):
+        answered = ex.answers(grouped.cogroup(answered.groupBy("chunk")).applyInArrow(each, ex.SENT))
+    done = grouped.cogroup(answered.groupBy("chunk")).applyInArrow(finish, schema)
     return done.withColumnRenamed("id", id_col)
 
 
