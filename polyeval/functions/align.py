@@ -39,6 +39,7 @@ def rouge_l_f(hyp_tokens: list[str], ref_tokens: list[str]) -> float:
 # Word tokenizer for METEOR in the style of the Penn Treebank tokenizer:
 # quotes, punctuation and clitics are split off words.
 _TB_RULES = [
+    (re.compile(r"[«“‘„]"), r" \g<0> "),
     (re.compile(r'^"'), "``"),
     (re.compile(r"(``)"), r" \1 "),
     (re.compile(r'([ \(\[{<])(")'), r"\1 `` "),
@@ -46,11 +47,12 @@ _TB_RULES = [
     (re.compile(r"([:,])$"), r" \1 "),
     (re.compile(r"\.\.\."), r" ... "),
     (re.compile(r"[;@#$%&]"), r" \g<0> "),
-    (re.compile(r'([^\.])(\.)([\]\)}>"\']*)\s*$'), r"\1 \2\3 "),
+    (re.compile(r'([^\.])(\.)([\]\)}>"\'»”’ ]*)\s*$'), r"\1 \2 \3 "),
     (re.compile(r"[?!]"), r" \g<0> "),
     (re.compile(r"([^'])' "), r"\1 ' "),
     (re.compile(r"[\]\[\(\)\{\}\<\>]"), r" \g<0> "),
     (re.compile(r"--"), r" -- "),
+    (re.compile(r"[»”’]"), r" \g<0> "),
     (re.compile(r'"'), " '' "),
     (re.compile(r"(\S)(\'\')"), r"\1 \2 "),
     (re.compile(r"([^' ])('[sS]|'[mM]|'[dD]|') "), r"\1 \2 "),
@@ -60,11 +62,23 @@ _TB_RULES = [
 
 # Characters without which a rule cannot match: a rule is skipped when the
 # text has none of them (the same result, fewer passes over long texts).
-_TB_TRIGGERS = ['"', "`", '"', ":,", ":,", ".", ";@#$%&", ".", "?!", "'", "[](){}<>", "-", '"', "'",
+_TB_TRIGGERS = ["«“‘„", '"', "`", '"', ":,", ":,", ".", ";@#$%&", ".", "?!", "'", "[](){}<>", "-", "»”’", '"', "'",
                 "'", "'"]
 
+# A sentence ends at . ? or ! (and closing signs) before white space and anything
+# but a lower-case letter; only at a sentence's end is a period split off.
+_SENTENCE_END = re.compile(r"(?<=[.?!])([\])}\"'»”’]*)\s+(?=[^\W\d_a-zß-öø-ÿ]|[\"'«“‘„(\[])")
+
+
+def sentences(text: str) -> list[str]:
+    return _SENTENCE_END.sub("\\1\x00", text).split("\x00") if any(c in text for c in ".?!") else [text]
+
 
 def word_tokenize(text: str) -> list[str]:
+    return [w for s in sentences(text) for w in _words(s)]
+
+
+def _words(text: str) -> list[str]:
     t = " " + text + " "
     for (pat, rep), trig in zip(_TB_RULES, _TB_TRIGGERS):
         if any(ch in t for ch in trig):

@@ -134,6 +134,8 @@ def _step2(w):
     if hit is None:
         return w
     stem, suf, rep = hit
+    if suf == "logi":  # its l counts as part of the stem
+        return w[:-1] if _m(stem + "l") > 0 else w
     if suf == "alli" and _m(stem) > 0:
         return _step2(stem + "al")
     return stem + rep if _m(stem) > 0 else w
