@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from polyeval.llm import op1_quality, op2_bpe
+from polyeval.llm import op1_quality, op2_bpe, oracle
 from polyeval.llm.common import table
 
 QUERIES = {}
@@ -75,3 +75,7 @@ def op10_warc(spark, sf_dir):
 def op6_chat_format(spark, sf_dir):
     from polyeval.llm import op6_chat
     return op6_chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+ORACLE |= {"op4_substring_dedup": oracle.SUBSTRING_SQL, "op5_minhash_near_dedup": oracle.NEAR_SQL,
+           "op8_suffix_dedup": oracle.SUFFIX_SQL, "op10_warc": oracle.WARC_SQL}
