@@ -13,7 +13,9 @@ from ..schemas import METRICS, UNIT_KEYS
 from ..session import scratch_path
 from ..sources import fixtures, store
 from . import oracle_sql as O
-from .catalog import _ERR, _METRICS0, _metrics0, _prepared, q_merge_scores, query
+from . import standins
+from .catalog import _ERR, _METRICS0, _PAIRS, _metrics0, _pairs, _prepared, q_merge_scores, query
+from .translation import translate_pending
 
 
 @query("write_segments", f"""
@@ -140,3 +142,25 @@ def q_correlation_from_tables(spark, sf_dir):
     r = pearson_by_benchmark(align_scores_metrics(long, metrics, ["model", "lang_code"]), ["model", "dataset", "benchmark"])
     m = median_correlation(r, ["model"])
     return m.select("model", F.round("median_r", 6).alias("median_r"), "n_r")
+
+
+@query("translate_pending", f"""
+with {_PAIRS}, pr as (select * from pairs where not (dataset = 'wmt24' and seg_id = 0)),
+m as (select model, family from {O.models_values()} m where model in ('Phi-4', 'Qwen3-4B')),
+req as (select m.model, pr.dataset, pr.src_lang, pr.tgt_lang, pr.seg_id, pr.source, pr.target,
+   {O.prompt_sql('l.name', 'pr.source')} as prompt, coalesce(s.temperature, 0.7) as temperature
+  from pr cross join m join {O.languages_values()} l on l.lang_code = pr.tgt_lang
+  left join {O.sampling_values()} s on s.family = m.family
+  where not (m.model = 'Phi-4' and pr.dataset = 'ntrex'))
+select model, dataset, src_lang, tgt_lang, seg_id, source, target,
+  cast(length(prompt) as varchar) || ' ' || cast(temperature as varchar) as translation from req
+""")
+def q_translate_pending(spark, sf_dir):
+    """E2 from the work grid to written segments; one model has one corpus done,
+    under another spelling."""
+    models = registry.models_df(spark).where("model in ('Phi-4', 'Qwen3-4B')")
+    pairs = _pairs(spark, sf_dir)
+    done = pairs.where("dataset = 'ntrex'").select(F.lit("phi-4").alias("model"), "dataset", "src_lang", "tgt_lang")
+    path = scratch_path(spark, "translations")
+    store.write_segments(translate_pending(models, pairs, done, standins.echo_generator), path)
+    return store.read_segments(spark, path)

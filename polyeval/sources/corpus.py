@@ -51,6 +51,42 @@ def select_pair_columns(wide: DataFrame, lang_corpus: DataFrame,
                      F.col(source_code).alias("source"), "target"))
 
 
+SENTENCE = "sentence_"
+
+
+def sentence_pairs(df: DataFrame, lang_corpus: DataFrame, dataset: str,
+                   source_code: str = SOURCE_CORPUS_CODE) -> DataFrame:
+    """S5, per-pair configurations with ``sentence_<code>`` columns (read together,
+    a row has two of them): the text of the source language and of the other one."""
+    codes = [c.removeprefix(SENTENCE) for c in df.columns if c.startswith(SENTENCE)]
+    wide = df.select(F.lit(dataset).alias("dataset"), "seg_id",
+                     *[F.col(f"`{SENTENCE}{c}`").alias(c) for c in codes])
+    return select_pair_columns(wide, lang_corpus, source_code)
+
+
+def source_target_pairs(df: DataFrame, lang_corpus: DataFrame, dataset: str, config_col: str = "config") -> DataFrame:
+    """S5, per-pair configurations (``en-<code>``) with ``source`` and ``target``."""
+    lc = lang_corpus.where(F.col("dataset") == dataset).select("corpus_code", F.col("lang_code").alias("tgt_lang"))
+    code = F.regexp_extract(config_col, "^[^-]*-(.*)$", 1)
+    j = df.withColumn("corpus_code", code).join(F.broadcast(lc), "corpus_code")  # fixed table
+    return (j.filter(F.col("source").isNotNull() & F.col("target").isNotNull())
+             .select(F.lit(dataset).alias("dataset"), "seg_id", F.lit(registry.SOURCE_LANG).alias("src_lang"),
+                     "tgt_lang", "source", "target"))
+
+
+def read_pair_configs(spark: SparkSession, base: str, lang_corpus: DataFrame, dataset: str) -> DataFrame:
+    """S4 + S5 from a local copy of a corpus downloaded by configuration:
+    ``<base>/<config>/<split>*.parquet``, only the dataset's own split, either
+    column layout. The row position in the file is the segment id."""
+    split = next(s for name, s, _d, _c in registry.DATASETS if name == dataset)
+    raw = (spark.read.option("mergeSchema", True).parquet(f"{base.rstrip('/')}/*/{split}*.parquet")
+           .withColumn("seg_id", F.col("_metadata.row_index"))
+           .withColumn("config", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)))
+    if any(c.startswith(SENTENCE) for c in raw.columns):
+        return sentence_pairs(raw, lang_corpus, dataset)
+    return source_target_pairs(raw, lang_corpus, dataset)
+
+
 def drop_leading_row(df: DataFrame) -> DataFrame:
     """Datasets flagged in the registry (wmt24) lose their first row."""
     drop = [name for name, _s, d, _c in registry.DATASETS if d]
