@@ -11,21 +11,52 @@ def unit_key(keys: list[str]):
 
 
 def unit_status(expected: DataFrame, produced: DataFrame, keys: list[str], stage: str,
-                errors: DataFrame | None = None) -> DataFrame:
-    """K6: one row per expected unit: ok / missing; plus error rows (e.g.
-    malformed pair names) given as (keys..., detail)."""
-    p = produced.select(*keys).distinct().withColumn("_present", F.lit(True))
-    j = expected.select(*keys).join(p, keys, "left")
+                errors: DataFrame | None = None, skipped: DataFrame | None = None,
+                no_metrics: DataFrame | None = None) -> DataFrame:
+    """K6: one row per expected unit: ok, or missing; ``skipped`` where the unit was
+    done before this run, ``no metrics`` where it had output but nothing could be
+    scored (both given by their keys, the first taking precedence); plus error rows
+    (e.g. malformed pair names) given as (keys..., detail)."""
+    def flag(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*keys).distinct().withColumn(name, F.lit(True))
+
+    j = expected.select(*keys).join(flag(produced, "_present"), keys, "left")
+    outcomes = []
+    for df, name, status, detail in ((skipped, "_skipped", "skipped", "done before"),
+                                     (no_metrics, "_empty", "no metrics", "no segment could be scored")):
+        if df is not None:
+            j = j.join(flag(df, name), keys, "left")
+            outcomes.append((F.col(name), status, detail))
+    status = F.when(F.col("_present"), F.lit("ok")).otherwise(F.lit("missing"))
+    detail = F.when(F.col("_present"), F.lit(None)).otherwise(F.lit("no output for unit"))
+    for present, name, text in reversed(outcomes):
+        status, detail = F.when(present, F.lit(name)).otherwise(status), F.when(present, F.lit(text)).otherwise(detail)
     out = j.select(F.lit(stage).alias("stage"), unit_key(keys).alias("unit"),
-                   F.when(F.col("_present"), F.lit("ok")).otherwise(F.lit("missing")).alias("status"),
-                   F.when(F.col("_present"), F.lit(None)).otherwise(F.lit("no output for unit"))
-                    .cast("string").alias("detail"))
+                   status.alias("status"), detail.cast("string").alias("detail"))
     if errors is not None:
         out = out.unionByName(errors.select(F.lit(stage).alias("stage"), unit_key(keys).alias("unit"),
                                             F.lit("error").alias("status"), F.col("detail")))
     return out
 
 
+def unmapped_codes(extracted: DataFrame, languages: DataFrame) -> DataFrame:
+    """K6: a warning for each benchmark and language code that passed an extractor
+    unmapped and is no key of the language table."""
+    odd = extracted.join(F.broadcast(languages.select("lang_code")), "lang_code", "left_anti")  # fixed 120 rows
+    return odd.groupBy("benchmark", "lang_code").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("extract").alias("stage"), F.concat_ws("/", "benchmark", "lang_code").alias("unit"),
+        F.lit("warning").alias("status"), F.concat(F.col("n").cast("string"), F.lit(" scores of an unmapped language code")).alias("detail"))
+
+
+def task_coverage(requested: DataFrame, found: DataFrame, group: list[str], task_col: str = "task") -> DataFrame:
+    """Per group, tasks requested, and those of them that the results have or
+    lack. ``requested``: (group..., task); ``found``: any rows with these columns."""
+    f = found.select(*group, task_col).distinct().withColumn("_found", F.lit(1))
+    return requested.select(*group, task_col).distinct().join(f, [*group, task_col], "left").groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n_requested"), F.count("_found").alias("n_found"),
+        F.count_if(F.col("_found").isNull()).alias("n_lacking"))
+
+
 def coverage_counts(expected: DataFrame, produced: DataFrame, group: list[str], keys: list[str],
                     missing_flag: str | None = None) -> DataFrame:
     """Per group, units expected / present / absent, and (optionally)

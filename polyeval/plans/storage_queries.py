@@ -6,15 +6,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import registry
+from ..operators import extract as X
 from ..operators import joins as J
 from ..operators import neural as U
+from ..operators import status as K
 from ..operators.correlate import align_scores_metrics, median_correlation, pearson_by_benchmark
 from ..schemas import METRICS, UNIT_KEYS
 from ..session import scratch_path
 from ..sources import fixtures, store
 from . import oracle_sql as O
 from . import standins
-from .catalog import _ERR, _METRICS0, _PAIRS, _metrics0, _pairs, _prepared, q_merge_scores, query
+from .catalog import _ERR, _METRICS0, _PAIRS, _metrics0, _pairs, _prepared, _tasks, q_merge_scores, query
 from .translation import translate_pending
 
 
@@ -164,3 +166,31 @@ def q_translate_pending(spark, sf_dir):
     path = scratch_path(spark, "translations")
     store.write_segments(translate_pending(models, pairs, done, standins.echo_generator), path)
     return store.read_segments(spark, path)
+
+
+@query("unmapped_codes", f"""
+with {O.e1()}, {O.DOC_ENTRIES}, {O.extracted()},
+known as (select lang_code from {O.languages_values()} l)
+select 'extract' as stage, benchmark || '/' || lang_code as unit, 'warning' as status,
+       cast(count(*) as varchar) || ' scores of an unmapped language code' as detail
+from ex where lang_code not in (select lang_code from known) group by benchmark, lang_code
+""")
+def q_unmapped_codes(spark, sf_dir):
+    """K6: codes that leak through an extractor."""
+    ex = X.extract_scores(_tasks(spark, sf_dir), registry.aliases_df(spark), keep=["model", "run_id"])
+    return K.unmapped_codes(ex, registry.languages_df(spark))
+
+
+@query("task_coverage", f"""
+with {O.e1()}, {O.DOC_ENTRIES},
+asked as (select m.model, t.task from (select distinct model from ent) m, (select distinct task from ent) t),
+found as (select distinct model, task from ent)
+select a.model, count(*) as n_requested, count(f.task) as n_found, count(*) filter (where f.task is null) as n_lacking
+from asked a left join found f on f.model = a.model and f.task = a.task group by a.model
+""")
+def q_task_coverage(spark, sf_dir):
+    """Every task that any model has is asked of every model."""
+    found = _tasks(spark, sf_dir).select("model", "task").distinct()
+    tasks = found.select("task").distinct()
+    asked = found.select("model").distinct().join(F.broadcast(tasks), F.lit(True))  # names of tasks: rules times languages
+    return K.task_coverage(asked, found, ["model"])
