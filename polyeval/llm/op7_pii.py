@@ -7,16 +7,21 @@ names (same letters and digits without signs around them, same digits in another
 notation, or an email's local part). Any other token has no evidence and is O. Edges:
 
 * neighbouring nodes, with transition potentials;
-* each node and the previous one with the same key, however distant, with a
-  potential for equal labels.
+* each node and the entity of its key, one variable for all tokens that share keys,
+  however many and distant, with a potential for equal labels.
+
+An entity that a base span names has the label that most of its base spans give it,
+and its tokens are held to that as a base span's are, so that the weak potentials of
+many repeats never add up against it; other entities have no evidence of their own.
 
 Node and transition potentials are trained on the whole table: Spark counts, over
 all documents, how often each token shape carries each label of the base patterns,
 and the labels of neighbouring nodes; a bounded number of counts (shapes times
 labels) comes to the driver. Loopy sum-product message passing with damping runs
-per document; a token whose best label isn't O with probability ``SURE`` adds a span.
+per document until no message changes, ``ROUNDS`` rounds at most; a token whose best
+label isn't O with probability ``SURE`` adds a span.
 
-Everything is per document in two passes over the table; skip edges are linear in a
+Everything is per document in two passes over the table; edges are linear in a
 document's tokens. Patterns are matched in linear time for any text.
 
 Defined cases: a null or empty text has no spans; rows are independent, so repeated
@@ -28,7 +33,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +44,12 @@ from pyspark.sql import functions as F
 from polyeval.llm.common import arrow_map, bounded_batches, decode, utf8
 
 KINDS = ("email", "ip", "card", "phone")
-SKIP_WEIGHT = 10.0  # log potential of equal labels at both ends of a skip edge
-PINNED = 25.0  # log potential of a base span's kind on its tokens
+SKIP_WEIGHT = 10.0  # log potential of equal labels of a token and its entity
+PINNED = 25.0  # log potential of a base span's kind on its tokens and their repeats
 MOST_EVIDENCE = 4.0  # bound of trained log potentials, so that they mean the same at any table size
 NO_EVIDENCE = -3.0  # log potential of a kind on a token without a trained shape
 SURE = 0.9
-ROUNDS = 30
+ROUNDS = 1000
 SMOOTHING = 0.5
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -206,33 +212,38 @@ class Field:
             own = set(tokens)
             tokens = sorted(own | {m.span() for m in _TOKEN.finditer(text) if _keys(m[0]) & wanted})
         labels = _labels(tokens, base)
+        entity = _entities(text, tokens, base)
+        members, votes = Counter(entity), defaultdict(Counter)
+        for e, y in zip(entity, labels):
+            if y:
+                votes[e][y] += 1
+        held = {e: max(c, key=lambda y: (c[y], -y)) for e, c in votes.items() if e >= 0}
         n = len(KINDS) + 1
         node = np.stack([self.shapes.get(shape(text[a:b]), self.unknown) for a, b in tokens])
-        node[np.arange(len(tokens)), labels] += np.where(np.array(labels) > 0, PINNED, 0.0)
-        ends, potentials, last = [], [], {}
+        pinned = np.array([y or held.get(e, 0) for e, y in zip(entity, labels)])
+        node[np.arange(len(tokens)), pinned] += np.where(pinned > 0, PINNED, 0.0)
+        ends, potentials, stars = [], [], {}
         for i, near in enumerate(_adjacent(text, tokens)):
             if near:
                 ends.append((i - 1, i))
                 potentials.append(self.steps)
         same = np.eye(n) * SKIP_WEIGHT
-        for i, (a, b) in enumerate(tokens):
-            for key in _keys(text[a:b]):
-                if key in last and last[key] != i:
-                    ends.append((last[key], i))
-                    potentials.append(same)
-                last[key] = i
+        for i, e in enumerate(entity):
+            if e >= 0 and members[e] > 1 and e not in held:
+                ends.append((i, stars.setdefault(e, len(tokens) + len(stars))))
+                potentials.append(same)
+        node = np.concatenate((node, np.zeros((len(stars), n))))
         left, right = (np.array([e[k] for e in ends], dtype=np.int64) for k in (0, 1))
         p = self.marginals(node, left, right, np.stack(potentials) if potentials else np.zeros((0, n, n)))
-        best = p.argmax(axis=1)
+        best = p.argmax(axis=1)  # tokens first, then entities
         every = {k: list(v) for k, v in base.items()}
-        taken = sorted(s for v in base.values() for s in v)
         for (a, b), y, row, label in zip(tokens, best.tolist(), p, labels):
             if y and not label and row[y] >= SURE:
                 while a < b and not text[a].isalnum() and text[a] != "+":
                     a += 1
                 while b > a and not text[b - 1].isalnum():
                     b -= 1
-                if a < b and not any(x < b and a < z for x, z in taken):
+                if a < b:  # without a label, so no base span overlaps it
                     every[KINDS[y - 1]].append((a, b))
         return base, every
 
@@ -258,6 +269,32 @@ def _named(text: str, base: dict) -> set[str]:
     return {k for spans in base.values() for a, b in spans for t in text[a:b].split() for k in _keys(t)}
 
 
+def _entities(text: str, tokens: list[tuple[int, int]], base: dict) -> list[int]:
+    """The entity of each token, -1 without a key: tokens that share a key, also by
+    way of others, are one. A base span's words count as keys of the token they are in."""
+    keys = [_keys(text[a:b]) for a, b in tokens]
+    starts = [a for a, _ in tokens]
+    for spans in base.values():
+        for x, z in spans:
+            for m in _TOKEN.finditer(text, x, z):
+                i = bisect_right(starts, m.start()) - 1
+                if i >= 0 and m.start() < tokens[i][1]:
+                    keys[i] |= _keys(m[0])
+    first: dict[str, int] = {}
+    top = list(range(len(tokens)))
+
+    def find(i: int) -> int:
+        while top[i] != i:
+            top[i] = i = top[top[i]]
+        return i
+
+    for i, own in enumerate(keys):
+        for key in own:
+            x, y = sorted((find(first.setdefault(key, i)), find(i)))
+            top[y] = x
+    return [find(i) if own else -1 for i, own in enumerate(keys)]
+
+
 def train(df: DataFrame, text_col: str = "text") -> Field:
     """Potentials from counts over all texts of ``df``."""
     bounded_batches(df.sparkSession)

@@ -83,3 +83,29 @@ def test_redaction(spark):
     assert out[1] is None and out[2] == "" and out[3] == "clean text"
     assert p.redact(df).schema == df.schema
     assert p.redacted("ab cd", {"email": [(0, 4)], "ip": [(1, 5)], "card": [], "phone": []}) == "<EMAIL>"
+
+
+def test_repeats_are_found_however_many():
+    trained = [("s01", 0, 900_000), ("s01", 1, 40), ("s40", 0, 50_000), ("s42a", 0, 70_000), ("s10", 0, 2_000_000),
+               ("t0", 0, 900_000), ("t0", 1, 3), ("t1", 0, 3), ("t1", 1, 900), ("t3", 3, 500), ("t4", 4, 5000), ("t0", 4, 200)]
+    ways = (lambda base, x, n: f"write {base}" + f" and then ({x})," * n, lambda base, x, n: f"{base} is " + " ".join([x] * n),
+            lambda base, x, n: f"write {base}\n" + "\n".join(f"{i} {x} 12:{i:02d}" for i in range(n)))
+    items = (("email", "john.smith7@mail.com", "john.smith7"), ("email", "mailto:john.smith7@mail.com", "John.Smith7"),
+             ("card", "4111111111111111", "4111.1111.1111.1111"), ("ip", "10.200.30.40", "10.200.30.40:"))
+    for field in (p.Field([]), p.Field(trained)):
+        for kind, base, x in items:
+            for way in ways:
+                for n in (1, 2, 3, 10, 100, 1000):
+                    text = way(base, x, n)
+                    found = field.spans(text)[1][kind]
+                    bare, after = x.rstrip(":"), text.index(base) + len(base)
+                    want = {(m.start(), m.end()) for m in re.compile(re.escape(bare)).finditer(text, after)}
+                    assert len(want) == n and want <= set(found), (kind, n, text[:80])
+
+
+def test_other_numbers_stay_beside_many_repeats():
+    field = p.Field([("s10", 0, 1000), ("t0", 0, 1000), ("t0", 1, 50), ("t1", 0, 50)])
+    text = "write john.smith7@mail.com now\n" + "\n".join(f"row {i} of john.smith7 total {i}" for i in range(100))
+    base, every = field.spans(text)
+    assert [text[a:b] for a, b in every["email"]] == ["john.smith7@mail.com"] + ["john.smith7"] * 100
+    assert not every["ip"] and not every["card"] and not every["phone"]
