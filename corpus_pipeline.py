@@ -16,6 +16,10 @@ from polyeval.llm.common import table
 from polyeval.llm.components import written
 
 
+#: Least similarity of near duplicates in the pipeline; op5's own query has another.
+NEAR_PERCENT = 80
+
+
 def _with_text(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
@@ -27,7 +31,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the least id."""
-    found = op5_minhash.near_duplicates(docs)
+    found = op5_minhash.near_duplicates(docs, percent=NEAR_PERCENT)
     return docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
 
 

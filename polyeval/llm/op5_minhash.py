@@ -4,7 +4,8 @@ A document's distinct 5-word shingles give ``2 * SIDE`` small hash collections o
 ``SMALL`` minhashes each, ``SIDE`` left and ``SIDE`` right ones. The key of table (i, j)
 combines left collection i with right collection j, so ``SIDE`` squared tables cost
 ``2 * SIDE * SMALL`` minhashes. A pair of similarity s is missed only if all left or
-all right collections differ: about ``2 * (1 - s^SMALL)^SIDE``, 5e-6 at 0.85.
+all right collections differ: about ``2 * (1 - s^SMALL)^SIDE``, 5e-6 at 0.85
+and 7e-5 at 0.8.
 
 Steps, each a distributed job; tables of ids are written to the shared folder:
 

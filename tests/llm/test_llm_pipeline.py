@@ -113,3 +113,17 @@ def test_sql_equals_brute_force():
     con.sql("create table pages (page_id bigint, url varchar, html varchar)")
     con.executemany("insert into pages values (?, 'u', ?)", pages)
     assert sorted(con.sql(oracle.WARC_SQL).fetchall()) == sorted(test_llm_warc.want([Page(*p) for p in pages]))
+
+
+def test_near_dedup_stage_takes_pairs_from_80_percent(spark):
+    rows = {}
+    for group, changes in enumerate((3, 4, 5)):  # of 200 shingles 185, 180 and 175 stay: 0.86, 0.82 and 0.78
+        base = llm_data.words(204, 70 + group, 50_000)
+        near = [f"other{k}" if k % 30 == 15 and k < 30 * changes else w for k, w in enumerate(base)]
+        rows |= {10 * group: " ".join(base), 10 * group + 1: " ".join(near)}
+    sets = {i: test_llm_minhash.shingle_set(t) for i, t in rows.items()}
+    dropped = {b for a in rows for b in rows if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert dropped == {1, 11}
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in rows.items()],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in pipeline.near_dedup(spark, docs, "").collect()} == set(rows) - dropped
