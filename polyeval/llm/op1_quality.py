@@ -31,18 +31,23 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class QualityRules:
-    """Limits; fractions are of word characters. The lengths are those of
-    published web-text repetition filters (top n-gram for 2-4 words, all
-    duplicated n-grams for 5-10 words, duplicate lines); the limits on duplicated
-    n-grams and lines are wider, so that one boilerplate line that a short clean
-    document holds twice doesn't reject it."""
+    """Limits; fractions are of word characters. They are those of published
+    web-text repetition filters (top n-gram for 2-4 words, all duplicated n-grams for
+    5-10 words, duplicate lines). One boilerplate line that a short clean document
+    holds twice doesn't reject it: the limits on duplicated n-grams and lines are
+    wider by one line (``line_chars`` word characters), which counts for less the
+    longer the text is, and by the ``more`` fractions at most."""
 
     min_words: int = 50
     max_repeat_words_pct: int = 50
     top_ngram: dict = field(default_factory=lambda: {2: 0.20, 3: 0.18, 4: 0.16})
-    dup_ngram: dict = field(default_factory=lambda: {5: 0.30, 6: 0.29, 7: 0.28, 8: 0.27, 9: 0.26, 10: 0.25})
-    dup_line_fraction: float = 0.50
-    dup_line_chars: float = 0.30
+    dup_ngram: dict = field(default_factory=lambda: {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10})
+    dup_line_fraction: float = 0.30
+    dup_line_chars: float = 0.20
+    line_chars: int = 200
+    more_dup_ngram: float = 0.15
+    more_dup_line_fraction: float = 0.20
+    more_dup_line_chars: float = 0.10
     symbol_fraction: float = 0.08
 
 
@@ -152,16 +157,18 @@ def measure(data: bytes, rules: QualityRules = DEFAULT) -> tuple:
             share = float(runs[i + 1] - runs[i] + 1) * float(prefix[at + k] - prefix[at]) / total
             top_worst, top_over = max(top_worst, share), max(top_over, share / limit)
     dup_worst = dup_over = 0.0
+    line = rules.line_chars / total
+    more = min(line, rules.more_dup_ngram)
     for k, limit in rules.dup_ngram.items():
         if k in repeats:
             later = _later(hashes[k], _among(hashes[k], repeats[k]))
             share = float(chars[_covered(later, k, n)].sum()) / total
-            dup_worst, dup_over = max(dup_worst, share), max(dup_over, share / limit)
+            dup_worst, dup_over = max(dup_worst, share), max(dup_over, share / (limit + more))
 
     failed = n < rules.min_words or 100 * n_repeat > rules.max_repeat_words_pct * n
     kept = not (failed or top_over > 1 or dup_over > 1
-                or n_dup > rules.dup_line_fraction * len(lines)
-                or dup_line_chars > rules.dup_line_chars * total
+                or n_dup > rules.dup_line_fraction * len(lines) + min(1, rules.more_dup_line_fraction * len(lines))
+                or dup_line_chars > (rules.dup_line_chars + min(line, rules.more_dup_line_chars)) * total
                 or n_symbols > rules.symbol_fraction * total)
     return (n, total, n_symbols, n_dup, n_repeat, dup_line_chars / total, top_worst, dup_worst, failed, kept)
 

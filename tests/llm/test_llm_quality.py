@@ -50,3 +50,17 @@ def test_repetition_is_rejected_and_one_repeated_line_is_not():
     block = " ".join(llm_data.words(40, 10))
     assert q.measure(f"{clean}\nAll rights reserved here.\n{clean[:300]}x\nAll rights reserved here.".encode())[-1]
     assert not q.measure(f"{clean} {block} {block} {block} {block} {block} {block}".encode())[-1]
+
+
+def test_published_limits_hold_for_longer_texts():
+    own, passage = llm_data.words(1600, 12, 5000), llm_data.words(200, 13, 5000)
+    lines = [" ".join(llm_data.words(12, 100 + i, 5000)) for i in range(100)]
+    planted = " ".join(own[:800] + passage + own[800:] + passage + passage)  # a fifth of the words are in later repeats
+    assert not q.measure(planted.encode())[-1]
+    assert q.measure(" ".join(own + passage).encode())[-1]
+    assert not q.measure("\n".join(lines + lines[:45]).encode())[-1]  # 31 % of the lines
+    assert not q.measure("\n".join(lines + [f"{i} {lines[0]}" for i in range(25)]).encode())[-1]
+    notice = " ".join(llm_data.words(20, 14))
+    for n in (60, 100, 300, 1000, 10_000):  # one line held twice rejects no text
+        text = "\n".join([notice] + [" ".join(own[:n][i:i + 15]) for i in range(0, n, 15)] + [notice])
+        assert q.measure(text.encode())[-1], n
