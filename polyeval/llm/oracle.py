@@ -67,3 +67,21 @@ select page_id, cast(strlen(html) as bigint) as payload_bytes, {_base32('h')} as
        case when page_id = top then null else top end as refers_to
 from h
 """
+
+NEGATIVES_SQL = """
+with r as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+           from embeddings
+           where label is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+e as (select vec_id, label, unnest(v) as c, unnest(range(0, len(v))) as i from r),
+s as (select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, cast(sum(a.c * b.c) as bigint) as score
+      from e a join e b on a.i = b.i and a.vec_id <> b.vec_id where a.vec_id % 100 = 0 group by all),
+p as (select anchor_id, id as positive_id, score as positive_score, row_number() over (partition by anchor_id order by score desc, id) as place
+      from s where same qualify place <= 5),
+w as (select p.anchor_id, p.positive_id, p.positive_score, s.id as negative_id, s.score as negative_score,
+             cast(row_number() over (partition by p.anchor_id, p.place order by s.score desc, s.id) as int) as rank
+      from p join s on s.anchor_id = p.anchor_id and not s.same
+        and 80 * p.positive_score <= 100 * s.score and 100 * s.score <= 100 * p.positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from w where rank <= 5
+"""

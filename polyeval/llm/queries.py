@@ -77,5 +77,27 @@ def op6_chat_format(spark, sf_dir):
     return op6_chat.format_chats(table(spark, sf_dir, "conversations"))
 
 
+@_query
+def op11_token_frames(spark, sf_dir):
+    import public_tokenizers
+    from polyeval.llm import op11_token_frames as frames
+    return frames.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op12_whitening(spark, sf_dir):
+    from polyeval.llm import op12_whitening as whitening
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op13_hard_negatives(spark, sf_dir):
+    from polyeval.llm import op13_negatives
+    rows = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return op13_negatives.mine(rows, F.col("vec_id") % 100 == 0).drop("positive_rank")
+
+
 ORACLE |= {"op4_substring_dedup": oracle.SUBSTRING_SQL, "op5_minhash_near_dedup": oracle.NEAR_SQL,
-           "op8_suffix_dedup": oracle.SUFFIX_SQL, "op10_warc": oracle.WARC_SQL}
+           "op8_suffix_dedup": oracle.SUFFIX_SQL, "op10_warc": oracle.WARC_SQL,
+           "op13_hard_negatives": oracle.NEGATIVES_SQL}
