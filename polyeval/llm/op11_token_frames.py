@@ -52,6 +52,7 @@ from pyspark.sql import functions as F
 
 from polyeval.llm.common import bounded_batches, utf8
 from polyeval.llm.components import written
+from polyeval.llm.op2_bpe import byte_symbols, read_file
 from polyeval.session import scratch_path
 
 END_ID = 2
@@ -61,7 +62,7 @@ FILE_DOCUMENTS = 1 << 20
 PARTITION_BYTES = 64 << 20  # small files share a partition up to this
 BATCH_BYTES = 8 << 20  # ids that a reader gives to Spark at once
 MANIFEST = "_manifest.json"
-MAX_ENTRIES = 400_000
+MAX_ENTRIES = 300_000  # words or pieces of a worker's table; the table before it is kept too
 
 # FIXED VALUES of the published zstandard formats.
 SKIPPABLE = 0x184D2A50  # to 0x184D2A5F
@@ -76,15 +77,15 @@ class Words:
     """Token ids of texts, packed in ``width`` bytes, kept by word in bounded tables.
 
     Under a tokenizer file of the known form (``RULES``) no token spans white space, and a word of
-    ASCII letters, digits and signs splits by its pattern; the merges of such a piece are then asked for
-    directly. All other words go to the tokenizer whole, and under a file of any other form
-    whole texts do.
+    Latin-1 letters, ASCII digits and signs splits by its pattern; the merges of such a piece are then
+    asked for directly. All other words go to the tokenizer whole, and under a file of any other form
+    whole texts do. A full table becomes the older one, from which words that come again are taken back.
     """
 
     RULES = {"normalizers": ["NFC", "Replace", "Lowercase"],
              "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
-    plain = re.compile(rb"[!-~]+")
-    split = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+    plain = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+    split = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
     def __init__(self, file: bytes, width: int):
         from tokenizers import Tokenizer
@@ -95,7 +96,9 @@ class Words:
         self.kind = {2: "H", 4: "I"}[width]
         self.specials = [x["content"].encode() for x in spec.get("added_tokens", [])]
         self.by_word = self._known_form(spec)
+        self.symbols = {b: c for c, b in byte_symbols().items()}
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
     @classmethod
@@ -117,23 +120,28 @@ class Words:
         return [self._packed(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def _piece(self, piece: str) -> bytes:
-        out = self._packed([t.id for t in self.tokenizer.model.tokenize(piece)])
-        if len(self.pieces) < MAX_ENTRIES:
-            self.pieces[piece] = out
+        if len(self.pieces) >= MAX_ENTRIES:
+            self.pieces.clear()
+        text = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.symbols)
+        out = self.pieces[piece] = self._packed([t.id for t in self.tokenizer.model.tokenize(text)])
         return out
 
     def _learn(self, new: set[bytes]) -> None:
-        if len(self.words) + len(new) > MAX_ENTRIES:
-            self.words.clear()
         words, known, piece, whole = self.words, self.pieces.get, self._piece, []
+        tokenize, packed, older = self.tokenizer.model.tokenize, self._packed, self.older.get
         for word in new:
-            if word.isalpha() and word.isascii():
-                words[word] = self._packed([t.id for t in self.tokenizer.model.tokenize(word.decode().lower())])
-            elif self.plain.fullmatch(word) and not any(s in word for s in self.specials):
-                words[word] = b"".join([known(x) or piece(x) for x in self.split.findall(word.decode().lower())])
+            before = older(word)
+            if before is not None:
+                words[word] = before
+            elif word.isalpha():  # ASCII letters, as bytes
+                words[word] = packed([t.id for t in tokenize(word.decode().lower())])
             else:
-                whole.append(word)
-        for word, ids in zip(whole, self._whole([w.decode("utf-8", "replace") for w in whole])):
+                text = word.decode("utf-8", "replace")
+                if self.plain.fullmatch(text) and not any(s in word for s in self.specials):
+                    words[word] = b"".join([known(x) or piece(x) for x in self.split.findall(text.lower())])
+                else:
+                    whole.append((word, text))
+        for (word, _), ids in zip(whole, self._whole([x for _, x in whole])):
             words[word] = ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
@@ -142,9 +150,8 @@ class Words:
         # Lower case is the tokenizer's own rule; special tokens are found before it.
         split = [(x if any(s in x for s in self.specials) else x.lower()).split() for x in texts]
         used = set().union(*split)
-        missing = used.difference(self.words)
-        if len(self.words) + len(missing) > MAX_ENTRIES:
-            missing = used  # the table is emptied first
+        if len(self.words) + len(missing := used.difference(self.words)) > MAX_ENTRIES:
+            self.older, self.words, missing = self.words, {}, used
         self._learn(missing)
         known = self.words
         return [b"".join([known[w] for w in ws]) for ws in split]
@@ -157,7 +164,6 @@ def words(file: bytes, width: int) -> Words:
 
 def tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> tuple[DataFrame, int]:
     """doc_id, order (hash of the text), row, ids (packed, with the end id); and the bytes of an id."""
-    from polyeval.llm.op2_bpe import read_file
     bounded_batches(df.sparkSession)
     data = read_file(path)
     spec = json.loads(data)

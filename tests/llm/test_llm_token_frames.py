@@ -1,6 +1,7 @@
 import io
 import json
 import os
+import random
 import tempfile
 import zlib
 
@@ -60,6 +61,15 @@ def test_words_table_is_emptied_when_full(monkeypatch):
         assert got == [x[:-1] for x in library(WORD, values)]
 
 
+def test_random_words_equal_the_library():
+    r = random.Random(7)
+    signs = "".join(map(chr, range(0x21, 0x7F))) + "aeiourst" * 12 + "ÀÉÖØÞßàéöøþÿ×÷ªºµ" + "'\u2019\u0301\u0130\u1e9e"
+    values = [" ".join("".join(r.choices(signs, k=r.randrange(1, 9))) for _ in range(60)) for _ in range(400)]
+    with open(WORD, "rb") as f:
+        got = t.Words(f.read(), 4).encode([x.encode() for x in values])
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in got] == [x[:-1] for x in library(WORD, values)]
+
+
 def written(spark, df, monkeypatch, frame_bytes=4096, file_bytes=30_000):
     path = tempfile.mkdtemp(prefix="frames-test-")
     monkeypatch.setattr(t.FrameWriter.__init__, "__defaults__", (3, frame_bytes))
