@@ -62,7 +62,7 @@ FILE_DOCUMENTS = 1 << 20
 PARTITION_BYTES = 64 << 20  # small files share a partition up to this
 BATCH_BYTES = 8 << 20  # ids that a reader gives to Spark at once
 MANIFEST = "_manifest.json"
-MAX_ENTRIES = 300_000  # words or pieces of a worker's table; the table before it is kept too
+MAX_ENTRIES = 500_000  # words and pieces of a worker's table (some 90 MB); the table before it is kept too
 
 # FIXED VALUES of the published zstandard formats.
 SKIPPABLE = 0x184D2A50  # to 0x184D2A5F
@@ -99,7 +99,6 @@ class Words:
         self.symbols = {b: c for c, b in byte_symbols().items()}
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
 
     @classmethod
     def _known_form(cls, spec: dict) -> bool:
@@ -119,28 +118,30 @@ class Words:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [self._packed(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _piece(self, piece: str) -> bytes:
-        if len(self.pieces) >= MAX_ENTRIES:
-            self.pieces.clear()
-        text = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.symbols)
-        out = self.pieces[piece] = self._packed([t.id for t in self.tokenizer.model.tokenize(text)])
-        return out
-
     def _learn(self, new: set[bytes]) -> None:
-        words, known, piece, whole = self.words, self.pieces.get, self._piece, []
-        tokenize, packed, older = self.tokenizer.model.tokenize, self._packed, self.older.get
+        words, whole = self.words, []
+        known, older = words.get, self.older.get
+        tokenize, packed = self.tokenizer.model.tokenize, self._packed
         for word in new:
-            before = older(word)
-            if before is not None:
-                words[word] = before
-            elif word.isalpha():  # ASCII letters, as bytes
-                words[word] = packed([t.id for t in tokenize(word.decode().lower())])
-            else:
-                text = word.decode("utf-8", "replace")
-                if self.plain.fullmatch(text) and not any(s in word for s in self.specials):
-                    words[word] = b"".join([known(x) or piece(x) for x in self.split.findall(text.lower())])
+            ids = older(word)
+            if ids is None:
+                if word.isalpha():  # ASCII letters, as bytes
+                    ids = packed([t.id for t in tokenize(word.decode().lower())])
                 else:
-                    whole.append((word, text))
+                    text = word.decode("utf-8", "replace")
+                    if not self.plain.fullmatch(text) or any(s in word for s in self.specials):
+                        whole.append((word, text))
+                        continue
+                    pieces = []
+                    for piece in self.split.findall(text.lower()):
+                        key = piece.encode()  # a piece is a word too
+                        own = known(key) or older(key)
+                        if own is None:
+                            symbols = piece if piece.isascii() else key.decode("latin-1").translate(self.symbols)
+                            own = words[key] = packed([t.id for t in tokenize(symbols)])
+                        pieces.append(own)
+                    ids = pieces[0] if len(pieces) == 1 else b"".join(pieces)
+            words[word] = ids
         for (word, _), ids in zip(whole, self._whole([x for _, x in whole])):
             words[word] = ids
 
