@@ -11,9 +11,11 @@ took; and an arc t exists where the arc of t's left part existed when t was made
 table of transitions as it meets them, since all state-token pairs would be
 some 10^9.
 
-Every prefix of a word has one accepted token sequence, so encoding keeps one
-state per position: the token that ends there and whose arc leaves the state at
-its start. Decoding emits the arcs' labels (their bytes).
+Every prefix of a word has one accepted token sequence. Encoding walks the automaton along the
+word, the longest label that the word goes on with first; where no arc leads on, it
+takes back the last token and closes that position, since no accepted sequence ends there on the way
+to the word's end. A position is closed once, so the walk is linear in the word. Decoding
+emits the arcs' labels (their bytes).
 
 Encoding is per document: one pass, no shuffle. The tokenizer file is read on
 the driver (bounded by ``MAX_FILE``) and sent to the executors; workers keep
@@ -29,6 +31,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+from array import array
 from functools import lru_cache
 
 import ahocorasick
@@ -46,6 +50,8 @@ FOREVER = 1 << 62
 
 #: Pre-split rule of byte-level BPE, as published with its vocabulary.
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: The same for printable ASCII.
+ASCII_PATTERN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ A-Za-z0-9]+| +(?! )| +")
 _MIXED_SPACE = regex.compile(r"\s \s")
 
 
@@ -70,12 +76,16 @@ class Automaton:
                 self.token[labels[w]] = w
             self.left[w], self.right[w], self.made[w] = u, v, rank
             self.lost.setdefault((u, v), rank)
-        self.table: dict[int, bool] = {}  # state and token -> whether the arc exists
-        labels_in = ahocorasick.Automaton()  # finds the labels that end at each position
-        for label, token in self.token.items():
-            labels_in.add_word(label.decode("latin-1"), (token, len(label)))
-        labels_in.make_automaton()
-        self.labels_in = labels_in.iter
+        self.rows: dict[int, dict[str, int]] = {}  # state -> path of labels -> longest token on it whose arc exists
+        self.entries = 0
+        self.first: dict[str, int] = {}  # path -> longest token on it
+        self.label = {token: label for label, token in self.token.items()}
+        trie = ahocorasick.Automaton()  # its paths are the labels' prefixes
+        for label in self.token:
+            trie.add_word(label.decode("latin-1"), 0)
+        self.prefix_length = trie.longest_prefix
+        self.most = max(map(len, self.token), default=0)
+        self.shorter: dict[int, int] = {}  # token -> token of the next shorter label that its own begins with
 
     def _arc(self, state: int, token: int, until: int) -> bool:
         """Whether an arc ``token`` leaves the state after ``state`` once the
@@ -95,34 +105,68 @@ class Automaton:
             until = min(until, made[token] + 1)  # of a merge u u, the state after u has no arc for the new token
             token = left[token]
 
-    def step(self, state: int, token: int) -> bool:
-        if len(self.table) >= 4 * MAX_ENTRIES:
-            self.table.clear()
-        arc = self.table[state << 32 | token] = self._arc(state, token, FOREVER)
-        return arc
+    def _next(self, state: int, path: str) -> int:
+        """The longest token along ``path`` whose arc leaves the state after token ``state``
+        (-1: the start, which every arc leaves), kept in the state's row."""
+        if self.entries >= 4 * MAX_ENTRIES:
+            self.rows.clear()
+            self.entries = 0
+        token = self.first.get(path)
+        if token is None:
+            if len(self.first) >= MAX_ENTRIES:
+                self.first.clear()
+            token = self.first[path] = self._longest(path.encode("latin-1"))
+        while token >= 0 <= state and not self._arc(state, token, FOREVER):
+            token = self._shorter(token)
+        self.rows.setdefault(state, {})[path] = token
+        self.entries += 1
+        return token
+
+    def _longest(self, label: bytes) -> int:
+        """The token of the longest label that ``label`` begins with; -1 if there is none."""
+        for end in range(len(label), 0, -1):
+            token = self.token.get(label[:end])
+            if token is not None:
+                return token
+        return -1
+
+    def _shorter(self, token: int) -> int:
+        out = self.shorter.get(token)
+        if out is None:
+            out = self.shorter[token] = self._longest(self.label[token][:-1])
+        return out
 
     def run(self, word: bytes) -> list[int]:
         """The accepted token sequence whose labels spell the word."""
         whole = self.token.get(word)
         if whole is not None:
             return [whole]
-        n, known, step = len(word), self.table.get, self.step
-        state, size = [-1] * (n + 1), [0] * (n + 1)
-        for last, (token, length) in self.labels_in(word.decode("latin-1")):
-            end = last + 1
-            if state[end] < 0:
-                begin = end - length
-                if begin:
-                    before = state[begin]
-                    arc = known(before << 32 | token)
-                    if not (step(before, token) if arc is None else arc):
-                        continue
-                state[end], size[end] = token, length
-        out, at = [], n
-        while at:
-            out.append(state[at])
-            at -= size[at]
-        return out[::-1]
+        text, n = word.decode("latin-1"), len(word)
+        row_of, label, prefix = self.rows.get, self.label, self.prefix_length
+        out, at, state, closed = [], 0, -1, set()
+        while True:
+            path = text[at:at + self.most]
+            path = path[:prefix(path)]
+            row = row_of(state)
+            token = None if row is None else row.get(path)
+            if token is None:
+                token = self._next(state, path)
+            while token >= 0:
+                end = at + len(label[token])
+                if end not in closed:
+                    break
+                token = self._shorter(token)  # only a shorter one ends elsewhere
+                while token >= 0 <= state and not self._arc(state, token, FOREVER):
+                    token = self._shorter(token)
+            if token >= 0:
+                out.append(token)
+                if end == n:
+                    return out
+                at, state = end, token
+            else:
+                closed.add(at)
+                at -= len(label[out.pop()])
+                state = out[-1] if out else -1
 
 
 class Codec:
@@ -138,31 +182,34 @@ class Codec:
         self.automaton = Automaton(base, [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs], self.labels)
         added = {x["content"]: x["id"] for x in spec.get("added_tokens", [])}
         self.labels |= {i: s.encode() for s, i in added.items()}
+        self.decimal = {i: str(i).encode() for i in self.labels}
         self.added = {s: self._entry([i]) for s, i in added.items()}
         self.specials = regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True)))) if added else None
-        self.pieces: dict[str, list[int]] = {}
         self.chunks: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}  # the table before; what comes again is taken back
 
-    @staticmethod
-    def _entry(ids: list[int]) -> tuple[bytes, bytes]:
+    def _entry(self, ids: list[int]) -> tuple[bytes, bytes]:
         """Decimal ids joined by commas, and the ids as unsigned 32-bit integers."""
-        return ",".join(map(str, ids)).encode(), np.asarray(ids, dtype="<u4").tobytes()
+        decimal = self.decimal
+        return b",".join([decimal[i] for i in ids]), array("I", ids).tobytes()
 
     def _chunk(self, chunk: str) -> tuple[bytes, bytes]:
-        ids: list[int] = []
-        for piece in PATTERN.findall(chunk):
-            known = self.pieces.get(piece)
-            if known is None:
-                if len(self.pieces) >= MAX_ENTRIES:
-                    self.pieces.clear()
-                known = self.automaton.run(piece.encode())
-                if len(piece) <= 64:
-                    self.pieces[piece] = known
-            ids += known
-        entry = self._entry(ids)
+        """The entry of a text that is split by itself."""
+        entry = self.older.get(chunk)
+        if entry is None:
+            ascii = chunk.isascii()
+            if ascii and (chunk[1:] if chunk[0] == " " else chunk).isalpha():  # letters are one piece
+                entry = self._entry(self.automaton.run(chunk.encode()))
+            else:
+                pieces = (ASCII_PATTERN if ascii and chunk.isprintable() else PATTERN).findall(chunk)
+                if len(pieces) == 1:
+                    entry = self._entry(self.automaton.run(chunk.encode()))
+                else:  # a piece is a chunk too
+                    entries = [self.chunks.get(x) or self._chunk(x) for x in pieces]
+                    entry = b",".join([e[0] for e in entries]), b"".join([e[1] for e in entries])
         if len(chunk) <= 64:
             if len(self.chunks) >= MAX_ENTRIES:
-                self.chunks.clear()
+                self.older, self.chunks = self.chunks, {}
             self.chunks[chunk] = entry
         return entry
 
@@ -174,9 +221,12 @@ class Codec:
         # A space with a word character on either side starts or ends a piece,
         # so what lies between single spaces is split independently.
         first, *rest = text.split(" ")
-        get, chunk = self.chunks.get, self._chunk
-        out = [get(first) or chunk(first)] if first else []
-        return out + [get(x) or chunk(x) for x in map(" ".__add__, rest)]
+        chunk, out = self._chunk, []
+        if first:
+            out.append(self.chunks.get(first) or chunk(first))
+        for x in map(" ".__add__, rest):
+            out.append(self.chunks.get(x) or chunk(x))  # the table may be a new one after each chunk
+        return out
 
     def entries(self, text: str) -> list[tuple[bytes, bytes]]:
         if self.specials is None or not self.specials.search(text):
