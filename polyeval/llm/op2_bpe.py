@@ -51,7 +51,7 @@ FOREVER = 1 << 62
 #: Pre-split rule of byte-level BPE, as published with its vocabulary.
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: The same for printable ASCII.
-ASCII_PATTERN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ A-Za-z0-9]+| +(?! )| +")
+ASCII_PATTERN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ A-Za-z0-9]+| +(?![^ ])| +")
 _MIXED_SPACE = regex.compile(r"\s \s")
 
 
