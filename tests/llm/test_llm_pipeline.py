@@ -3,6 +3,7 @@
 import os
 import re
 import sys
+import tempfile
 
 import duckdb
 import pytest
@@ -127,3 +128,24 @@ def test_near_dedup_stage_takes_pairs_from_80_percent(spark):
     docs = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in rows.items()],
                                  "doc_id long, text string, lang string, source string, n_chars long")
     assert {r.doc_id for r in pipeline.near_dedup(spark, docs, "").collect()} == set(rows) - dropped
+
+
+def test_one_of_each_repeated_row_stays(spark):
+    """Brute force by row: of rows with equal id and text one goes on, and substring dedup then leaves its text alone."""
+    base, other = " ".join(llm_data.words(120, 91, 5000)), " ".join(llm_data.words(120, 92, 5000))
+    rows = [(1, base, "en", "b", 9), (1, base, "en", "a", 9), (1, base, "en", "a", 9), (2, other, "de", "s", 1), (3, base + " x", "de", "s", 1),
+            (None, other, "en", "s", 2), (None, other, "en", "s", 2), (None, None, "en", "s", 2), (None, "", "en", "s", 2), (None, None, "en", "s", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    near = pipeline.near_dedup(spark, docs, "")
+    got = sorted(map(str, near.collect()))
+    gone = {i for i, (_, c) in test_llm_minhash.brute([(r[0], r[1]) for r in rows[:5]]).items() if i != c}
+    least = {}
+    for r in rows:
+        if r[0] not in gone or r[0] is None:
+            least[r[:2]] = min(least.get(r[:2], r), r, key=lambda x: x[2:])
+    assert len(got) == len(least) and near.columns == docs.columns
+    alone = pipeline.near_dedup(spark, docs.where("doc_id = 1"), "")
+    assert [(r.doc_id, r.text, r.source) for r in alone.collect()] == [(1, base, "a")]
+    path = f"{tempfile.mkdtemp(prefix='pipe-test-')}/stage"
+    alone.write.parquet(path)
+    assert [r.text for r in pipeline.substring_dedup(spark, spark.read.parquet(path), "").collect()] == [base]
