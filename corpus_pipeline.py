@@ -30,9 +30,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least id."""
+    """One document of each group of near duplicates, the one with the least id. Rows that
+    repeat an id with its text are one document, and one of them stays (of rows that differ in other
+    columns, the least); rows of one id with other texts stay, as does each null id's text once."""
     found = op5_minhash.near_duplicates(docs, percent=NEAR_PERCENT)
-    return docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
+    kept = docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
+    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():  # reads ids alone
+        return kept
+    keyed = kept.withColumns({"_hash": F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256), "_null": F.col("text").isNull()})
+    key = ["doc_id", "_hash", "_null"]
+    again = keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    on = [keyed[c].eqNullSafe(again[c]) for c in key]
+    once = keyed.join(again, on, "left_anti")
+    repeated = keyed.join(again, on, "left_semi").groupBy(*key).agg(F.min(F.struct(*docs.columns)).alias("_row"))
+    return once.select(*docs.columns).unionByName(repeated.select("_row.*"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
