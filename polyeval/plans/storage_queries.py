@@ -31,6 +31,31 @@ def q_write_segments(spark, sf_dir):
     return store.read_segments(spark, path)
 
 
+def _na_sql(c: str) -> str:
+    """A cell as pandas reads it (the default missing strings are NULL)."""
+    known = ", ".join("'" + x + "'" for x in store.PANDAS_NA)
+    return f"case when {c} in ({known}) then null else {c} end as {c}"
+
+
+@query("scan_segments", f"""
+with {O.e2()}
+select model, dataset, src_lang, tgt_lang, {_na_sql('source')}, {_na_sql('target')}, {_na_sql('translation')} from seg
+""")
+def q_scan_segments(spark, sf_dir):
+    """Units as CSV files of 40 columns, read back by their headers. The wanted columns
+    are the first in the files of one corpus, the last in another's, and apart in the third's."""
+    base = scratch_path(spark, "segment-files")
+    seg = fixtures.segments(spark, sf_dir)
+    more = [F.concat(F.lit(f"{i}, "), F.col("tgt_lang")).alias(f"extra_{i}") for i in range(37)]
+    wide = seg.select("*", *more)
+    names = [f"extra_{i}" for i in range(37)]
+    store.write_segment_files(wide.where("dataset = 'flores-200'"), base, names)
+    for dataset, order in (("ntrex", [*names, "translation", "target", "source"]), ("wmt24", ["target", *names, "source", "extra_x", "translation"])):
+        rows = wide.where(F.col("dataset") == dataset).withColumn("extra_x", F.lit('a "quoted"\nfield'))
+        store.write_segment_files(rows, base, tuple(n for n in order if n not in ("source", "target", "translation")), order)
+    return store.scan_segments(spark, base).drop("seg_id")
+
+
 @query("write_scores", f"""
 with {O.e1()}, {O.DOC_ENTRIES}, {O.LATEST},
 ent_latest as (select e.* from ent e join latest l on l.model = e.model and l.run_id = e.run_id),

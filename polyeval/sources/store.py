@@ -11,7 +11,10 @@ Layouts:
 
 from __future__ import annotations
 
+import csv
+import io
 import uuid
+from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +23,7 @@ from pyspark.sql import types as T
 
 from .. import registry, schemas
 from ..functions.text import numeric_or_null, split_pair
+from . import versions
 
 _SEG_PATH = r"/([^/]+)/([^/]+)/([^/]+)\.csv$"
 
@@ -41,43 +45,48 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 # ----------------------------------------------------------------- scans
-MAX_CSV_COLUMNS = 16
+_RECORD = T.StructType([T.StructField("_c0", T.StringType()), T.StructField("_record", T.StringType())])
 
 
 def csv_reader(reader, multi_line: bool):
-    """A CSV reader (batch or stream) of rows as they stand, header rows too:
-    columns by position, and the path. See ``by_header``."""
-    cols = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(MAX_CSV_COLUMNS)])
-    return (reader.option("header", False).option("multiLine", multi_line).option("escape", '"')
-            .option("mode", "PERMISSIVE").schema(cols))
+    """A CSV reader (batch or stream) of whole records, header rows too, of any
+    width: Spark finds where a record ends (quoted fields may hold newlines), and gives
+    its text as the malformed record of a one-column schema; a record of one field is in
+    ``_c0`` alone. See ``by_header``."""
+    return (reader.option("header", False).option("multiLine", multi_line).option("escape", '"').option("lineSep", "\n")
+            .option("maxColumns", 1 << 18).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_record").schema(_RECORD))
+
+
+def _fields(record: str) -> list:
+    """A record's fields; an unquoted empty one is None."""
+    return next(csv.reader([record] if "\n" not in record and "\r" not in record else io.StringIO(record, newline=""), quoting=csv.QUOTE_NOTNULL), [])
 
 
 def by_header(raw: DataFrame, names: list[str], path_col: str = "_path") -> DataFrame:
-    """Columns ``names`` of CSV rows picked by each file's own header row, whatever
-    its order, as pandas does; columns that a file lacks are NULL, and
-    ``_header_ok`` says whether it has all of them. Rows of a file follow each
-    other in a task (its first row is the header), so this streams. Only files
-    that one task reads whole may be passed (multi-line CSV isn't split)."""
-    cols = [f"_c{i}" for i in range(MAX_CSV_COLUMNS)]
+    """Columns ``names`` of CSV records picked by each file's own header row, whatever
+    its order and width, as pandas does; columns that a file lacks are NULL, and
+    ``_header_ok`` says whether it has all of them. A row with fewer fields lacks the last
+    ones. Rows of a file follow each other in a task (its first row is the header), so this
+    streams. Only files that one task reads whole may be passed (multi-line CSV isn't split)."""
     schema = ", ".join([f"`{n}` string" for n in names] + [f"{path_col} string", "_header_ok boolean"])
+    kinds = [pa.string()] * (len(names) + 1) + [pa.bool_()]
 
     def run(batches):
+        csv.field_size_limit((1 << 31) - 1)
         path, at = None, []
         for b in batches:
-            rows = list(zip(*(b.column(c).to_pylist() for c in [*cols, path_col])))
             out = []
-            for row in rows:
-                if row[-1] != path:
-                    path = row[-1]
-                    header = [(x or "").lstrip("\ufeff") for x in row[:-1]]
+            for first, record, own in zip(*(b.column(c).to_pylist() for c in ("_c0", "_record", path_col))):
+                fields = [first] if record is None else _fields(record)
+                if own != path:
+                    path = own
+                    header = [(x or "").lstrip("\ufeff").rstrip("\r") for x in fields]
                     at = [header.index(n) if n in header else -1 for n in names]
                     continue
-                out.append((*[row[i] if i >= 0 else None for i in at], path, -1 not in at))
+                out.append((*[fields[i] if 0 <= i < len(fields) else None for i in at], path, -1 not in at))
             if out:
-                kinds = [pa.string()] * (len(names) + 1) + [pa.bool_()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                                                 [*names, path_col, "_header_ok"])
-    return raw.select(*cols, path_col).mapInArrow(run, schema)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], [*names, path_col, "_header_ok"])
+    return raw.select("_c0", "_record", path_col).mapInArrow(run, schema)
 
 
 def segments_by_header(raw: DataFrame, na_compat: bool = True) -> DataFrame:
@@ -131,12 +140,14 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
 def scan_metrics(spark: SparkSession, path: str, layout: str = "parquet", with_status: bool = False):
     """The metric table; nothing there -> empty table of the D11 schema.
     ``layout='reference'`` reads ``<root>/<model>/<dataset>.csv`` files by their
-    headers; a file without the metricx column reads it as NULL. Rows whose pair
+    headers; a file without the metricx column reads it as NULL. A table that was
+    upserted is read at its newest version. Rows whose pair
     name is malformed are left out and, ``with_status``, reported."""
     names = [f.name for f in schemas.METRIC_FILE.fields]
     glob = f"{path.rstrip('/')}/*/*.csv"
     if layout == "parquet" and _exists(spark, path):
-        found = spark.read.schema(schemas.METRICS).parquet(path)
+        now = versions.current(spark, path)
+        found = versions.read_partitioned(spark, path, now, schemas.METRICS) if now else spark.read.schema(schemas.METRICS).parquet(path)
         return (found, spark.createDataFrame([], schemas.RUN_STATUS)) if with_status else found
     if layout == "parquet" or not _exists(spark, glob):
         empty = spark.createDataFrame([], schemas.METRICS)
@@ -187,32 +198,77 @@ def write_segments(seg: DataFrame, path: str, fmt: str = "parquet", mode: str =
         .option("header", True).partitionBy(*keys).format(fmt).save(path))
 
 
-def append_metrics(rows: DataFrame, path: str) -> None:
-    """K3: append metric rows (partitioned by model/dataset, dealt by them), pairs
-    in sorted order inside each file."""
+def write_segment_files(seg: DataFrame, base: str, extra: Sequence[str] = (), order: Sequence[str] | None = None) -> None:
+    """K2 in the reference layout, ``<base>/<dataset>/<model>/<src>-<tgt>.csv``: one CSV file a
+    unit with a header, rows by ``seg_id``, every field quoted. ``extra`` columns follow in the
+    files; ``order`` names all columns in another order. Spark writes a file for each unit to a staging folder (a unit is one task's, since it
+    is one file; its rows are sorted on disk, not held); then the files are moved to their
+    names, one rename a unit."""
+    spark = seg.sparkSession
+    fs, top = versions._path(spark, base.rstrip("/"))
+    stage = f"{base.rstrip('/')}/.stage-{uuid.uuid4().hex}"
+    keys = ["dataset", "model", "pair"]
+    rows = seg.withColumn("pair", F.concat_ws("-", "src_lang", "tgt_lang"))
+    names = list(order or [*(f.name for f in schemas.SEGMENT_FILE.fields), *extra])
+    (rows.select(*keys, "seg_id", *names).repartition(*keys).sortWithinPartitions(*keys, "seg_id").drop("seg_id")
+         .write.option("header", True).option("quoteAll", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).partitionBy(*keys).csv(stage))
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for part in versions.partitions(spark, stage, 3):
+        dataset, model, pair = (unescape(x.split("=", 1)[1]) for x in part.split("/"))
+        name = next(n for n in versions.listed(spark, f"{stage}/{part}") if n.startswith("part-"))
+        folder = path(f"{base.rstrip('/')}/{dataset}/{model}")
+        fs.mkdirs(folder)
+        target = path(folder, f"{pair}.csv")
+        fs.delete(target, False)
+        if not fs.rename(path(f"{stage}/{part}/{name}"), target):
+            raise OSError(f"{target} could not be put in place")
+    fs.delete(path(stage), True)
+
+
+def _write_metrics(rows: DataFrame, path: str, mode: str) -> None:
     (rows.select(*[f.name for f in schemas.METRICS.fields]).hint("rebalance", "model", "dataset")
          .sortWithinPartitions("model", "dataset", "src_lang", "tgt_lang")
-         .write.mode("append").partitionBy("model", "dataset").parquet(path))
+         .write.mode(mode).partitionBy("model", "dataset").parquet(path))
+
+
+def append_metrics(rows: DataFrame, path: str) -> None:
+    """K3: append metric rows (partitioned by model/dataset, dealt by them), pairs
+    in sorted order inside each file. A table that has versions (K4) gets another."""
+    spark = rows.sparkSession
+    if versions.current(spark, path) is None:
+        _write_metrics(rows, path, "append")
+        return
+    folder = versions.new_folder()
+    _write_metrics(rows, versions.data_path(path, folder), "error")
+    versions.commit(spark, path, lambda now: versions.replace_partitions(spark, path, now, 2, folder, add=True))
 
 
 def upsert_metrics(spark: SparkSession, rows: DataFrame, path: str, staging_root: str | None = None) -> None:
     """K4: put ``rows`` into the table: they replace the stored rows of their
-    units, and every other stored row stays. The touched (model, dataset)
-    partitions are merged on the unit key and first written to a fresh staging
-    folder (so the table is never read and overwritten by one job), then
-    copied over with dynamic partition overwrite."""
+    units, and every other stored row stays. The touched (model, dataset) partitions
+    are merged on the unit key into a folder of their own, and one atomic switch of the
+    table's manifest (``versions``) puts them in the place of the old ones, whose files stay for
+    readers under way. Whatever fails before the switch leaves the table as it was; a commit that
+    another one overtook merges again with what that one wrote. ``rows`` are written
+    first (to ``staging_root`` or the shared checkpoint folder), so each attempt, and each read of
+    them, has the same rows, also where they were read from the table itself."""
     from ..session import scratch_path
     names = [f.name for f in schemas.METRICS.fields]
     stage = f"{staging_root.rstrip('/')}/{uuid.uuid4().hex}" if staging_root else scratch_path(spark, "metrics-stage")
-    new = rows.select(*names)
-    held = scan_metrics(spark, path)
-    kept = (held.join(new.select("model", "dataset").distinct(), ["model", "dataset"], "left_semi")
-                .join(new.select(*schemas.UNIT_KEYS).distinct(), schemas.UNIT_KEYS, "left_anti"))
-    kept.select(*names).unionByName(new).write.mode("overwrite").parquet(stage)
-    (spark.read.schema(schemas.METRICS).parquet(stage).hint("rebalance", "model", "dataset")
-          .sortWithinPartitions("model", "dataset", "src_lang", "tgt_lang")
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy("model", "dataset").parquet(path))
+    rows.select(*names).write.mode("overwrite").parquet(stage)
+    new = spark.read.schema(schemas.METRICS).parquet(stage)
+
+    def change(now: dict | None) -> dict:
+        held = scan_metrics(spark, path) if now is None else versions.read_partitioned(spark, path, now, schemas.METRICS)
+        kept = (held.join(new.select("model", "dataset").distinct(), ["model", "dataset"], "left_semi")
+                    .join(new.select(*schemas.UNIT_KEYS).distinct(), schemas.UNIT_KEYS, "left_anti"))
+        folder = versions.new_folder()
+        _write_metrics(kept.select(*names).unionByName(new), versions.data_path(path, folder), "error")
+        return versions.replace_partitions(spark, path, now, 2, folder)
+
+    versions.commit(spark, path, change)
     _delete(spark, stage)
 
 
@@ -234,4 +290,4 @@ def export_scorer_jsonl(prepared: DataFrame, path: str, by_unit: bool = False) -
 
 
 __all__ = ["scan_segments", "read_segments", "scan_metrics", "scan_predictions", "write_scores",
-           "write_segments", "append_metrics", "upsert_metrics", "export_scorer_jsonl"]
+           "write_segments", "write_segment_files", "append_metrics", "upsert_metrics", "export_scorer_jsonl"]
