@@ -2,9 +2,9 @@
 
 Tokenization (lowercase, every run outside [a-z0-9] separates) and the LCS
 (bit-parallel) run per segment in an Arrow UDF; the mean is a native
-aggregate. The reference's scorer reports the middle of a bootstrap
-over segments; the plain mean is the value that estimate targets and is
-deterministic."""
+aggregate. ``rouge_l`` is the plain mean; ``rouge_l_interval`` reports what the
+reference's scorer does, the middle of a bootstrap over segments, with its interval
+(see ``bootstrap``; resamples are seeded, so it gives the same numbers each time)."""
 
 from __future__ import annotations
 
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.align import rouge_l_f
 from ..functions.text import round_half_even
+from .bootstrap import SAMPLES, bootstrap_mean
 
 
 _ALNUM_RUN = re.compile(r"[a-z0-9]+")
@@ -50,3 +51,9 @@ def rouge_l(seg: DataFrame, keys: list[str], hyp: str = "hyp", ref: str = "ref",
     s = segment_rouge_l(seg, keys, hyp, ref)
     m = F.avg("rouge_l")
     return s.groupBy(*keys).agg((round_half_even(m, digits) if digits is not None else m).alias("rouge_l"))
+
+
+def rouge_l_interval(seg: DataFrame, keys: list[str], hyp: str = "hyp", ref: str = "ref", samples: int = SAMPLES,
+                     confidence: float = 0.95, digits: int | None = 4) -> DataFrame:
+    """keys, rouge_l (the bootstrap's middle), rouge_l_low, rouge_l_high."""
+    return bootstrap_mean(segment_rouge_l(seg, keys, hyp, ref), keys, "rouge_l", ["seg_id"], "rouge_l", samples, confidence, digits)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -39,6 +41,30 @@ def unit_status(expected: DataFrame, produced: DataFrame, keys: list[str], stage
     return out
 
 
+OUTCOMES = ("ok", "skipped", "no metrics", "missing", "error")
+
+
+def observe_outcomes(df: DataFrame, status: Column, stage: str, details: dict[str, Column] | None = None) -> tuple[DataFrame, Observation]:
+    """K6 while the job runs: ``df`` as it is, and an observation that counts its rows by outcome
+    (``status``, one of ``OUTCOMES``) when an action goes over it: no second pass, nothing but the
+    counts on the driver. ``details``: name -> condition, counted too. Rows count where they pass, so
+    observe a table with one row a unit (or document) to count units."""
+    seen = Observation(f"{stage}-{uuid.uuid4().hex[:8]}")
+    counts = [F.count(F.lit(1)).alias("all")] + [F.count_if(status == o).alias(o) for o in OUTCOMES]
+    counts += [F.count_if(F.coalesce(c, F.lit(False))).alias(f"detail {n}") for n, c in (details or {}).items()]
+    return df.observe(seen, *counts), seen
+
+
+def outcome_counts(spark: SparkSession, seen: Observation, stage: str) -> DataFrame:
+    """stage, status, n of what was observed; waits for the action. An outcome outside
+    ``OUTCOMES`` is an error of the caller and raises."""
+    got = seen.get
+    if got["all"] != sum(got[o] for o in OUTCOMES):
+        raise ValueError(f"{stage}: {got['all'] - sum(got[o] for o in OUTCOMES)} rows have no known outcome")
+    rows = [(stage, o, got[o]) for o in OUTCOMES if got[o]] + [(stage, k, v) for k, v in got.items() if k.startswith("detail ") and v]
+    return spark.createDataFrame(rows, "stage string, status string, n long")
+
+
 def unmapped_codes(extracted: DataFrame, languages: DataFrame) -> DataFrame:
     """K6: a warning for each benchmark and language code that passed an extractor
     unmapped and is no key of the language table."""

@@ -32,10 +32,10 @@ def score_table(docs: DataFrame, aliases: DataFrame, model_col: str = "model", *
 
 
 def score_table_from_files(spark: SparkSession, base_dir: str) -> DataFrame:
-    """E1 over files ``<base>/<model>/<hub__path>/results_*.json``."""
-    raw = (spark.read.text(f"{base_dir.rstrip('/')}/*/*/results_*.json", wholetext=True)
-           .selectExpr("value", "_metadata.file_path as path",
-                       "_metadata.file_modification_time as mtime"))
+    """E1 over files ``<base>/<model>/<hub__path>/results_*.json``. Which files are
+    read follows from their paths and times alone (``results.newest_files``): no document
+    passes a join or an aggregate, and older runs aren't opened."""
     models = registry.models_df(spark).filter("in_benchmark")
-    matched = results.result_path_match(raw, models).drop("model").withColumnRenamed("reg_model", "model")
-    return score_table(matched, registry.aliases_df(spark))
+    newest = results.newest_files(spark, f"{base_dir.rstrip('/')}/*/*/results_*.json", models)
+    tasks = results.parse_documents(results.read_chosen(spark, newest), "value", ["model", "path"])
+    return merge_scores(extract_scores(tasks, registry.aliases_df(spark), keep=["model", "path"]), ["model"])

@@ -240,7 +240,8 @@ from ..operators import joins as J  # noqa: E402
 from ..operators import neural as U  # noqa: E402
 from ..operators import status as K  # noqa: E402
 from ..operators.meteor import meteor  # noqa: E402
-from ..operators.rouge import rouge_l  # noqa: E402
+from ..operators import bootstrap as B  # noqa: E402
+from ..operators.rouge import rouge_l, rouge_l_interval  # noqa: E402
 from . import standins  # noqa: E402
 from .translation_metrics import metric_row  # noqa: E402
 
@@ -256,12 +257,47 @@ def q_neural_system_score(spark, sf_dir):
                           batch_size=128)
 
 
-@query("rouge_l")
+# Longest common subsequences as chains of matching positions: hypothesis positions ascending, a
+# position's matches descending, folded into the least last position of a chain of each length.
+_ROUGE = f"""
+tk as (select {O.UNIT}, seg_id, regexp_extract_all(lower(hyp), '[a-z0-9]+') as h, regexp_extract_all(lower(ref), '[a-z0-9]+') as r from p),
+hw as (select seg_id, unnest(h) as w, unnest(range(0, len(h))) as i from tk),
+rw as (select seg_id, unnest(r) as w, unnest(range(0, len(r))) as j from tk),
+pr as (select seg_id, list([cast(j as int)] order by i, j desc) as js from hw join rw using (seg_id, w) group by seg_id),
+lcs as (select seg_id, len(list_reduce(js, lambda a, x: list_concat(list_concat(a[1:len(list_filter(a, lambda t: t < x[1]))], x),
+                                                                    a[len(list_filter(a, lambda t: t < x[1])) + 2:]))) as l from pr),
+rl as (select {O.UNIT}, seg_id, case when l is null then 0.0 else 2.0 * (l / cast(len(r) as double)) * (l / cast(len(h) as double))
+              / ((l / cast(len(r) as double)) + (l / cast(len(h) as double))) end as f from tk left join lcs using (seg_id))"""
+
+
+@query("rouge_l", f"""
+with {O.e2()}, {O.PREP}, {_ROUGE}
+select {O.UNIT}, round_even(avg(f), 4) as rouge_l from rl group by {O.UNIT}
+""")
 def q_rouge_l(spark, sf_dir):
-    """Checked against a plain-Python ROUGE-L (DP LCS) in tests."""
     return rouge_l(_prepared(spark, sf_dir), UNIT_KEYS, "hyp", "ref")
 
 
+@query("rouge_l_interval", f"""
+with {O.e2()}, {O.PREP}, {_ROUGE},
+sd as (select *, cast(floor(f * 1e9 + 0.5) as bigint) as amount,
+              cast('0x' || substr(md5(concat_ws('/', {O.UNIT}, cast(seg_id as varchar))), 1, 16) as ubigint) as seed from rl),
+x0 as (select {O.UNIT}, amount, s as sample, cast((cast(seed as uhugeint) + cast(s as uhugeint) * {B.GOLDEN}) % 18446744073709551616 as ubigint) as x
+       from sd cross join range(1, {B.SAMPLES + 1}) t(s)),
+x1 as (select * replace (cast((cast(xor(x, x >> 30) as uhugeint) * {B.MIX_1}) % 18446744073709551616 as ubigint) as x) from x0),
+x2 as (select * replace (cast((cast(xor(x, x >> 27) as uhugeint) * {B.MIX_2}) % 18446744073709551616 as ubigint) as x) from x1),
+x3 as (select * replace (xor(x, x >> 31) as x) from x2),
+wt as (select *, {" + ".join(f"cast(x >= {t} as bigint)" for t in B.poisson_thresholds())} as w from x3),
+mn as (select {O.UNIT}, sample, sum(w * amount) / 1e9 / sum(w) as mean from wt group by {O.UNIT}, sample having sum(w) > 0)
+select {O.UNIT}, round_even(quantile_cont(mean, 0.5), 4) as rouge_l, round_even(quantile_cont(mean, 0.025), 4) as rouge_l_low,
+       round_even(quantile_cont(mean, 0.975), 4) as rouge_l_high
+from mn group by {O.UNIT}
+""")
+def q_rouge_l_interval(spark, sf_dir):
+    """G4 as the reference's scorer reports it: the middle of 1,000 resamples, with the interval."""
+    return rouge_l_interval(_prepared(spark, sf_dir), UNIT_KEYS)
+
+
 @query("meteor")
 def q_meteor(spark, sf_dir):
     return meteor(_prepared(spark, sf_dir), UNIT_KEYS, "hyp", "ref")

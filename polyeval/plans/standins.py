@@ -48,3 +48,16 @@ def echo_generator(model: str):
     """'Generates' the prompt length and the temperature, padded with
     whitespace (so the strip step is exercised)."""
     return _EchoGenerator(model)
+
+
+#: A scorer as a program of its own (see ``operators.external``): the error of a segment is 25 times
+#: the share by which the shorter of hypothesis and reference falls short of the longer.
+SCORER_PROGRAM = """
+import json, sys
+for line in sys.stdin:
+    for _ in range(json.loads(line)["n"]):
+        row = json.loads(sys.stdin.readline())
+        a, b = len(row["hypothesis"]), len(row["reference"])
+        print(json.dumps({"prediction": 25.0 * (1.0 - min(a, b) / max(a, b, 1))}))
+    sys.stdout.flush()
+"""

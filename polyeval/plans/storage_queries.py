@@ -3,6 +3,8 @@ under the shared checkpoint folder, reads it back and goes on from there."""
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import functions as F
 
 from .. import registry
@@ -10,13 +12,15 @@ from ..operators import extract as X
 from ..operators import joins as J
 from ..operators import neural as U
 from ..operators import status as K
+from ..operators.external import external_scorer
 from ..operators.correlate import align_scores_metrics, median_correlation, pearson_by_benchmark
-from ..schemas import METRICS, UNIT_KEYS
+from ..schemas import METRICS, SEGMENTS, UNIT_KEYS
 from ..session import scratch_path
-from ..sources import fixtures, store
+from ..sources import fixtures, ordered, results, store, versions
+from ..streaming import incremental as I
 from . import oracle_sql as O
 from . import standins
-from .catalog import _ERR, _METRICS0, _PAIRS, _metrics0, _pairs, _prepared, _tasks, q_merge_scores, query
+from .catalog import _ERR, _METRICS0, _PAIRS, _RATIO, _docs, _metrics0, _pairs, _prepared, _tasks, q_merge_scores, query
 from .translation import translate_pending
 
 
@@ -219,3 +223,111 @@ def q_task_coverage(spark, sf_dir):
     tasks = found.select("task").distinct()
     asked = found.select("model").distinct().join(F.broadcast(tasks), F.lit(True))  # names of tasks: rules times languages
     return K.task_coverage(asked, found, ["model"])
+
+
+# ------------------------------------------------------- streams
+@query("incremental_metrics", f"""
+with {O.e2()}, {O.PREP},
+nb as ({O.bleu_sql()}),
+nc as ({O.chrf_sql()}),
+nx as (select {O.UNIT}, count(*) as n_segments, round_even(avg({_RATIO.format(a='hyp', b='ref')}), 4) as xcomet from p group by {O.UNIT})
+select {O.UNIT}, nx.n_segments, nb.bleu, nc.chrf, nx.xcomet from nb join nc using ({O.UNIT}) join nx using ({O.UNIT})
+""")
+def q_incremental_metrics(spark, sf_dir):
+    """Segments arrive in parts that cut through units; a stream adds each part's statistics, and the
+    metrics are those of all. Midway the statistics are compacted, and at the end the last batch is
+    replayed, which changes nothing."""
+    arriving, table, checkpoint = (scratch_path(spark, x) for x in ("arriving", "statistics", "stream"))
+    kw = {"tokenizer": "13a", "with_rouge_meteor": False, "scorers": {"xcomet": (standins.length_ratio_scorer, 128)}}
+    seg = fixtures.segments(spark, sf_dir).withColumn("half", F.xxhash64("seg_id") % 2 == 0)
+    seg.repartition(4, "seg_id").write.partitionBy("half").parquet(f"{arriving}-dealt")
+    for half in ("true", "false"):
+        part = spark.read.schema(SEGMENTS).parquet(f"{arriving}-dealt/half={half}")
+        part.write.mode("append").parquet(arriving)
+        I.incremental_statistics(spark, arriving, table, checkpoint, max_files=2, **kw).awaitTermination()
+        if half == "true":
+            I.compact_statistics(spark, table)
+    epochs = versions.current(spark, table)["epochs"]
+    (stream, last), = epochs.items()
+    I.add_statistics(I.read_statistics(spark, table), table, stream, last)  # a replay
+    return I.metrics_so_far(spark, table, with_count=True).select(*UNIT_KEYS, "n_segments", "bleu", "chrf", "xcomet")
+
+
+@query("incremental_scores", f"""
+with {O.e1()}, {O.DOC_ENTRIES},
+kept as (select * from docs where run_id <> 2),
+lastp as (select model, max(struct_pack(m := mtime, p := '/results/raw/' || model || '/org__' || model || '/results_' || cast(run_id as varchar) || '.json', r := run_id)) as b
+          from kept group by model),
+ent_latest as (select e.* from ent e join lastp l on l.model = e.model and l.b.r = e.run_id),
+{O.extracted(src='ent_latest')}
+{O.merge_scores_sql()}
+""")
+def q_incremental_scores(spark, sf_dir):
+    """Result documents arrive in parts; of each model the newest so far has its scores in the
+    ledger, and in the plain table that is made from it."""
+    arriving, ledger, plain, checkpoint = (scratch_path(spark, x) for x in ("documents", "ledger", "plain", "stream"))
+    docs = _docs(spark, sf_dir).select("value", "path", F.col("mtime").cast("timestamp").alias("mtime"))
+    docs.repartition(4, "path").write.parquet(arriving)
+    stream = spark.readStream.schema("value string, path string, mtime timestamp").option("maxFilesPerTrigger", 2).parquet(arriving)
+    I.incremental_scores(spark, stream, plain, ledger, checkpoint, fixtures.fixture_models(spark, sf_dir)).awaitTermination()
+    scores = I.committed_scores(spark, ledger)
+    return scores.select("model", *[c for c in scores.columns if c != "model"])
+
+
+# ------------------------------------------------------- order
+@query("ordered_scores", f"""
+with {O.e1()}, {O.DOC_ENTRIES}, {O.LATEST},
+ent_latest as (select e.* from ent e join latest l on l.model = e.model and l.run_id = e.run_id),
+{O.extracted(src='ent_latest')},
+w as ({O.merge_scores_sql()})
+select model, lang_code, row_number() over (order by model, lang_code) as position, cast(0 as bigint) as n_faults from w
+""")
+def q_ordered_scores(spark, sf_dir):
+    """O1: the score table in one total order, proved by where each row lies in its files."""
+    path = scratch_path(spark, "ordered-scores")
+    ordered.write_ordered(q_merge_scores(spark, sf_dir), path, ["model", "lang_code"], max_records_per_file=1000)
+    faults = ordered.order_faults(spark, path, ["model", "lang_code"]).count()
+    return ordered.positions(spark, path).select("model", "lang_code", "position", F.lit(faults).cast("long").alias("n_faults"))
+
+
+@query("ordered_pairs", f"""
+with {O.e2()}, {O.PREP}, {_METRICS0}
+select {O.UNIT}, row_number() over (order by model, dataset, src_lang, tgt_lang) as position, cast(0 as bigint) as n_faults from m0
+""")
+def q_ordered_pairs(spark, sf_dir):
+    """O2: metric rows in the order of their pairs, proved likewise."""
+    path = scratch_path(spark, "ordered-pairs")
+    ordered.write_ordered(_stored_metrics(spark, sf_dir), path, UNIT_KEYS, max_records_per_file=50)
+    faults = ordered.order_faults(spark, path, UNIT_KEYS).count()
+    return ordered.positions(spark, path).select(*UNIT_KEYS, "position", F.lit(faults).cast("long").alias("n_faults"))
+
+
+# ------------------------------------------------------- a scorer process, outcomes
+@query("scorer_process", f"""
+with {O.e2()}, {O.PREP}
+select {O.UNIT}, round_even(25 - avg({_ERR}), 4) as metricx from p group by {O.UNIT}
+""")
+def q_scorer_process(spark, sf_dir):
+    """U1 with a scorer that is a program: a child process of each worker, asked over pipes (its part is
+    played by a few lines of Python). G7 and P11 follow."""
+    factory = external_scorer([sys.executable, "-c", standins.SCORER_PROGRAM], timeout=120)
+    scored = U.score_segments(_prepared(spark, sf_dir).select(*UNIT_KEYS, "src", "hyp", "ref"), factory, "prediction", batch_size=64)
+    return U.error_mean(scored, UNIT_KEYS, "prediction").select(*UNIT_KEYS, U.invert_error("error_mean").alias("metricx"))
+
+
+@query("observed_outcomes", f"""
+with {O.e1()}, {O.DOC_ENTRIES},
+st as (select case when run_id % 5 = 3 then 'error' when run_id % 5 = 4 then 'skipped' else 'ok' end as status from docs)
+select 'scan_results' as stage, status, count(*) as n from st group by status
+""")
+def q_observed_outcomes(spark, sf_dir):
+    """K6 by observation: the documents' outcomes are counted while they are parsed and written; some are cut
+    short (corrupt) and some lack ``results``."""
+    docs = _docs(spark, sf_dir)
+    kind = F.col("run_id") % 5
+    broken = F.when(kind == 3, F.expr("left(value, length(value) - 2)")).when(kind == 4, F.lit('{"config": {}}')).otherwise(F.col("value"))
+    docs = docs.withColumn("value", broken)
+    status = results.document_status("value")
+    watched, seen = K.observe_outcomes(docs.withColumn("_status", status), F.col("_status"), "scan_results")
+    results.parse_documents(watched, "value", ["model", "run_id"]).write.parquet(scratch_path(spark, "task-rows"))
+    return K.outcome_counts(spark, seen, "scan_results")

@@ -33,23 +33,24 @@ def prepare_segments(seg: DataFrame, na_compat: bool = True, spread_rows: bool =
     return spread(out) if spread_rows else out
 
 
-def metric_row(prepared: DataFrame, tokenizer: str = "13a", spm_model: str | None = None,
-               with_rouge_meteor: bool = True, scorers: dict | None = None,
-               chrf_word_order: int = 0, meteor_kw: dict | None = None) -> DataFrame:
-    """All metrics of a unit in one row, in one pass over the segments.
+def unit_statistics(prepared: DataFrame, tokenizer: str = "13a", spm_model: str | None = None,
+                    with_rouge_meteor: bool = True, scorers: dict | None = None,
+                    chrf_word_order: int = 0, meteor_kw: dict | None = None) -> DataFrame:
+    """What a unit's metrics are made of, in one pass over the segments: the keys,
+    n_segments, the BLEU and chrF counts (``b_`` and ``c_``, for each order), and for each
+    segment score its sum and number (``s_`` and ``n_``). Statistics of parts of a unit add up
+    (``merge_statistics``); scores don't.
 
     One Arrow task per partition computes, for each segment, the BLEU and chrF
     statistics, ROUGE-L F, METEOR and the plug-in scorers' segment scores; one
-    hash aggregate per unit sums/averages them (partial aggregation before the
-    only small shuffle); the corpus formulas run on one row per unit. No join
-    between metric families and no cached copy of the segment table.
+    hash aggregate per unit sums them (partial aggregation before the
+    only small shuffle). No join between metric families and no cached copy of the
+    segment table.
     ``scorers``: out column -> (factory, batch_size) for U1 plug-ins (xcomet,
     ssa_comet); absent ones stay NULL, as does metricx until the back-fill."""
     from ..functions.align import meteor_segment, rouge_l_f
     from ..functions.tokenize import py_bleu_tokenizer, py_chrf_chars, py_chrf_words
     from ..operators import ngram
-    from ..operators.bleu import bleu_from_stats
-    from ..operators.chrf import chrf_from_stats
     from ..operators.neural import plugin_key, resident, scored
     from ..operators.rouge import py_rouge_tokens
     import pandas as pd
@@ -96,15 +97,32 @@ def metric_row(prepared: DataFrame, tokenizer: str = "13a", spm_model: str | Non
             yield out
 
     per_seg = prepared.select(*keys, "src", "hyp", "ref").mapInPandas(fn, schema)
-    agg = per_seg.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in b_cols + c_cols],
-                                     *[F.avg(c).alias(c) for c in f_cols])
-    bo = [o for (o, _, _) in b_specs]
-    co = [o for (o, _, _) in c_specs]
+    return per_seg.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_segments"), *[F.sum(c).alias(c) for c in b_cols + c_cols],
+                                      *[x for c in f_cols for x in (F.sum(c).alias(f"s_{c}"), F.count(c).alias(f"n_{c}"))])
+
+
+def merge_statistics(stats: DataFrame) -> DataFrame:
+    """Statistics of parts of units (any number of rows a unit) as one row a unit. Columns that
+    only some parts have are null in the others and don't count."""
+    return stats.groupBy(*UNIT_KEYS).agg(*[F.sum(c).alias(c) for c in stats.columns if c not in UNIT_KEYS])
+
+
+def row_from_statistics(stats: DataFrame, with_count: bool = False) -> DataFrame:
+    """Metric rows (D11) of one row of statistics a unit: the corpus formulas."""
+    from ..operators.bleu import bleu_from_stats
+    from ..operators.chrf import chrf_from_stats
+    bo, co = (sorted(int(c.rsplit("_", 1)[1]) for c in stats.columns if c.startswith(f"{x}_match_")) for x in "bc")
     bleu = bleu_from_stats([F.col(f"b_match_{n}") for n in bo], [F.col(f"b_hyp_{n}") for n in bo],
                            F.col("b_hyp_1"), F.col("b_ref_1"))
     chrf = chrf_from_stats([F.col(f"c_hyp_{o}") for o in co], [F.col(f"c_ref_{o}") for o in co],
                            [F.col(f"c_match_{o}") for o in co])
     cols = {"bleu": round_half_even(bleu, 2), "chrf": round_half_even(chrf, 2)}
     for c in ["rouge_l", "meteor", "xcomet", "ssa_comet", "metricx"]:
-        cols[c] = round_half_even(F.col(c), 4) if c in f_cols else F.lit(None).cast("double")
-    return agg.select(*keys, *[v.alias(k) for k, v in cols.items()])
+        known = f"s_{c}" in stats.columns
+        cols[c] = round_half_even(F.when(F.col(f"n_{c}") > 0, F.col(f"s_{c}") / F.col(f"n_{c}")), 4) if known else F.lit(None).cast("double")
+    return stats.select(*UNIT_KEYS, *(["n_segments"] if with_count else []), *[v.alias(k) for k, v in cols.items()])
+
+
+def metric_row(prepared: DataFrame, **kw) -> DataFrame:
+    """All metrics of a unit in one row (``unit_statistics`` says which)."""
+    return row_from_statistics(unit_statistics(prepared, **kw))

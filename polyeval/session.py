@@ -50,6 +50,10 @@ def build_session(master: str | None = None, app: str = "polyeval",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    # Adaptive execution joins shuffle partitions by bytes until there is one a core; a step that
+    # computes much for each byte then ends with idle cores. Three a core, where there are as many.
+    if "spark.sql.adaptive.coalescePartitions.minPartitionNum" not in (extra or {}):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionNum", str(3 * spark.sparkContext.defaultParallelism))
     ship_package(spark)
     return spark
 

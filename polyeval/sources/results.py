@@ -40,8 +40,7 @@ def parse_documents(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
                       F.col("e.value").alias("metrics")))
 
 
-def documents_status(df: DataFrame, text_col: str, unit_col: str) -> DataFrame:
-    """K6 for S1: one status row per document (ok / no results / corrupt)."""
+def _parsed_status(text_col: str) -> tuple[Column, Column, Column]:
     from pyspark.sql import types as T
     schema = T.StructType(schemas.RESULT_DOC.fields + [T.StructField("_corrupt", T.StringType())])
     doc = F.from_json(F.col(text_col), schema, {"columnNameOfCorruptRecord": "_corrupt"})
@@ -49,6 +48,17 @@ def documents_status(df: DataFrame, text_col: str, unit_col: str) -> DataFrame:
     status = (F.when(bad, F.lit("error"))
                .when(doc["results"].isNull(), F.lit("skipped"))
                .otherwise(F.lit("ok")))
+    return status, bad, doc
+
+
+def document_status(text_col: str) -> Column:
+    """K6 for S1: a document's outcome (ok, skipped: no results, error: corrupt)."""
+    return _parsed_status(text_col)[0]
+
+
+def documents_status(df: DataFrame, text_col: str, unit_col: str) -> DataFrame:
+    """K6 for S1: one status row per document (ok / no results / corrupt)."""
+    status, bad, doc = _parsed_status(text_col)
     detail = (F.when(bad, F.lit("corrupt JSON"))
                .when(doc["results"].isNull(), F.lit("no results key"))
                .otherwise(F.concat(F.size(doc["results"]).cast("string"), F.lit(" tasks"))))
@@ -100,6 +110,33 @@ def newest_document(docs: DataFrame, model_col: str, run_col: str, time_col: str
     return docs.groupBy(model_col).agg(best.alias("_d")).select(model_col, *[F.col(f"_d.{c}").alias(c) for c in others])
 
 
+def file_list(spark: SparkSession, path_glob: str) -> DataFrame:
+    """path, mtime, length, file of files; none is opened (their content isn't among the columns
+    read). ``path`` is the URI that other scans report, ``file`` the name to read it by."""
+    return spark.read.format("binaryFile").load(path_glob).select(
+        F.col("_metadata.file_path").alias("path"), F.col("modificationTime").alias("mtime"), "length", F.col("path").alias("file"))
+
+
+def newest_files(spark: SparkSession, path_glob: str, models: DataFrame) -> DataFrame:
+    """S2 and S3 on paths and times: model, path, file, mtime of each registered model's newest
+    file (ties: the greatest path)."""
+    matched = result_path_match(file_list(spark, path_glob), models).drop("model").withColumnRenamed("reg_model", "model")
+    best = latest_run(matched.withColumn("run", F.struct("path", "file")), "model", "run", "mtime")
+    return best.select("model", "run.path", "run.file", "mtime")
+
+
+def read_chosen(spark: SparkSession, chosen: DataFrame) -> DataFrame:
+    """model, path, value of the chosen files, at most one a model: their names, bounded by
+    the registry, go to the driver, which names just these files to the scan. The model is
+    found again by the path, a literal map's lookup in the scan's own projection."""
+    rows = list(chosen.select("path", "file", "model").toLocalIterator())
+    if not rows:
+        return spark.createDataFrame([], "model string, path string, value string")
+    model = F.create_map(*[F.lit(x) for r in rows for x in (r.path, r.model)])
+    docs = spark.read.text([r.file for r in rows], wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
+    return docs.select(model[F.col("path")].alias("model"), "path", "value")
+
+
 def metric_value(metrics: Column, key: str) -> Column:
     """Metric lookup with numeric coercion: non-numeric text -> NULL."""
     return F.btrim(metrics[key], F.lit('"')).try_cast("double")
