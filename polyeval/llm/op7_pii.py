@@ -33,6 +33,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import warnings
+from array import array
 from bisect import bisect_right
 from collections import Counter, defaultdict
 
@@ -49,6 +51,7 @@ PINNED = 25.0  # log potential of a base span's kind on its tokens and their rep
 MOST_EVIDENCE = 4.0  # bound of trained log potentials, so that they mean the same at any table size
 NO_EVIDENCE = -3.0  # log potential of a kind on a token without a trained shape
 SURE = 0.9
+EDGES_AT_ONCE = 1 << 16
 ROUNDS = 1000
 SMOOTHING = 0.5
 
@@ -177,28 +180,35 @@ class Field:
         self.steps = np.clip(np.log(joint / np.outer(joint.sum(1), joint.sum(0))), -MOST_EVIDENCE, MOST_EVIDENCE)
         self.unknown = np.array([0.0] + [NO_EVIDENCE] * len(KINDS))
 
-    def marginals(self, node: np.ndarray, left: np.ndarray, right: np.ndarray, potential: np.ndarray) -> np.ndarray:
-        """Loopy sum-product: node (n, labels) and edge (e, labels, labels) log
-        potentials; ``left`` and ``right`` are the edges' ends."""
+    def marginals(self, node: np.ndarray, left: np.ndarray, right: np.ndarray, kind: np.ndarray, potentials: np.ndarray) -> np.ndarray:
+        """Loopy sum-product: ``node`` (n, labels) and ``potentials`` (kinds, labels, labels) are
+        logarithms; ``left``, ``right`` and ``kind`` are the edges' ends and which potential they have. All
+        messages of a round follow from those of the round before. An edge costs its two messages; its
+        potential is shared, and a round goes over the edges in blocks. Without convergence
+        after ``ROUNDS`` rounds the text is named in a warning."""
         if not len(left):
             return _normal(node)
-        source, target = np.concatenate((left, right)), np.concatenate((right, left))
-        both = np.exp(np.concatenate((potential, potential.transpose(0, 2, 1))))
-        back = np.concatenate((np.arange(len(left)) + len(left), np.arange(len(left))))
-        message = np.zeros((len(source), node.shape[1]))
-        for _ in range(ROUNDS):
+        both = np.exp(potentials)
+        there, back = np.zeros((len(left), node.shape[1])), np.zeros((len(left), node.shape[1]))  # to the right ends, to the left ones
+        for turn in range(ROUNDS + 1):
             belief = node.copy()
-            np.add.at(belief, target, message)
-            out = belief[source] - message[back]
-            out -= out.max(axis=1, keepdims=True)
-            new = np.log(np.einsum("ei,eij->ej", np.exp(out), both) + 1e-300)
-            new -= new.max(axis=1, keepdims=True)
-            change = np.abs(new - message).max()
-            message = 0.5 * message + 0.5 * new
+            np.add.at(belief, right, there)
+            np.add.at(belief, left, back)
+            if turn == ROUNDS:
+                warnings.warn(f"no convergence of {len(node)} variables and {len(left)} edges", RuntimeWarning, stacklevel=2)
+                break
+            change = 0.0
+            for i in range(0, len(left), EDGES_AT_ONCE):
+                at = slice(i, i + EDGES_AT_ONCE)
+                ahead, behind = _message(belief[left[at]] - back[at], kind[at], both), _message(belief[right[at]] - there[at], kind[at], both.transpose(0, 2, 1))
+                change = max(change, np.abs(ahead - there[at]).max(), np.abs(behind - back[at]).max())
+                there[at] = 0.5 * there[at] + 0.5 * ahead
+                back[at] = 0.5 * back[at] + 0.5 * behind
             if change < 1e-4:
+                belief = node.copy()
+                np.add.at(belief, right, there)
+                np.add.at(belief, left, back)
                 break
-        belief = node.copy()
-        np.add.at(belief, target, message)
         return _normal(belief)
 
     def spans(self, text: str) -> tuple[dict, dict]:
@@ -222,19 +232,17 @@ class Field:
         node = np.stack([self.shapes.get(shape(text[a:b]), self.unknown) for a, b in tokens])
         pinned = np.array([y or held.get(e, 0) for e, y in zip(entity, labels)])
         node[np.arange(len(tokens)), pinned] += np.where(pinned > 0, PINNED, 0.0)
-        ends, potentials, stars = [], [], {}
-        for i, near in enumerate(_adjacent(text, tokens)):
-            if near:
-                ends.append((i - 1, i))
-                potentials.append(self.steps)
-        same = np.eye(n) * SKIP_WEIGHT
+        steps, stars = np.flatnonzero(_adjacent(text, tokens)), {}
+        own, tops = array("q"), array("q")
         for i, e in enumerate(entity):
             if e >= 0 and members[e] > 1 and e not in held:
-                ends.append((i, stars.setdefault(e, len(tokens) + len(stars))))
-                potentials.append(same)
+                own.append(i)
+                tops.append(stars.setdefault(e, len(tokens) + len(stars)))
         node = np.concatenate((node, np.zeros((len(stars), n))))
-        left, right = (np.array([e[k] for e in ends], dtype=np.int64) for k in (0, 1))
-        p = self.marginals(node, left, right, np.stack(potentials) if potentials else np.zeros((0, n, n)))
+        left = np.concatenate((steps - 1, np.array(own, dtype=np.int64)))
+        right = np.concatenate((steps, np.array(tops, dtype=np.int64)))
+        kind = np.repeat(np.array([0, 1], dtype=np.int8), (len(steps), len(own)))
+        p = self.marginals(node, left, right, kind, np.stack((self.steps, np.eye(n) * SKIP_WEIGHT)))
         best = p.argmax(axis=1)  # tokens first, then entities
         every = {k: list(v) for k, v in base.items()}
         for (a, b), y, row, label in zip(tokens, best.tolist(), p, labels):
@@ -248,6 +256,16 @@ class Field:
         return base, every
 
 
+def _message(out: np.ndarray, kind: np.ndarray, both: np.ndarray) -> np.ndarray:
+    """What goes along edges whose senders believe ``out`` (logarithms) without them."""
+    out = np.exp(out - out.max(axis=1, keepdims=True))
+    new = np.empty_like(out)
+    for k, matrix in enumerate(both):
+        new[kind == k] = out[kind == k] @ matrix
+    new = np.log(new + 1e-300)
+    return new - new.max(axis=1, keepdims=True)
+
+
 def _normal(belief: np.ndarray) -> np.ndarray:
     p = np.exp(belief - belief.max(axis=1, keepdims=True))
     return p / p.sum(axis=1, keepdims=True)
@@ -272,14 +290,14 @@ def _named(text: str, base: dict) -> set[str]:
 def _entities(text: str, tokens: list[tuple[int, int]], base: dict) -> list[int]:
     """The entity of each token, -1 without a key: tokens that share a key, also by
     way of others, are one. A base span's words count as keys of the token they are in."""
-    keys = [_keys(text[a:b]) for a, b in tokens]
+    keys = [_keys(text[a:b]) or None for a, b in tokens]  # most tokens have none
     starts = [a for a, _ in tokens]
     for spans in base.values():
         for x, z in spans:
             for m in _TOKEN.finditer(text, x, z):
                 i = bisect_right(starts, m.start()) - 1
                 if i >= 0 and m.start() < tokens[i][1]:
-                    keys[i] |= _keys(m[0])
+                    keys[i] = (keys[i] or set()) | _keys(m[0]) or None
     first: dict[str, int] = {}
     top = list(range(len(tokens)))
 
@@ -289,7 +307,7 @@ def _entities(text: str, tokens: list[tuple[int, int]], base: dict) -> list[int]
         return i
 
     for i, own in enumerate(keys):
-        for key in own:
+        for key in own or ():
             x, y = sorted((find(first.setdefault(key, i)), find(i)))
             top[y] = x
     return [find(i) if own else -1 for i, own in enumerate(keys)]

@@ -109,3 +109,33 @@ def test_other_numbers_stay_beside_many_repeats():
     base, every = field.spans(text)
     assert [text[a:b] for a, b in every["email"]] == ["john.smith7@mail.com"] + ["john.smith7"] * 100
     assert not every["ip"] and not every["card"] and not every["phone"]
+
+
+def test_marginals_against_enumeration():
+    """On graphs without cycles the messages give the exact marginals: all labellings are summed."""
+    import itertools
+
+    import numpy as np
+
+    from polyeval.llm import op7_pii as p
+    r = np.random.default_rng(4)
+    field = p.Field([])
+    for edges in ([], [(0, 1, 0)], [(0, 1, 0), (1, 2, 0), (2, 3, 0)], [(0, 4, 1), (1, 4, 1), (2, 4, 1), (2, 3, 0)], [(0, 1, 0), (3, 2, 1), (1, 4, 1), (1, 2, 0)]):
+        node, potentials = r.normal(size=(5, 3)) * 2, r.normal(size=(2, 3, 3))
+        want = np.zeros((5, 3))
+        for labels in itertools.product(range(3), repeat=5):
+            weight = np.exp(sum(node[i, y] for i, y in enumerate(labels)) + sum(potentials[k, labels[a], labels[b]] for a, b, k in edges))
+            want[np.arange(5), labels] += weight
+        want /= want.sum(axis=1, keepdims=True)
+        ends = [np.array([e[k] for e in edges], dtype=np.int64) for k in (0, 1)]
+        got = field.marginals(node, *ends, np.array([e[2] for e in edges], dtype=np.int8), potentials)
+        assert np.abs(got - want).max() < 1e-3
+
+
+def test_blocks_of_edges_change_nothing(monkeypatch):
+    from polyeval.llm import op7_pii as p
+    field = p.Field([("s9.9", 0, 50), ("s9-9", 4, 9), ("t0", 0, 20), ("t4", 0, 3)])
+    text = " ".join(["call +49 30 1234567 now, or mail jo.doe-77@mail.com;", "12.5 jo.doe-77 17.25 4111 1111 1111 1111", "jo.doe-77 9-9 8-8"] * 40)
+    whole = field.spans(text)
+    monkeypatch.setattr(p, "EDGES_AT_ONCE", 7)
+    assert field.spans(text) == whole
