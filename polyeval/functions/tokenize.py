@@ -111,12 +111,31 @@ def py_chrf_words(line: str) -> list[str]:
     return out
 
 
+MAX_MODEL = 64 << 20  # bytes of a SentencePiece model that may be sent to executors
+
+
+def spm_model_bytes(path: str) -> bytes:
+    """A SentencePiece model's bytes, read once through Spark, so any path that Spark reaches will do and
+    no worker opens it: they go to the workers with the function that uses them."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        with open(path, "rb") as f:
+            data = f.read(MAX_MODEL + 1)
+    else:
+        file = spark.read.format("binaryFile").load(path).select("length", F.when(F.col("length") <= MAX_MODEL, F.col("content")).alias("content")).first()
+        data = b"" if file is None else bytes(file.content) if file.content is not None else bytes(MAX_MODEL + 1)
+    if not data or len(data) > MAX_MODEL:
+        raise ValueError(f"{path}: no SentencePiece model of at most {MAX_MODEL} bytes")
+    return data
+
+
 class _SpmTokens:
-    def __init__(self, model_path: str):
-        self.model_path = model_path
+    def __init__(self, model: bytes):
+        self.model = model
 
     def __call__(self, line: str) -> list[str]:
-        return " ".join(_spm(self.model_path).encode(line.rstrip(), out_type=str)).split()
+        return " ".join(_spm(self.model).encode(line.rstrip(), out_type=str)).split()
 
 
 def py_bleu_tokenizer(tokenizer: str = "13a", spm_model: str | None = None):
@@ -130,24 +149,34 @@ def py_bleu_tokenizer(tokenizer: str = "13a", spm_model: str | None = None):
     if tokenizer in ("spm", "flores200", "flores101"):
         if not spm_model:
             raise ValueError(f"tokenizer={tokenizer!r} needs spm_model=<path to a SentencePiece model>")
-        return _SpmTokens(spm_model)
+        return _SpmTokens(spm_model_bytes(spm_model))
     raise ValueError(f"unknown tokenizer {tokenizer!r}")
 
 
 @lru_cache(maxsize=4)
-def _spm(model_path: str):
+def _spm(model: bytes):
     import sentencepiece as spm
-    return spm.SentencePieceProcessor(model_file=model_path)
+    return spm.SentencePieceProcessor(model_proto=model)
 
 
 def spm_udf(model_path: str):
+    model = spm_model_bytes(model_path)
+
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def _tok(s: pd.Series) -> pd.Series:
-        sp = _spm(model_path)
+        sp = _spm(model)
         return pd.Series([" ".join(sp.encode(x, out_type=str)).split() for x in s])
     return _tok
 
 
+def bleu_signature(tokenizer: str = "13a", spm_model: str | None = None) -> str:
+    """What a BLEU score was made with, to be kept beside it: scores of different tokenizers, or
+    different models under one name, can't be compared."""
+    import hashlib
+    model = f"|model:{hashlib.sha256(spm_model_bytes(spm_model)).hexdigest()[:12]}" if tokenizer in ("spm", "flores200", "flores101") and spm_model else ""
+    return f"nrefs:1|case:mixed|tok:{tokenizer}|smooth:exp{model}"
+
+
 def bleu_token_string(c, tokenizer: str = "13a", spm_model: str | None = None) -> Column:
     """The BLEU tokens as one string, single spaces between tokens (cheaper to
     hand to a Python worker than an array)."""

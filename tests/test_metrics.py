@@ -150,3 +150,25 @@ def test_bleu_with_sentencepiece_model(spark, tmp_path):
         return " ".join(sp.encode(s.rstrip(), out_type=str)).split()
     for u, (h, r) in _by_unit(rows).items():
         assert got[u] == pytest.approx(N.corpus_bleu(h, r, tok=tok), abs=1e-9)
+
+
+def test_public_spm_model_goes_with_the_job(spark, tmp_path):
+    """A real model, and one whose file is gone when the tasks run."""
+    P = pytest.importorskip("public_tokenizers")
+    spm = pytest.importorskip("sentencepiece")
+    import shutil
+
+    from polyeval.functions.tokenize import bleu_signature
+    model = str(tmp_path / "m.model")
+    shutil.copy(P.path("piece_bpe_32k.model"), model)
+    rows = [("u", i, f"le chat {i} est assis là.", f"le chat {i} était assis, là") for i in range(12)]
+    sp = spm.SentencePieceProcessor(model_file=model)
+    signature = bleu_signature("flores200", model)
+    assert signature.startswith("nrefs:1|case:mixed|tok:flores200") and signature != bleu_signature("13a")
+    lazy = corpus_bleu(_df(spark, rows), KEYS, tokenizer="flores200", spm_model=model, digits=None)
+    (tmp_path / "m.model").rename(tmp_path / "away.model")
+    cut = [(*r[:2], " ".join(sp.encode(r[2], out_type=str)), " ".join(sp.encode(r[3], out_type=str))) for r in rows]
+    want = corpus_bleu(_df(spark, cut), KEYS, tokenizer="none", digits=None).first().bleu
+    assert lazy.first().bleu == pytest.approx(want)
+    with pytest.raises(Exception):
+        corpus_bleu(_df(spark, rows), KEYS, tokenizer="flores200", spm_model=model)
