@@ -5,12 +5,13 @@ paragraph is hashed and added to a vector of sums, so the fingerprint doesn't
 depend on the order of paragraphs, and inserting or deleting one adds or subtracts
 its vector. The vector has, all modulo powers of two:
 
-* the number of paragraphs (2^63) and ``DENSE`` sums of whole hashes (2^64), for
+* the number of paragraphs (2^63) and ``DENSE`` sums of 32 bits of the hashes (2^32), for
   equality;
 * ``LEVELS`` levels of ``SLOTS`` sums (2^16) for likeness. A paragraph is in one slot of
   one level, level l with probability 2^-(l+1). Slots that differ between two
   fingerprints show how many paragraphs differ: level l sees one in 2^(l+1) of
-  them, so whatever their number, some level isn't full.
+  them, so some level isn't full up to about a million paragraphs; beyond, all levels
+  are, and the likeness of similar texts sinks towards 0 (equality isn't touched).
 
 Likeness is the estimated Jaccard similarity of the multisets, from the
 difference of the vectors alone.
