@@ -19,17 +19,15 @@ Steps, each a distributed job; tables of ids are written to the shared folder:
    full sets; the links' components are taken;
 5. buckets that still hold several components are looked into: nodes outside a
    bucket's largest component meet all its nodes, and a pair is made only if a sketch
-   of ``SKETCH`` minhashes of two bits each says that it may reach the threshold. The sketch
-   is compared inside the join, so a group of one template whose members stay under the
-   threshold makes next to no pairs. Where many nodes are outside the largest component,
-   the bucket is cut by longer keys first (``LONGER``), several for each node, so that
-   what a node is compared with falls as the group grows. The pairs made are confirmed
-   on the full sets.
-
-Copies of one text or one large group aren't expanded into pairs. The sketch passes a pair at
-the threshold but for one in a million (five standard deviations). If every table's keys
-were the longest, a pair at 0.85 would be missed with probability 5e-6 as without
-them, and one at 0.8 with 6e-5 to 8e-5 (simulated, 200,000 pairs).
+   of ``SKETCH`` minhashes of two bits each says that it may reach the threshold, once
+   however many tables it meets in. The sketch is compared inside the join, so a group of
+   one template whose members stay well under the threshold makes next to no pairs
+   (its nodes are still met by each other there, some ten nanoseconds each). The
+   pairs made are confirmed on the full sets.
+
+So no pair of candidates is left out, and copies of one text or one large group aren't
+expanded into pairs. The sketch passes a pair at the threshold but for one in a
+million (five standard deviations).
 
 Sets travel as 48-bit hashes of shingles.
 
@@ -44,7 +42,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from polyeval.llm import exchange as ex
@@ -59,10 +57,6 @@ SET_BYTES = 6
 DF_BYTES = 5
 SKETCH = 256
 WORDS = [f"w{i}" for i in range(SKETCH // 32)]  # a sketch's longs
-GROUP = 4  # minhashes that make a key longer by one step
-#: Nodes outside a bucket's largest component beyond which its key is longer by one and by two groups.
-LONGER = (64, 2048)
-KEYS = (2, 8)  # longer keys of a node for each of the two
 
 
 def shingles(data: bytes, size: int = SHINGLE) -> np.ndarray:
@@ -184,30 +178,24 @@ def candidate_sets(df: DataFrame, id_col: str, text_col: str, candidates: DataFr
     return docs.cogroup(extra.groupBy("chunk")).applyInArrow(finish, schema)
 
 
-def sketch(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A set's sketch as longs and the groups of minhashes that make keys longer."""
+def sketch(own: np.ndarray) -> np.ndarray:
+    """A set's sketch as longs: two bits of each of ``SKETCH`` minhashes."""
     own = mix64(own ^ np.uint64(0x9E3779B97F4A7C15))
     factors = _multipliers(SKETCH)
     least = np.full(SKETCH, np.uint64(0xFFFFFFFFFFFFFFFF))
     for i in range(0, len(own), 1 << 14):  # bounded memory for very long texts
         np.minimum(least, np.multiply.outer(factors, own[i:i + (1 << 14)]).min(axis=1), out=least)
-    least = mix64(least)
-    two = (least & np.uint64(3)).reshape(-1, 32) << np.arange(0, 64, 2, dtype=np.uint64)
-    groups = np.zeros(SKETCH // GROUP, dtype=np.uint64)
-    for part in least.reshape(-1, GROUP).T:
-        groups = mix64(groups) + part
-    return np.bitwise_or.reduce(two, axis=1).view(np.int64), mix64(groups).view(np.int64)
+    two = (mix64(least) & np.uint64(3)).reshape(-1, 32) << np.arange(0, 64, 2, dtype=np.uint64)
+    return np.bitwise_or.reduce(two, axis=1).view(np.int64)
 
 
 def sketches(sets: DataFrame) -> DataFrame:
-    """node, its sketch's longs, groups."""
+    """node and its sketch's longs."""
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
-        made = [sketch(_wide(x)) for x in b.column(1).to_pylist()]
-        words = np.stack([w for w, _ in made]).T
-        return pa.RecordBatch.from_arrays(
-            [b.column(0), *map(pa.array, words), pa.array([g for _, g in made], pa.list_(pa.int64()))], ["node", *WORDS, "groups"])
+        words = np.stack([sketch(_wide(x)) for x in b.column(1).to_pylist()]).T
+        return pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, words)], ["node", *WORDS])
 
-    return arrow_map(sets.select("node", "set"), each, f"node long, {', '.join(w + ' long' for w in WORDS)}, groups array<long>")
+    return arrow_map(sets.select("node", "set"), each, f"node long, {', '.join(w + ' long' for w in WORDS)}")
 
 
 def most_apart(percent: int) -> int:
@@ -217,30 +205,24 @@ def most_apart(percent: int) -> int:
     return int(SKETCH * p + 5 * (SKETCH * p * (1 - p)) ** 0.5) + 1
 
 
-def groups_at(at, step: int, k: int) -> list:
-    """Places (from 0) of the groups that make the ``k``-th longer key of table ``at``."""
-    n = SKETCH // GROUP
-    return [(at + k * n // KEYS[0]) % n] if step == 1 else [(at + 9 * k) % n, (at * 7 + 29 + 13 * k) % n]
-
-
-def open_pairs(placed: DataFrame, sets: DataFrame, percent: int, side: int) -> DataFrame:
+def open_pairs(placed: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that a bucket holds and whose sketches
     may reach the threshold."""
     held = placed.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key").agg(
-        (F.sum("c") - F.max("c")).alias("rest"), F.max_by("component", F.struct("c", "component")).alias("main"))
-    rows = placed.join(held.where("rest > 0"), "key")
+        F.count("*").alias("parts"), F.max_by("component", F.struct("c", "component")).alias("main"))
+    rows = placed.join(held.where("parts > 1"), "key")
     wanted = sets.join(rows.select("node").distinct(), "node", "left_semi")
-    at = F.col("left") * side + F.col("right")
-    longer = [F.array(*[F.xxhash64("key", F.lit(k), *[F.element_at("groups", g + 1) for g in groups_at(at, step, k)])
-                        for k in range(KEYS[step - 1])]) for step in (1, 2)]
-    keys = F.when(F.col("rest") <= LONGER[0], F.array("key")).when(F.col("rest") <= LONGER[1], longer[0]).otherwise(longer[1])
-    rows = rows.join(sketches(wanted), "node").select(
-        F.explode(keys).alias("key"), "node", "n", "s", "component", (F.col("component") == F.col("main")).alias("in_main"), *WORDS)
+    # A pair meets in many tables; it is taken in the one of its first common left
+    # and right collections, so a row has those before its own.
+    rows = rows.join(sketches(wanted), "node").join(nodes.select("node", "lefts", "rights"), "node").select(
+        "key", "node", "n", "s", "component", (F.col("component") == F.col("main")).alias("in_main"), *WORDS,
+        F.concat(F.slice("lefts", F.lit(1), F.col("left")), F.slice("rights", F.lit(1), F.col("right"))).alias("before"))
     as_ = lambda x, df: df.select("key", *[F.col(c).alias(f"{c}_{x}") for c in df.columns if c != "key"])
     differ = [f"({w}_a ^ {w}_b)" for w in WORDS]
     apart = " + ".join(f"bit_count(({x} | shiftrightunsigned({x}, 1)) & 6148914691236517205L)" for x in differ)  # low bit of each two
     pairs = as_("a", rows.where("not in_main")).join(as_("b", rows), "key").where(
-        f"component_a <> component_b and (in_main_b or node_a < node_b) and {may_link(percent)} and {apart} <= {most_apart(percent)}")
+        f"component_a <> component_b and (in_main_b or node_a < node_b) and {may_link(percent)} "
+        f"and {apart} <= {most_apart(percent)} and not arrays_overlap(before_a, before_b)")
     return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
@@ -293,7 +275,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     placed = written(met.join(parts, "node", "left").select(
         "key", "left", "right", "node", "n", "s", F.coalesce("component", "node").alias("component")), "placed")
-    pairs = open_pairs(placed, sets, percent, side)
+    pairs = open_pairs(placed, nodes, sets, percent)
     more = written(verified(pairs, sets, percent), "links")
     if not more.isEmpty():
         parts = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
