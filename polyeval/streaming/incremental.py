@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import registry, schemas
 from ..operators.joins import pending_units, semi_join_units
@@ -124,8 +125,9 @@ def metrics_so_far(spark: SparkSession, path: str, with_count: bool = False) ->
 
 
 # ------------------------------------------------------- scores and their runs
-SCORES, RUNS = "part=scores", "part=runs"  # folders of a write
+SCORES, RUNS = "part=scores", "part=runs"  # folders of a write: a file or few, however many models
 _RUNS_SCHEMA = "path string, mtime timestamp, model string"
+MOST_WRITES = 16  # of a ledger, before they are put together
 
 
 def documents_stream(spark: SparkSession, results_base: str) -> DataFrame:
@@ -137,12 +139,30 @@ def documents_stream(spark: SparkSession, results_base: str) -> DataFrame:
             .filter(F.col("path").rlike(r"/results_[^/]*\.json$")))
 
 
-def _part(spark: SparkSession, root: str, now: dict | None, name: str, schema) -> DataFrame:
-    paths = [f"{versions.data_path(root, f)}/{p}" for p, fs in (now or {"parts": {}})["parts"].items() if p.startswith(f"{name}/") for f in fs]
-    if not paths:
-        return spark.createDataFrame([], schema)
-    found = spark.read.schema(schema).option("basePath", f"{root.rstrip('/')}/{versions.DATA}").parquet(*paths)
-    return found.drop("v", "part")
+def _written(spark: SparkSession, root: str, now: dict | None, name: str, schema) -> DataFrame:
+    """Rows of every write that the manifest names, with ``v``, the write. (Manifests of older ledgers
+    have an entry for each model, and their files lie in folders by model.)"""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    wanted = T.StructType([*fields, T.StructField("v", T.StringType())])
+    parts = (now or {"parts": {}})["parts"]
+    out = spark.createDataFrame([], wanted)
+    for folders in (set(parts.get(name, [])), {f for p, fs in parts.items() if p.startswith(f"{name}/") for f in fs}):
+        paths = [p for p in (f"{versions.data_path(root, f)}/{name}" for f in sorted(folders)) if versions.exists(spark, f"{p}/*")]
+        if paths:
+            found = spark.read.schema(wanted).option("basePath", f"{root.rstrip('/')}/{versions.DATA}").parquet(*paths)
+            out = out.unionByName(found.select(*wanted.names))
+    return out
+
+
+def _runs_in_use(spark: SparkSession, root: str, now: dict | None) -> DataFrame:
+    """model, path, mtime, v of each model's run in use. A commit only takes newer runs, so it is the newest one written."""
+    best = F.max_by(F.struct("path", "mtime", "v"), F.struct("mtime", "path"))
+    return _written(spark, root, now, RUNS, _RUNS_SCHEMA).groupBy("model").agg(best.alias("b")).select("model", "b.*")
+
+
+def _scores_in_use(spark: SparkSession, root: str, now: dict | None, schema) -> DataFrame:
+    written = _written(spark, root, now, SCORES, schema)
+    return written.join(_runs_in_use(spark, root, now).select("model", "v"), ["model", "v"], "left_semi").select(*[c for c in written.columns if c != "v"])
 
 
 def commit_scores(spark: SparkSession, docs: DataFrame, models: DataFrame, root: str) -> bool:
@@ -153,7 +173,7 @@ def commit_scores(spark: SparkSession, docs: DataFrame, models: DataFrame, root:
 
     def change(now: dict | None) -> dict | None:
         now = now or {"parts": {}}
-        held = _part(spark, root, now, RUNS, _RUNS_SCHEMA)
+        held = _runs_in_use(spark, root, now)
         cand = new.select("model", "path", "mtime", "value").unionByName(
             held.select("model", "path", "mtime", F.lit(None).cast("string").alias("value")))
         best = cand.groupBy("model").agg(F.max_by(F.struct("path", "mtime", "value"),
@@ -165,14 +185,9 @@ def commit_scores(spark: SparkSession, docs: DataFrame, models: DataFrame, root:
             return None
         folder = versions.new_folder()
         base = versions.data_path(root, folder)
-        score_table(taken, registry.aliases_df(spark), run_col="path").write.partitionBy("model").parquet(f"{base}/{SCORES}")
-        taken.select("path", "mtime", "model").write.partitionBy("model").parquet(f"{base}/{RUNS}")
-        parts = dict(now["parts"])
-        models_taken = versions.partitions(spark, f"{base}/{RUNS}", 1)
-        with_scores = set(versions.partitions(spark, f"{base}/{SCORES}", 1))
-        for p in models_taken:
-            parts[f"{RUNS}/{p}"] = [folder]
-            parts[f"{SCORES}/{p}"] = [folder] if p in with_scores else []
+        score_table(taken, registry.aliases_df(spark), run_col="path").write.parquet(f"{base}/{SCORES}")
+        taken.select("path", "mtime", "model").write.parquet(f"{base}/{RUNS}")
+        parts = now["parts"] | {p: [*now["parts"].get(p, []), folder] for p in (SCORES, RUNS)}
         return {**now, "parts": parts, "last": folder}
 
     return versions.commit(spark, root, change) is not None
@@ -180,11 +195,24 @@ def commit_scores(spark: SparkSession, docs: DataFrame, models: DataFrame, root:
 
 def committed_scores(spark: SparkSession, root: str, schema=None) -> DataFrame:
     """The scores of every model's run in use (``commit_scores``)."""
-    return _part(spark, root, versions.current(spark, root), SCORES, schema or SCORES_WIDE)
+    return _scores_in_use(spark, root, versions.current(spark, root), schema or SCORES_WIDE)
 
 
 def committed_runs(spark: SparkSession, root: str) -> DataFrame:
-    return _part(spark, root, versions.current(spark, root), RUNS, _RUNS_SCHEMA)
+    return _runs_in_use(spark, root, versions.current(spark, root)).select("path", "mtime", "model")
+
+
+def compact_scores(spark: SparkSession, root: str, most: int = 1) -> None:
+    """Puts one write, of what is in use, in the place of all, if there are more than ``most``."""
+    def change(now: dict | None) -> dict | None:
+        if now is None or len(versions.folders(now)) <= most:
+            return None
+        folder = versions.new_folder()
+        base = versions.data_path(root, folder)
+        _scores_in_use(spark, root, now, SCORES_WIDE).write.parquet(f"{base}/{SCORES}")
+        _runs_in_use(spark, root, now).select("path", "mtime", "model").write.parquet(f"{base}/{RUNS}")
+        return {**now, "parts": {SCORES: [folder], RUNS: [folder]}}
+    versions.commit(spark, root, change)
 
 
 SCORES_WIDE = ", ".join(["lang_code string", *(f"{b} double" for b in registry.BENCHMARKS), "model string"])
@@ -214,6 +242,7 @@ def incremental_scores(spark: SparkSession, results_base: str | DataFrame, score
         reg = models if models is not None else registry.models_df(s).filter("in_benchmark")
         commit_scores(s, df, reg, runs_path)
         publish_scores(s, runs_path, scores_path)
+        compact_scores(s, runs_path, MOST_WRITES)
 
     checkpoint = checkpoint or default_checkpoint(spark, "scores", results_base if isinstance(results_base, str) else "stream", scores_path, runs_path)
     w = source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
@@ -221,4 +250,4 @@ def incremental_scores(spark: SparkSession, results_base: str | DataFrame, score
     return w.start()
 
 
-__all__ = ["incremental_metrics", "incremental_statistics", "metrics_so_far", "incremental_scores", "pending_units"]
+__all__ = ["incremental_metrics", "incremental_statistics", "metrics_so_far", "incremental_scores", "compact_scores", "pending_units"]

@@ -166,6 +166,30 @@ def test_a_crash_between_ledger_and_table_is_made_good(spark, tmp_path, monkeypa
     assert [r.belebele for r in spark.read.parquet(scores).collect()] == [0.2] and held()[0] == [0.2]
 
 
+def _documents(spark, rows):
+    return spark.createDataFrame([(json.dumps({"results": {task: {"acc,none": v}}}), f"/raw/{m}/org__{m}/results_{k}.json", k) for m, k, task, v in rows],
+                                 "value string, path string, k int").select("value", "path", F.timestamp_seconds("k").alias("mtime"))
+
+
+def test_a_ledger_has_no_folder_for_each_model(spark, tmp_path):
+    root, names = str(tmp_path / "ledger"), [f"m{i}" for i in range(40)]
+    models = spark.createDataFrame([(m, f"org/{m}") for m in names], "model string, hub_path string")
+    I.commit_scores(spark, _documents(spark, [(m, 1, "belebele_fra_Latn", 0.1) for m in names]), models, root)
+    I.commit_scores(spark, _documents(spark, [("m1", 0, "belebele_fra_Latn", 0.9), ("m2", 2, "belebele_fra_Latn", 0.2), ("m3", 2, "no_such_task", 0.3)]), models, root)
+    now = versions.current(spark, root)
+    assert set(now["parts"]) == {I.SCORES, I.RUNS} and len(versions.folders(now)) == 2
+    assert not [n for f in versions.folders(now) for n in versions.listed(spark, f"{versions.data_path(root, f)}/{I.SCORES}") if "=" in n]
+    want = {m: 0.1 for m in names if m != "m3"} | {"m2": 0.2}  # m3's newest run has no score
+    held = lambda: {r.model: r.belebele for r in I.committed_scores(spark, root).collect()}
+    runs = lambda: sorted((r.model, r.path, r.mtime) for r in I.committed_runs(spark, root).collect())
+    assert held() == want and len(before := runs()) == 40
+    assert not I.commit_scores(spark, _documents(spark, [("m2", 2, "belebele_fra_Latn", 0.2)]), models, root)  # replayed
+    I.compact_scores(spark, root)
+    assert len(versions.folders(versions.current(spark, root))) == 1 and held() == want and runs() == before
+    I.commit_scores(spark, _documents(spark, [("m4", 3, "belebele_fra_Latn", 0.4)]), models, root)
+    assert held() == want | {"m4": 0.4}
+
+
 # ------------------------------------------------------- newest files, outcomes
 def test_only_the_newest_files_are_read(spark, tmp_path):
     base = tmp_path / "raw files"
