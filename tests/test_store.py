@@ -164,3 +164,14 @@ def test_scorer_files_by_unit_come_back_with_their_unit(spark, tmp_path):
     store.export_scorer_jsonl(df, path, by_unit=True)
     back = store.scan_predictions(spark, path, by_unit=True).collect()
     assert sorted((r.tgt_lang, r.hypothesis) for r in back) == [("deu", "h"), ("deu", "hh"), ("fra", "")]
+
+
+def test_many_models_are_written_by_many_tasks(spark, tmp_path):
+    """A folder a model costs a file's making, whatever its bytes."""
+    rows = [(f"m{i % 60}", f"l{i // 60}", float(i)) for i in range(180)]
+    path = str(tmp_path / "scores")
+    store.write_scores(spark.createDataFrame(rows, "model string, lang_code string, belebele double"), path)
+    files = [f for d in (tmp_path / "scores").glob("model=*") for f in d.glob("part-*")]
+    assert len(files) == 60 and len({f.name.split("-")[1] for f in files}) > 1
+    got = spark.read.option("header", True).schema("model string, lang_code string, belebele double").csv(path)
+    assert sorted(map(tuple, got.select("model", "lang_code", "belebele").collect())) == sorted(rows)
