@@ -61,3 +61,18 @@ def test_generator_calls_by_model_and_parameters(spark):
         return lambda prompts, sampling: [f" {model} {p} {sampling['temperature']} {sampling['top_p']} " for p in prompts]
     got = {(r.model, r.seg_id): r.translation for r in U.generate(df, factory).collect()}
     assert got == {(m, i): f"{m} {p} {t} {q}" for m, i, p, t, q, _, _ in rows}
+
+
+def test_a_batch_is_bounded_by_bytes(spark):
+    """However long the texts: 400 of 50 KB would be one batch of 20 MB by the number of rows."""
+    long = spark.range(400).coalesce(1).selectExpr("id as seg_id", "'u' as model", "'s' as src", "repeat('ab ', 8000) as hyp", "repeat('ab ', 8000) as ref")
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(key, "64m")
+    sizes = lambda: (lambda part: [float(len(part))] * len(part))
+    scored = U.score_segments(long, sizes, "n", batch_size=1 << 20, keep=["model"])
+    assert scored.columns == ["model", "n"] and scored.agg({"n": "max"}).first()[0] < 200
+    spark.conf.set(key, "64m")
+    asked = long.selectExpr("model", "seg_id", "hyp as prompt", "0.5D as temperature", "1D as top_p", "1 as top_k", "1 as max_tokens")
+    got = U.generate(asked, lambda model: lambda prompts, sampling: [str(len(prompts))] * len(prompts), spread_cols=())
+    assert got.selectExpr("max(int(translation))").first()[0] < 200
+    assert int(spark.conf.get(key).removesuffix("b")) <= 4 << 20
