@@ -12,14 +12,18 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_translation, round_half_even, stringify_missing
 from ..schemas import UNIT_KEYS
+from ..session import bounded_batches
 
 
 def spread(df: DataFrame) -> DataFrame:
     """Deal segments out evenly by (unit, seg_id), for input that comes in a few
-    large unsplittable pieces (one multi-line CSV file per unit). A rebalance:
-    adaptive execution sizes the partitions and splits large ones. Parquet
-    segments are split by the scan and need no shuffle."""
-    return df.hint("rebalance", *UNIT_KEYS, "seg_id")
+    large pieces (one multi-line CSV file per unit, or a stream's few files a batch). The number
+    of partitions is given: a segment's metrics take long for its bytes, by which adaptive
+    execution would join partitions. Tables of many Parquet files are split by the scan and need
+    no shuffle."""
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks, *UNIT_KEYS, "seg_id")
 
 
 def prepare_segments(seg: DataFrame, na_compat: bool = True, spread_rows: bool = False) -> DataFrame:
@@ -96,6 +100,7 @@ def unit_statistics(prepared: DataFrame, tokenizer: str = "13a", spm_model: str
                 out[col] = pd.Series(scored(built[key], triples, batch_size, col), dtype="float64")
             yield out
 
+    bounded_batches(prepared.sparkSession)
     per_seg = prepared.select(*keys, "src", "hyp", "ref").mapInPandas(fn, schema)
     return per_seg.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_segments"), *[F.sum(c).alias(c) for c in b_cols + c_cols],
                                       *[x for c in f_cols for x in (F.sum(c).alias(f"s_{c}"), F.count(c).alias(f"n_{c}"))])

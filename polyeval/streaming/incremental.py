@@ -112,7 +112,7 @@ def incremental_statistics(spark: SparkSession, segments: str | DataFrame, path:
 
     def batch(df: DataFrame, epoch: int) -> None:
         from ..plans.translation_metrics import unit_statistics
-        add_statistics(unit_statistics(prepare_segments(df), **metric_kw), path, stream_identity(df.sparkSession, checkpoint), epoch)
+        add_statistics(unit_statistics(prepare_segments(df, spread_rows=True), **metric_kw), path, stream_identity(df.sparkSession, checkpoint), epoch)
 
     w = segments.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w).start()

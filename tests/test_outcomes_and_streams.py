@@ -110,6 +110,15 @@ def test_parts_add_up_to_the_whole(spark, tmp_path):
     assert I.metrics_so_far(spark, path).orderBy(key).collect() == want.orderBy(key).collect()
 
 
+def test_a_stream_batch_of_few_files_is_dealt_to_many_tasks(spark, tmp_path, monkeypatch):
+    from polyeval.plans import translation_metrics as M
+    base, tasks, plain = str(tmp_path / "segments"), [], M.unit_statistics
+    segments(spark, 200).coalesce(1).write.parquet(base)
+    monkeypatch.setattr(M, "unit_statistics", lambda prepared, **kw: (tasks.append(prepared.rdd.getNumPartitions()), plain(prepared, **kw))[1])
+    _run(I.incremental_statistics(spark, base, str(tmp_path / "stats"), str(tmp_path / "ckpt"), with_rouge_meteor=False))
+    assert len(tasks) == 1 and tasks[0] >= 3 * spark.sparkContext.defaultParallelism
+
+
 def test_a_batch_that_failed_or_is_replayed_counts_once(spark, tmp_path, monkeypatch):
     path, base, ckpt = (str(tmp_path / x) for x in ("stats", "segments", "ckpt"))
     segments(spark, 20).coalesce(1).write.parquet(base)
