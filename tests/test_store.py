@@ -175,3 +175,13 @@ def test_many_models_are_written_by_many_tasks(spark, tmp_path):
     assert len(files) == 60 and len({f.name.split("-")[1] for f in files}) > 1
     got = spark.read.option("header", True).schema("model string, lang_code string, belebele double").csv(path)
     assert sorted(map(tuple, got.select("model", "lang_code", "belebele").collect())) == sorted(rows)
+
+
+def test_files_are_read_in_batches_bounded_by_bytes(spark, tmp_path):
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
+    unit = tmp_path / "ntrex" / "Phi-4"
+    unit.mkdir(parents=True)
+    pd.DataFrame([("s" * 50_000, f"t {i}", "x")[:3] for i in range(300)], columns=["source", "target", "translation"]).to_csv(unit / "eng-fra.csv", index=False)
+    got = store.scan_segments(spark, str(tmp_path))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").removesuffix("b")) <= 4 << 20
+    assert got.selectExpr("count(*)", "sum(length(source))", "count(distinct target)").first() == (300, 15_000_000, 300)
