@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.align import meteor_segment
 from ..functions.text import round_half_even
+from ..session import bounded_batches
 
 
 def meteor_udf(alpha: float = 0.9, beta: float = 3.0, gamma: float = 0.5, synonyms=None):
@@ -24,6 +25,7 @@ def meteor_udf(alpha: float = 0.9, beta: float = 3.0, gamma: float = 0.5, synony
 
 
 def segment_meteor(seg: DataFrame, keys: list[str], hyp: str = "hyp", ref: str = "ref", **kw) -> DataFrame:
+    bounded_batches(seg.sparkSession)
     return seg.select(*keys, "seg_id", meteor_udf(**kw)(F.col(hyp), F.col(ref)).alias("meteor"))
 
 

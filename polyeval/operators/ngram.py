@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import bounded_batches
+
 # An order spec: (label, kind, n). kind 'char' works on a string column
 # (code points); 'tok' / 'word' on tokens, given as array<string> or as one
 # string with single spaces between tokens.
@@ -150,6 +152,7 @@ def unit_stats(seg: DataFrame, keys: list[str], specs: list[tuple[int, str, int]
                 pd.DataFrame({c: pd.Series([], dtype="int64") for c in stat_cols})
             yield pd.concat([pdf[keys].reset_index(drop=True), stats], axis=1)
 
+    bounded_batches(seg.sparkSession)
     per_seg = seg.select(*keys, hyp, ref).mapInPandas(fn, out_schema)
     return per_seg.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in stat_cols])
 

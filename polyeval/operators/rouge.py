@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.align import rouge_l_f
 from ..functions.text import round_half_even
+from ..session import bounded_batches
 from .bootstrap import SAMPLES, bootstrap_mean
 
 
@@ -43,6 +44,7 @@ def rouge_l_udf(hyp: pd.Series, ref: pd.Series) -> pd.Series:
 
 
 def segment_rouge_l(seg: DataFrame, keys: list[str], hyp: str = "hyp", ref: str = "ref") -> DataFrame:
+    bounded_batches(seg.sparkSession)
     return seg.select(*keys, "seg_id", rouge_l_udf(F.col(hyp), F.col(ref)).alias("rouge_l"))
 
 

@@ -172,3 +172,20 @@ def test_public_spm_model_goes_with_the_job(spark, tmp_path):
     assert lazy.first().bleu == pytest.approx(want)
     with pytest.raises(Exception):
         corpus_bleu(_df(spark, rows), KEYS, tokenizer="flores200", spm_model=model)
+
+
+def test_words_are_those_of_all_rules_one_by_one():
+    """The rules that a text can't need are left out, and the last period is found from the end."""
+    import random
+
+    from polyeval.functions import align
+    chance = random.Random(7)
+    signs = list("aabSsdlT .,,..  '''\"\"``-:;!?()[]{}<>«“‘„»”’@#$%&\n\t01Σé")
+    for _ in range(5000):
+        text = "".join(chance.choice(signs) for _ in range(chance.randrange(40)))
+        t = f" {text} "
+        for pat, rep in align._TB_RULES:
+            t = pat.sub(rep, t)
+        assert align._words(text) == t.split(), text
+    assert align._lower(["ΑΣ", "Σ'", "İ"]) == ["ας", "σ'", "i̇"]
+    assert len(align._active_rules(frozenset("."))) == 2
