@@ -68,7 +68,8 @@ def pack_sent(chunk: int, values: np.ndarray, buckets: np.ndarray, width: int, m
 
 def bucket_order(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Order of the hashes as sent, the buckets that get any, and their bounds."""
-    order = np.argsort(buckets, kind="stable")
+    small = len(buckets) and int(buckets.max()) < 1 << 16  # numpy sorts these by radix
+    order = np.argsort(buckets.astype(np.uint16) if small else buckets, kind="stable")
     sorted_ = buckets[order]
     edges = np.concatenate(([0], np.flatnonzero(np.diff(sorted_)) + 1, [len(order)])) if len(order) else np.zeros(1, np.int64)
     return order, sorted_[edges[:-1]], edges
@@ -149,31 +150,36 @@ def answered_bits(group: pa.Table) -> dict[int, bytes]:
 
 _POWER = np.uint64(0xD6E8FEB86659FD93)
 _POWER2 = np.uint64(0xA0761D6478BD642F)
+_STEP = 1 << 15  # windows hashed at once, so that the arrays stay in a core's cache
+_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of ``base`` and of its inverse mod 2^64 (it is odd)."""
+    have = _TABLES.get(int(base))
+    if have is None or len(have[0]) < n:
+        have = _TABLES[int(base)] = tuple(
+            np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n - 1, x, np.uint64))), dtype=np.uint64)
+            for x in (int(base), pow(int(base), -1, 1 << 64)))
+    return have
 
 
 def window_hash(codes: np.ndarray, length: int, base: np.uint64 = _POWER) -> np.ndarray:
-    """Rabin-Karp hashes (mod 2^64) of all windows of ``length`` codes, built by
-    doubling: the hash of a+b codes is hash(a) * base^b + hash(b)."""
-    if len(codes) < length:
+    """Rabin-Karp hashes (mod 2^64) of all windows of ``length`` codes: differences of
+    running sums of codes by falling powers, raised to the window's own."""
+    n = len(codes) - length + 1
+    if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        done, out = 0, None
-        size, h, power = 1, codes, base
-        while size <= length:
-            if length & size:
-                out = h if out is None else _joined(h, out, size, done, base)
-                done += size
-            if size * 2 <= length:
-                h = h[:-size] * power + h[size:]
-                power = power * power
-            size *= 2
-    return out[:len(codes) - length + 1]
-
-
-def _joined(left: np.ndarray, right: np.ndarray, n_left: int, n_right: int, base: np.uint64) -> np.ndarray:
-    power = np.uint64(pow(int(base), n_right, 1 << 64))
-    n = min(len(left), len(right) - n_left)
-    return left[:n] * power + right[n_left:n_left + n]
+    out = np.empty(n, dtype=np.uint64)
+    up, down = _powers(base, min(n, _STEP) + length)
+    for a in range(0, n, _STEP):
+        b = min(a + _STEP, n)
+        part = codes[a:b + length - 1]
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(part * down[:len(part)], out=sums[1:])
+        np.subtract(sums[length:], sums[:-length], out=out[a:b])
+        out[a:b] *= up[length - 1:length - 1 + b - a]
+    return out
 
 
 def second_base() -> np.uint64:

@@ -17,7 +17,7 @@ different groups, only which suffixes are equal, and hashes of digits say that.
 
 A byte is removed if a window over it also starts in a document with a smaller id.
 The text is shuffled once, by chunks of neighbouring ids, and the passes read that
-shuffle; ``exchange`` moves the digits. Texts are worked through in blocks, so
+shuffle; ``exchange`` moves the digits. Texts are worked through in small blocks, so
 memory follows a chunk's bytes and not their number squared.
 
 Defined cases: a null or empty text has no bytes; texts under ``DEPTH`` bytes keep
@@ -39,7 +39,7 @@ from polyeval.llm.common import bounded_batches, mix64
 
 DEPTH = 50
 GRAM = 26
-BLOCK = 1 << 19
+BLOCK = 1 << 15  # window starts worked on at once: their arrays stay in a core's cache
 DIGIT_BYTES = 5  # of a first digit, beside its bucket
 _INDEX = np.uint64((1 << 21) - 1)
 _CODES = mix64(np.arange(1, 257, dtype=np.uint64))
@@ -82,24 +82,20 @@ class ChunkBytes:
         self.copy[self.long] = least[self.digest_of] < self.rank[self.long]
 
     def blocks(self):
-        """Window starts that stay in their document, their documents, and the
-        codes of the block's bytes with its first position."""
-        for a in range(0, len(self.data) - self.depth + 1, BLOCK):
-            b = min(a + BLOCK, len(self.data) - self.depth + 1)
-            i, j = np.searchsorted(self.first, [a, b - 1], side="right") - 1
-            docs = np.arange(i, j + 1)
-            bytes_in = np.minimum(self.first[docs + 1], b) - np.maximum(self.first[docs], a)
-            owner = np.repeat(docs, bytes_in)
-            starts = np.arange(a, b)
-            ok = (starts <= self.first[owner + 1] - self.depth) & ~self.copy[owner]
-            if ok.any():
-                yield a, starts[ok], owner[ok], _CODES[self.data[a:b + self.depth - 1]]
-
-    def anchors(self):
-        """For each block: its position, the valid starts, their documents, each one's
-        anchor digit and its place in the block, and the block's codes."""
+        """First and last bounds of blocks of window starts, and the codes of a block's bytes."""
+        n = len(self.data) - self.depth + 1
+        for a in range(0, n, BLOCK):
+            b = min(a + BLOCK, n)
+            yield a, b, _CODES[self.data[a:b + self.depth - 1]]
+
+    def runs(self, places: bool) -> None:
+        """Runs of neighbouring starts of one document that have one anchor at one
+        place (else, anchors of one digit): first starts, sizes, documents, and the
+        digits. Windows that leave their document, and texts that are copies, have none."""
         reach = self.depth - self.gram + 1
-        for a, starts, owner, codes in self.blocks():
+        none = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        parts: list[tuple] = [(none[0], none[not places], none[1])]
+        for a, b, codes in self.blocks():
             digit = mix64(ex.window_hash(codes, self.gram))
             least = (digit & ~_INDEX) | np.arange(len(digit), dtype=np.uint64)
             size = 1
@@ -108,62 +104,75 @@ class ChunkBytes:
                 size *= 2
             if size < reach:
                 least = np.minimum(least[:size - reach], least[reach - size:])
-            at = (least & _INDEX).astype(np.int64)[starts - a]
-            yield a, starts, owner, digit[at], at, codes
+            new = np.ones(b - a, dtype=bool)
+            np.not_equal(least[1:], least[:-1], out=new[1:])
+            i, j = np.searchsorted(self.first, [a, b - 1], side="right") - 1
+            bounds = np.concatenate((self.first[i:j + 2], self.first[i:j + 2] - self.depth + 1))
+            edge = np.zeros(b - a, dtype=bool)
+            edge[bounds[(bounds >= a) & (bounds < b)] - a] = True
+            head = np.flatnonzero(new | edge)
+            at = (least[head] & _INDEX).astype(np.int64)
+            if not places:
+                new = edge[head]
+                new[0] = True
+                new[1:] |= digit[at[1:]] != digit[at[:-1]]
+                head, at = head[new], at[new]
+            parts.append((head + a, at + a if places else digit[at], digit[at]))
+        start, place, digit = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        parts.clear()
+        owner = np.searchsorted(self.first, start, side="right") - 1
+        valid = start <= self.first[owner + 1] - self.depth
+        new = np.ones(len(start), dtype=bool)  # a run that goes on in the next block is one
+        new[1:] = (place[1:] != place[:-1]) | (owner[1:] != owner[:-1]) | (valid[1:] != valid[:-1])
+        start, owner, digit, valid = start[new], owner[new], digit[new], valid[new]
+        size = np.diff(start, append=len(self.data) - self.depth + 1)
+        valid &= ~self.copy[owner]
+        self.start, self.size, self.owner, self.run_digit = start[valid], size[valid], owner[valid], digit[valid]
 
-    def digits(self) -> None:
+    def digits(self, places: bool = True) -> None:
         """Distinct anchor digits of the chunk, and which of them are in two documents of it."""
-        found, owners = [], []
-        for _, _, owner, digit, _, _ in self.anchors():
-            new = np.ones(len(digit), dtype=bool)
-            new[1:] = (digit[1:] != digit[:-1]) | (owner[1:] != owner[:-1])
-            found.append(digit[new])
-            owners.append(owner[new])
-        digit = np.concatenate(found) if found else np.zeros(0, np.uint64)
-        owner = np.concatenate(owners) if found else np.zeros(0, np.int64)
-        order = np.argsort(digit, kind="stable")
-        digit, owner = digit[order], owner[order]
-        edges = np.flatnonzero(np.concatenate(([True], digit[1:] != digit[:-1]))) if len(digit) else np.zeros(0, np.int64)
+        self.runs(places)
+        order = np.argsort(self.run_digit, kind="stable")
+        digit, owner = self.run_digit[order], self.owner[order]
+        new = np.ones(len(digit), dtype=bool)
+        new[1:] = digit[1:] != digit[:-1]
+        edges = np.flatnonzero(new)
         self.digit = digit[edges]
-        last = np.concatenate((edges[1:], [len(digit)])) - 1 if len(edges) else edges
+        self.digit_of = np.empty(len(digit), dtype=np.int64)
+        self.digit_of[order] = np.cumsum(new) - 1
+        last = np.append(edges[1:], len(digit))[:len(edges)] - 1
         self.shared = owner[edges] != owner[last]
         self.digit_buckets = self._buckets(self.digit, 0)
 
+    def hashes(self, starts: np.ndarray) -> list[np.ndarray]:
+        """Two hashes of each window at ascending ``starts``."""
+        out = [np.empty(len(starts), dtype=np.uint64) for _ in range(2)]
+        for a, b, codes in self.blocks() if len(starts) else ():
+            i, j = np.searchsorted(starts, [a, b])
+            if i < j:
+                for o, base in zip(out, ((), (ex.second_base(),))):
+                    o[i:j] = ex.window_hash(codes, self.depth, *base)[starts[i:j] - a]
+        return out
+
     def first_pass(self) -> pa.Table:
-        self.digits()
+        self.digits(places=False)  # fewer runs, the same digits
         return pa.concat_tables([
             ex.pack_sent(self.chunk, self.digit >> np.uint64(24), self.digit_buckets, DIGIT_BYTES, ex.ANY),
             ex.pack_sent(self.chunk, self.digests, self.digest_buckets, 8, ex.EARLIER)])
 
     def stretches(self, answered: dict[int, bytes]) -> None:
-        """The suffixes that go on (start, document, two window hashes), and their
-        stretches: runs of neighbouring starts with one anchor at one place."""
+        """The runs that go on, as stretches."""
         self.digits()
         self.copy[self.long] |= ex.unpack(answered, self.digest_buckets)[self.digest_of]
-        alive = self.digit[self.shared | ex.unpack(answered, self.digit_buckets)]
-        parts: list[tuple] = []
-        for a, starts, owner, digit, place, codes in self.anchors() if len(alive) else ():
-            at = np.searchsorted(alive, digit)
-            at[at == len(alive)] = 0
-            go = alive[at] == digit
-            if go.any():
-                starts, owner, place = starts[go], owner[go], place[go]
-                new = np.ones(len(starts), dtype=bool)
-                new[1:] = (np.diff(starts) != 1) | (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])
-                parts.append((starts, owner, new, ex.window_hash(codes, self.depth)[starts - a],
-                              ex.window_hash(codes, self.depth, ex.second_base())[starts - a]))
-        kinds = (np.int64, np.int64, bool, np.uint64, np.uint64)
-        self.starts, self.owner, new, self.value, self.other = (
-            np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, kind) for k, kind in enumerate(kinds))
-        head = np.flatnonzero(new)
-        tail = np.concatenate((head[1:], [len(new)]))[:len(head)] - 1
-        size = (tail - head).astype(np.uint64)  # with the first and the last window: the whole stretch
-        hashes = [mix64(mix64(h[head]) * np.uint64(3) + h[tail] + size) for h in (self.value, self.other)]
-        self.stretch_of = np.cumsum(new) - 1
+        alive = self.shared | ex.unpack(answered, self.digit_buckets)
+        go = alive[self.digit_of] & ~self.copy[self.owner]
+        self.start, self.size, self.owner = self.start[go], self.size[go], self.owner[go]
+        more = (self.size - 1).astype(np.uint64)  # with the first and the last window: the whole stretch
+        hashes = [mix64(mix64(head) * np.uint64(3) + tail + more)
+                  for head, tail in zip(self.hashes(self.start), self.hashes(self.start + self.size - 1))]
         self.stretch, at, self.same = np.unique(hashes[0], return_index=True, return_inverse=True)
         self.stretch_buckets = self._buckets(hashes[1][at], 2)
-        of = self.owner[head]
-        self.settled = self.rank[of[at]][self.same] < self.rank[of]
+        self.settled = self.rank[self.owner[at]][self.same] < self.rank[self.owner]
 
     def second_pass(self, answered: dict[int, bytes]) -> pa.Table:
         self.stretches(answered)
@@ -174,11 +183,13 @@ class ChunkBytes:
     def windows(self, answered: dict[int, bytes]) -> None:
         """The suffixes that no stretch settles, and their distinct windows."""
         self.stretches(answered)
-        settled = (self.settled | ex.unpack(answered, self.stretch_buckets)[self.same])[self.stretch_of] if len(self.starts) else np.zeros(0, bool)
-        self.done, self.open = self.starts[settled], self.starts[~settled]
-        owner = self.owner[~settled]
-        self.values, at, self.which = np.unique(mix64(self.value[~settled]), return_index=True, return_inverse=True)
-        self.value_buckets = self._buckets(mix64(self.other[~settled][at]), 3)
+        self.settled |= ex.unpack(answered, self.stretch_buckets)[self.same]
+        start, size = self.start[~self.settled], self.size[~self.settled]
+        self.open = np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+        owner = np.repeat(self.owner[~self.settled], size)
+        value, other = self.hashes(self.open)
+        self.values, at, self.which = np.unique(mix64(value), return_index=True, return_inverse=True)
+        self.value_buckets = self._buckets(mix64(other[at]), 3)
         self.earlier = self.rank[owner[at]][self.which] < self.rank[owner]
 
     def last_pass(self, answered: dict[int, bytes]) -> pa.Table:
@@ -190,10 +201,12 @@ class ChunkBytes:
     def covered(self, answered: dict[int, bytes]) -> np.ndarray:
         """Mask of the bytes to remove."""
         self.windows(answered)
-        hit = np.concatenate((self.done, self.open[self.earlier | ex.unpack(answered, self.value_buckets)[self.which]]))
+        hit = self.open[self.earlier | ex.unpack(answered, self.value_buckets)[self.which]]
+        first = np.concatenate((self.start[self.settled], hit))  # no start is twice in these
+        last = np.concatenate(((self.start + self.size - 1)[self.settled], hit))
         edge = np.zeros(len(self.data) + 1, dtype=np.int32)
-        np.add.at(edge, hit, 1)
-        np.add.at(edge, hit + self.depth, -1)
+        edge[first] += 1
+        edge[last + self.depth] -= 1
         out = np.cumsum(edge[:-1], dtype=np.int32) > 0
         for i in np.flatnonzero(self.copy):
             out[self.first[i]:self.first[i + 1]] = True

@@ -94,3 +94,45 @@ def test_byte_blocks_are_seamless(monkeypatch):
     got = op8_suffixes.ChunkBytes(group, 50, 26, 3)
     got.digits()
     assert (ref.digit == got.digit).all() and (ref.shared == got.shared).all()
+
+
+def test_byte_anchors_are_found_once_a_pass(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    texts = [" ".join(llm_data.words(300, i % 5)).encode() for i in range(8)] + [b"", b"short", b"a" * 500]
+    group = pa.table({"chunk": [0] * 11, "id": list(range(11)), "text": pa.array(texts, pa.binary())})
+    hashed = []
+    real = op8_suffixes.ex.window_hash
+
+    def counted(codes, length, *base):
+        hashed.append(len(codes) if length == 26 else 0)
+        return real(codes, length, *base)
+
+    monkeypatch.setattr(op8_suffixes.ex, "window_hash", counted)
+    for each in ("second_pass", "last_pass", "covered"):
+        hashed.clear()
+        getattr(op8_suffixes.ChunkBytes(group, 50, 26, 3), each)({})
+        assert sum(hashed) <= 1.1 * sum(map(len, texts))
+    whole = op8_suffixes.ChunkBytes(group, 50, 26, 3)
+    whole.covered({})
+    monkeypatch.setattr(op8_suffixes, "BLOCK", 17)
+    cut = op8_suffixes.ChunkBytes(group, 50, 26, 3)
+    cut.covered({})
+    for name in ("start", "size", "owner", "stretch", "open", "values"):  # a stretch isn't cut where a block ends
+        assert np.array_equal(getattr(whole, name), getattr(cut, name))
+    cut.digits(places=False)
+    whole.digits()
+    assert np.array_equal(whole.digit, cut.digit) and np.array_equal(whole.shared, cut.shared)
+
+
+def test_window_hashes_are_seamless(monkeypatch):
+    import numpy as np
+    from polyeval.llm import exchange as ex
+    codes = np.arange(1, 400, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for base in (ex._POWER, ex.second_base()):
+        want = [sum(int(c) * pow(int(base), 34 - k, 1 << 64) for k, c in enumerate(codes[i:i + 35])) % (1 << 64) for i in range(365)]
+        assert ex.window_hash(codes, 35, base).tolist() == want
+        with monkeypatch.context() as m:
+            m.setattr(ex, "_STEP", 16)
+            assert ex.window_hash(codes, 35, base).tolist() == want
+    assert len(ex.window_hash(codes[:34], 35)) == 0
